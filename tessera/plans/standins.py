@@ -28,3 +28,76 @@ RATINGS_SQL = """
 ratings AS (
   SELECT o.o_custkey AS "user", l.l_partkey AS item, l.l_quantity AS rating
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tid, items string): the part keys of each order, space separated.
+
+    Repeated parts inside an order are kept, as raw baskets would have them.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    return (li.groupBy(F.col("l_orderkey").alias("tid"))
+            .agg(F.concat_ws(" ", F.collect_list(F.col("l_partkey").cast("string"))).alias("items")))
+
+
+EVENT_ITEM = F.get_json_object(F.col("props"), "$.k").cast("long")
+EVENT_RELEVANCE = (F.when(F.col("event_type") == "purchase", 3.0)
+                   .when(F.col("event_type") == "click", 2.0)
+                   .when(F.col("event_type") == "view", 1.0).otherwise(0.0))
+
+
+def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, item, relevance, timestamp) from events."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.col("user_id").alias("user"), EVENT_ITEM.alias("item"),
+                     EVENT_RELEVANCE.alias("relevance"),
+                     F.unix_micros(F.col("ts").cast("timestamp")).alias("timestamp"))
+
+
+def user_day_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tid, items string): event items of one user on one day."""
+    ev = table(spark, sf_dir, "events")
+    return (ev.groupBy(F.col("user_id"), F.to_date(F.col("ts").cast("timestamp")).alias("day"))
+            .agg(F.concat_ws(" ", F.collect_list(EVENT_ITEM.cast("string"))).alias("items"))
+            .select(F.concat_ws("|", F.col("user_id").cast("string"),
+                                F.col("day").cast("string")).alias("tid"), "items"))
+
+
+WORD_SPLIT = r"[^\p{L}\p{N}]+"
+
+
+def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, words array<string>): lower-cased word tokens of the whole text."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    words = F.filter(F.split(F.lower(F.col("text")), WORD_SPLIT), lambda w: w != F.lit(""))
+    return d.select("doc_id", "lang", words.alias("words"))
+
+
+def feature_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, attributes array<struct<name, term, value>>): one entry per token
+    (name 'w') plus the language (name 'lang')."""
+    dw = document_words(spark, sf_dir)
+    bag = F.concat(
+        F.transform("words", lambda w: F.struct(F.lit("w").alias("name"), w.alias("term"),
+                                                F.lit(1.0).alias("value"))),
+        F.array(F.struct(F.lit("lang").alias("name"), F.col("lang").alias("term"),
+                         F.lit(1.0).alias("value"))))
+    return dw.select(F.col("doc_id"), bag.alias("attributes"))
+
+
+def ranking_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(list_id, item_id, label, score, weight, subtopic): one row per line item.
+
+    list = order, label = floor(quantity / 10), score = extended price, item
+    id = (partkey, linenumber, price) made into one string key.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("list_id"),
+        F.concat_ws(":", F.col("l_partkey").cast("string"), F.col("l_linenumber").cast("string"),
+                    F.col("l_suppkey").cast("string")).alias("item_id"),
+        F.floor(F.col("l_quantity") / 10).cast("double").alias("label"),
+        F.col("l_extendedprice").cast("double").alias("score"),
+        F.lit(1.0).alias("weight"),
+        F.col("l_returnflag").alias("subtopic"),
+        F.col("l_quantity").alias("quantity"))
