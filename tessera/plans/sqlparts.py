@@ -69,3 +69,55 @@ rules_l AS (SELECT antecedent, consequent, confidence,
 rules_k AS (SELECT *, rank() OVER (PARTITION BY antecedent ORDER BY round(lift, 10) DESC) AS rk
             FROM rules_l),
 rules_top AS (SELECT antecedent, consequent, lift FROM rules_k WHERE rk <= {top})"""
+
+
+LISTS = """base AS (
+  SELECT l_orderkey AS list_id,
+         cast(l_partkey AS varchar) || ':' || cast(l_linenumber AS varchar) || ':'
+           || cast(l_suppkey AS varchar) AS item_id,
+         floor(l_quantity / 10) AS raw_label, l_extendedprice AS raw_score, 1.0 AS weight
+  FROM lineitem),
+prep AS (
+  SELECT list_id, item_id,
+         CASE WHEN raw_label >= 0 THEN raw_label ELSE 0.0 END AS label,
+         CASE WHEN raw_label >= 0 THEN raw_score
+              ELSE min(raw_score) OVER (PARTITION BY list_id) - 1e-6 END AS score,
+         weight, raw_label >= 0 AS valid
+  FROM base),
+rk AS (SELECT *, row_number() OVER (PARTITION BY list_id ORDER BY score DESC, item_id) AS pos
+       FROM prep)"""
+
+DIVERSITY = """dbase AS (
+  SELECT l_orderkey AS list_id,
+         cast(l_partkey AS varchar) || ':' || cast(l_linenumber AS varchar) || ':'
+           || cast(l_suppkey AS varchar) AS item_id,
+         l_returnflag AS subtopic, CASE WHEN l_quantity >= 25 THEN 1.0 ELSE 0.0 END AS label,
+         l_extendedprice AS score, 1.0 AS weight
+  FROM lineitem),
+ditems_raw AS (
+  SELECT list_id, item_id, first(score) AS raw_score, first(weight) AS weight,
+         max(CASE WHEN label >= 0 THEN 1 ELSE 0 END) AS v,
+         max(CASE WHEN label >= 1 THEN 1.0 ELSE 0.0 END) AS any_rel
+  FROM dbase GROUP BY 1, 2),
+ditems AS (
+  SELECT list_id, item_id,
+         CASE WHEN v = 1 THEN raw_score
+              ELSE min(raw_score) OVER (PARTITION BY list_id) - 1e-6 END AS score,
+         weight, v = 1 AS valid, any_rel
+  FROM ditems_raw),
+dcells AS (SELECT list_id, item_id, subtopic, CASE WHEN label >= 0 THEN label ELSE 0.0 END AS label
+           FROM dbase),
+drk AS (SELECT *, row_number() OVER (PARTITION BY list_id ORDER BY score DESC, item_id) AS pos
+        FROM ditems)"""
+
+
+def list_weights(name: str, rel: str, src: str = "prep") -> str:
+    """CTEs ``{name}(list_id, weight)``: per-list weight for relevance ``rel``."""
+    return f"""{name}_per AS (SELECT list_id, sum(weight * ({rel})) AS wr, sum({rel}) AS r
+                 FROM {src} GROUP BY 1),
+{name}_pw AS (SELECT list_id, r, CASE WHEN r > 0 THEN wr / r ELSE 0.0 END AS pw FROM {name}_per),
+{name}_avg AS (SELECT CASE WHEN sum(CASE WHEN r > 0 THEN 1 ELSE 0 END) > 0
+                      THEN sum(pw) / sum(CASE WHEN r > 0 THEN 1 ELSE 0 END) ELSE 0.0 END AS aw
+               FROM {name}_pw),
+{name} AS (SELECT list_id, CASE WHEN r > 0 THEN pw ELSE (SELECT aw FROM {name}_avg) END AS weight
+           FROM {name}_pw)"""

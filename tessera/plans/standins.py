@@ -40,17 +40,22 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.concat_ws(" ", F.collect_list(F.col("l_partkey").cast("string"))).alias("items")))
 
 
-EVENT_ITEM = F.get_json_object(F.col("props"), "$.k").cast("long")
-EVENT_RELEVANCE = (F.when(F.col("event_type") == "purchase", 3.0)
-                   .when(F.col("event_type") == "click", 2.0)
-                   .when(F.col("event_type") == "view", 1.0).otherwise(0.0))
+def event_item():
+    return F.get_json_object(F.col("props"), "$.k").cast("long")
+
+
+def event_relevance():
+    """purchase 3, click 2, view 1, anything else 0."""
+    return (F.when(F.col("event_type") == "purchase", 3.0)
+            .when(F.col("event_type") == "click", 2.0)
+            .when(F.col("event_type") == "view", 1.0).otherwise(0.0))
 
 
 def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user, item, relevance, timestamp) from events."""
     ev = table(spark, sf_dir, "events")
-    return ev.select(F.col("user_id").alias("user"), EVENT_ITEM.alias("item"),
-                     EVENT_RELEVANCE.alias("relevance"),
+    return ev.select(F.col("user_id").alias("user"), event_item().alias("item"),
+                     event_relevance().alias("relevance"),
                      F.unix_micros(F.col("ts").cast("timestamp")).alias("timestamp"))
 
 
@@ -58,7 +63,7 @@ def user_day_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(tid, items string): event items of one user on one day."""
     ev = table(spark, sf_dir, "events")
     return (ev.groupBy(F.col("user_id"), F.to_date(F.col("ts").cast("timestamp")).alias("day"))
-            .agg(F.concat_ws(" ", F.collect_list(EVENT_ITEM.cast("string"))).alias("items"))
+            .agg(F.concat_ws(" ", F.collect_list(event_item().cast("string"))).alias("items"))
             .select(F.concat_ws("|", F.col("user_id").cast("string"),
                                 F.col("day").cast("string")).alias("tid"), "items"))
 
