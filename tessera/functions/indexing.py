@@ -1,35 +1,22 @@
 """Dense global indexes without a single-partition window.
 
-``global_index`` numbers the rows of a DataFrame 0..n-1 in a given order.  The
-rows are range-partitioned and sorted within partitions; each row gets its
-position inside its partition from ``monotonically_increasing_id`` and the
-partition's offset from a table with one row per partition (its size is the
-partition count, a bound we choose, so it is safe to broadcast).  No window
-ever sees more than one partition's worth of rows.
+``global_index`` numbers the rows of a DataFrame 0..n-1 in a given order.  It
+is an ``ordered_scan`` over one constant key: rows are range-partitioned on
+the order, positioned inside their range, and offset by the sizes of the
+earlier ranges (a table with one row per range).  No task ever holds more
+than one range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_LOW33 = (1 << 33) - 1
+from tessera.functions.scan import ordered_scan
 
 
 def global_index(df: DataFrame, order: list[Column | str], name: str = "idx",
                  num_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    mid = F.monotonically_increasing_id()
-    tagged = ranged.select("*", F.shiftright(mid, 33).alias("__pid"),
-                           mid.bitwiseAND(F.lit(_LOW33)).alias("__pos"))
-    sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offs = sizes.select(
-        "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__off"))
-    out = tagged.join(F.broadcast(offs), "__pid")
-    return out.select(*[c for c in df.columns],
-                      (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__pos")).cast("bigint").alias(name))
+    x = df.withColumn("__all", F.lit(0))
+    s = ordered_scan(x, ["__all"], order, pos="__gpos", num_partitions=num_partitions)
+    return s.select(*df.columns, (F.col("__gpos") - 1).cast("bigint").alias(name))
