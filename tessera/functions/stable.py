@@ -54,3 +54,9 @@ def sql_stable_hash(key_sql: str, seed: int = 42) -> str:
 
 def sql_stable_u01(key_sql: str, seed: int = 42) -> str:
     return f"({sql_stable_hash(key_sql, seed)} / 4503599627370496.0)"
+
+
+def sql_stable_u01_parts(parts: list[str], seed: int = 42) -> str:
+    """DuckDB twin of ``stable_u01(part0, seed, part1, ...)`` for several key parts."""
+    key = " || '|' || ".join(f"cast({p} as varchar)" for p in parts)
+    return f"(cast('0x' || substr(md5('{seed}|' || {key}), 1, 13) as bigint) / 4503599627370496.0)"

@@ -42,5 +42,5 @@ def load_all() -> dict[str, Query]:
     # importing the job modules fills REGISTRY
     from tessera.plans import (cf_jobs, retrieval_jobs, rules_jobs,  # noqa: F401
                                source_jobs, ranking_jobs, lists_jobs, samples_jobs,
-                               evaluate_jobs, knn_jobs)
+                               evaluate_jobs, knn_jobs, embed_jobs)
     return REGISTRY

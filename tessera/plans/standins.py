@@ -106,3 +106,12 @@ def ranking_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1.0).alias("weight"),
         F.col("l_returnflag").alias("subtopic"),
         F.col("l_quantity").alias("quantity"))
+
+
+def event_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, item_ids): a user's event items in time order, comma separated."""
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", event_item().alias("item"))
+    seq = ev.groupBy("user_id").agg(
+        F.sort_array(F.collect_list(F.struct("ts", "event_id", F.col("item").cast("string").alias("i"))))
+        .alias("s"))
+    return seq.select("user_id", F.array_join(F.col("s.i"), ",").alias("item_ids"))
