@@ -25,11 +25,14 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import ship_package
+
 
 def _to_cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
@@ -45,14 +48,18 @@ def _scan_partition(keys: list[str], sums: list[str]):
         for pdf in batches:
             if pdf.empty:
                 continue
-            kdf = pdf[keys].astype(object).where(pdf[keys].notna(), "\x00<null>")
-            changed = (kdf != kdf.shift()).any(axis=1)
-            first = tuple(kdf.iloc[0])
+            n = len(pdf)
+            karr = [pdf[k].to_numpy() for k in keys]
+            changed = np.zeros(n, dtype=bool)
+            for a in karr:
+                changed[1:] |= a[1:] != a[:-1]
+            first = tuple(a[0] for a in karr)
             cont = last_key is not None and first == last_key
-            changed.iloc[0] = not cont
-            gid = changed.cumsum()
-            g = pdf.groupby(gid, sort=False)
-            pos = g.cumcount().astype("int64") + 1
+            changed[0] = not cont
+            gid = pd.Series(np.cumsum(changed), index=pdf.index)
+            idx = np.arange(n)
+            start = np.maximum.accumulate(np.where(changed, idx, 0))
+            pos = pd.Series(idx - start + 1, index=pdf.index, dtype="int64")
             in_first = gid == gid.iloc[0]
             if cont:
                 pos = pos + in_first.astype("int64") * carry_pos
@@ -65,7 +72,7 @@ def _scan_partition(keys: list[str], sums: list[str]):
                     s = s + in_first.astype("float64") * carry[c]
                 out[f"__lsum_{c}"] = s
             # state for the next batch of the same range
-            last_key = tuple(kdf.iloc[-1])
+            last_key = tuple(a[-1] for a in karr)
             last_gid = gid.iloc[-1]
             carry_pos = int(out["__lpos"].iloc[-1])
             for c in sums:
@@ -93,6 +100,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
     if method != "range":
         raise ValueError(f"unknown method {method!r}")
     spark = df.sparkSession
+    ship_package(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_cols = [F.col(k) for k in keys]
     ranged = df.repartitionByRange(n, *key_cols, *order).sortWithinPartitions(*key_cols, *order)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tessera.functions.indexing import global_index
 from tessera.functions.scan import ordered_scan
 from tessera.functions.stable import stable_u01
+from tessera.session import ship_package
 
 
 def build_vocab(df: DataFrame, tokens: str = "tokens", min_count: int = 5) -> DataFrame:
@@ -97,6 +98,7 @@ def negative_samples(pairs: DataFrame, noise: DataFrame, k: int = 5, seed: int =
     itself -- and is broadcast to a vectorised ``searchsorted``.
     """
     spark = pairs.sparkSession
+    ship_package(spark)
     tab = noise.select("idx", "cum").orderBy("idx").toPandas()  # vocabulary-sized
     cum = tab["cum"].to_numpy()
     ids = tab["idx"].to_numpy(np.int64)

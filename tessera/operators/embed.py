@@ -36,7 +36,7 @@ from tessera.operators import corpus as C
 from tessera.operators import knn as K
 from tessera.operators import lsh as H
 from tessera.operators.topn import top_n
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, ship_package
 
 MAX_EXP = 6.0
 RANK_DECIMALS = 10
@@ -238,6 +238,7 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
     if not 0 <= sample <= 1 or step_size <= 0:
         raise ValueError("sample in [0, 1], step_size > 0")
     spark = df.sparkSession
+    ship_package(spark)
     if cbow == 0 and hs == 1 and negative == 0 and sample == 0:
         from pyspark.ml.feature import Word2Vec
         w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter,

@@ -86,9 +86,9 @@ def de_noise(counts: DataFrame, noise: DataFrame, ratio: float = 0.9,
         raise ValueError(f"ratio should be in (0, 1), got {ratio}")
     odds = (1 - ratio) / ratio
     j = counts.join(noise, ["list_id", "key"])
-    bad = j.filter((F.col("count") < 0) | (F.col("noise") <= 0)).limit(1).count()
-    if bad:
-        raise ValueError("counts must be >= 0 and noise > 0")
+    # checked lazily inside the plan: a violating row fails the job
+    ok = F.assert_true((F.col("count") >= 0) & (F.col("noise") > 0), "counts must be >= 0 and noise > 0")
+    j = j.filter(F.coalesce(ok.cast("boolean"), F.lit(True)))
     tot = j.groupBy("list_id").agg(F.sum("noise").alias("__ns"), F.sum("count").alias("__cs"))
     x = (j.join(tot.filter(F.col("__cs") > 0), "list_id")
          .select("list_id", "key", F.col("count").cast("double").alias("c"),

@@ -100,7 +100,9 @@ SELECT list_id AS doc_id, key AS word,
 FROM k JOIN lam USING (list_id)""")
 def q_de_noise(spark, sf_dir):
     """H5: de-noised word distribution per document against its language's counts."""
-    dw = S.document_words(spark, sf_dir).select("doc_id", "lang", F.explode("words").alias("word"))
+    # tokenised once: both counts read the same exchange
+    dw = (S.document_words(spark, sf_dir).repartition("doc_id")
+          .select("doc_id", "lang", F.explode("words").alias("word")))
     counts = dw.groupBy(F.col("doc_id").alias("list_id"), F.col("word").alias("key")).agg(
         F.count(F.lit(1)).alias("count"), F.first("lang").alias("lang"))
     per_lang = dw.groupBy("lang", F.col("word").alias("key")).agg(F.count(F.lit(1)).alias("nz"))

@@ -51,3 +51,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in Python workers (once per application).
+
+    Python UDF / ``mapInPandas`` kernels live in this package; executors
+    receive it as a zip through ``SparkContext.addPyFile`` -- the same
+    mechanism as ``--py-files`` -- so jobs work whatever the working
+    directory or cluster layout.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="tessera-pkg-"), "tessera.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    p = os.path.join(d, f)
+                    z.write(p, os.path.relpath(p, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
