@@ -267,7 +267,8 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
             .agg(F.sort_array(F.collect_list(F.struct("pos", "idx"))).alias("s"))
             .select((F.col("sid") * 1000003 + F.col("chunk")).alias("sid"), F.col("s.idx").alias("words")))
     ensure_checkpoint_dir(spark)
-    sent = sent.repartition(num_partitions, "sid").checkpoint()  # reliable, cuts lineage
+    # fixed order inside partitions (SGD is order dependent); reliable checkpoint cuts lineage
+    sent = sent.repartition(num_partitions, "sid").sortWithinPartitions("sid").checkpoint()
     rng = np.random.default_rng(seed)
     syn0 = ((rng.random((V, vector_size)) - 0.5) / vector_size).astype(np.float64)
     syn1 = np.zeros((max(V - 1, 1), vector_size))

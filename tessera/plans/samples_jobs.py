@@ -90,21 +90,23 @@ def _page_rows(spark, sf_dir):
                     F.col("l_partkey").cast("string").alias("item_id"),
                     F.array().cast("array<string>").alias("clicked_items_15d"),
                     F.floor(F.col("l_quantity") / 10).cast("long").alias("relevance"),
-                    F.struct(F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")).alias("position")))
+                    F.struct(F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
+                             F.col("l_extendedprice")).alias("position")))
 
 
 _PAGES_SQL = """pv AS (
   SELECT l.l_orderkey AS pv_id, cast(o.o_custkey AS varchar) AS user_id, cast(c.c_nationkey AS bigint) AS age,
          c.c_mktsegment AS gender, cast(l.l_partkey AS varchar) AS item_id,
-         cast(floor(l.l_quantity / 10) AS bigint) AS relevance, l.l_linenumber, l.l_partkey, l.l_suppkey
+         cast(floor(l.l_quantity / 10) AS bigint) AS relevance, l.l_linenumber, l.l_partkey, l.l_suppkey,
+         l.l_extendedprice
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
        LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
 lw AS (
-  SELECT pv_id, arg_min(user_id, (l_linenumber, l_partkey, l_suppkey)) AS user_id,
-         arg_min(age, (l_linenumber, l_partkey, l_suppkey)) AS age,
-         arg_min(gender, (l_linenumber, l_partkey, l_suppkey)) AS gender,
-         string_agg(cast(relevance AS varchar), ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS relevance,
-         string_agg(item_id, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS item_id,
+  SELECT pv_id, arg_min(user_id, (l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS user_id,
+         arg_min(age, (l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS age,
+         arg_min(gender, (l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS gender,
+         string_agg(cast(relevance AS varchar), ',' ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS relevance,
+         string_agg(item_id, ',' ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS item_id,
          count(*) AS n_items
   FROM pv GROUP BY pv_id HAVING max(CASE WHEN relevance <> 0 THEN 1 ELSE 0 END) = 1)"""
 
