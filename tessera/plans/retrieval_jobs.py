@@ -13,8 +13,10 @@ KS = (1, 2, 4, 8)
 
 
 def _i2i(spark, sf_dir):
+    """Event item CF read back through the A4 item-to-item reader."""
+    from tessera.sources import read_i2i
     b = S.behaviour(spark, sf_dir)
-    return cf.item_cf(b, "user", "item", "relevance", top=10).withColumnRenamed("sim", "score")
+    return read_i2i(spark, cf.item_cf(b, "user", "item", "relevance", top=10), "item1", "item2", "sim")
 
 
 _I2I_SQL = f"""{Q.BEHAVIOUR},

@@ -175,18 +175,24 @@ ve AS (SELECT vec_id, list_sum(list_transform(embedding, lambda x: cast(x AS dou
 
 
 @query("pool_embedding", f"""WITH {_EMB_SQL}
-SELECT user_id, round(avg(vsum), 6) AS pooled_sum, count(*) AS n_items
-FROM ue JOIN ve ON ve.vec_id = ue.item GROUP BY user_id""")
+SELECT ue.user_id, round(avg(vsum) + any_value(f.fsum), 6) AS pooled_sum, count(*) AS n_items
+FROM ue JOIN ve ON ve.vec_id = ue.item
+     JOIN (SELECT u.user_id, ve.vsum AS fsum FROM (SELECT user_id, min(item) AS fi FROM ue GROUP BY 1) u
+           JOIN ve ON ve.vec_id = u.fi) f ON f.user_id = ue.user_id
+GROUP BY ue.user_id""")
 def q_pool(spark, sf_dir):
-    """Per user, the mean embedding of the event items (shared item table)."""
+    """Per user, the mean embedding of the event items (shared item table),
+    concatenated with the looked-up embedding of the user's lowest item id."""
     ev = S.table(spark, sf_dir, "events").select("user_id", S.event_item().alias("item"))
     users = ev.groupBy("user_id").agg(F.collect_list("item").alias("items"))
     emb = S.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
                                                       F.col("embedding").cast("array<double>").alias("vector"))
     known = ev.join(emb.select(F.col("id").alias("item")), "item").groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_items"))
+    first = ev.groupBy("user_id").agg(F.min("item").alias("first_item"))
     p = I.pool_embedding(users, "user_id", "items", emb, 64)
-    p = I.assemble_features(p, ["pooled"], "features")
+    p = I.lookup_embedding(p.join(first, "user_id"), "first_item", emb, out="first_emb")
+    p = I.assemble_features(p, ["pooled", "first_emb"], "features")
     return (p.join(known, "user_id")
             .select("user_id", F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6)
                     .alias("pooled_sum"), F.col("n_items").cast("bigint")))

@@ -52,11 +52,12 @@ def event_relevance():
 
 
 def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user, item, relevance, timestamp) from events."""
-    ev = table(spark, sf_dir, "events")
-    return ev.select(F.col("user_id").alias("user"), event_item().alias("item"),
-                     event_relevance().alias("relevance"),
-                     F.unix_micros(F.col("ts").cast("timestamp")).alias("timestamp"))
+    """(user, item, relevance, timestamp) from events, through the A4 reader
+    (relevance cast to double, timestamp to a long)."""
+    from tessera.sources import read_behaviour
+    ev = table(spark, sf_dir, "events").select(
+        "user_id", event_item().alias("item"), event_relevance().alias("rel"), "ts")
+    return read_behaviour(spark, ev, "user_id", "item", "rel", "ts")
 
 
 def user_day_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

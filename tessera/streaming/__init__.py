@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference contains no streaming code (no stream sources, watermarks or
+stateful operators), so this package defines no streaming operators.  The
+column-level feature functions (``samples.hash_bucket``, ``bucketize``,
+``dense_mask``) are plain expressions and work unchanged on a
+``readStream`` DataFrame; the aggregating operators are batch jobs.
+"""
