@@ -35,11 +35,10 @@ from tessera.functions import distance as D
 from tessera.operators import corpus as C
 from tessera.operators import knn as K
 from tessera.operators import lsh as H
-from tessera.operators.topn import top_n
+from tessera.operators.topn import tie_key, top_n
 from tessera.session import ensure_checkpoint_dir, ship_package
 
 MAX_EXP = 6.0
-RANK_DECIMALS = 10
 
 
 def huffman_codes(counts: np.ndarray):
@@ -322,7 +321,7 @@ def find_synonyms_vec(emb: DataFrame, vec, num: int, word: str = "word", vector:
     x = emb.select(F.col(word).alias("word"), sim.alias("similarity"))
     if exclude is not None:
         x = x.filter(F.col("word") != F.lit(exclude))
-    return x.orderBy(F.round("similarity", RANK_DECIMALS).desc(), F.col("word").asc()).limit(num)
+    return x.orderBy(tie_key("similarity").desc(), F.col("word").asc()).limit(num)
 
 
 def find_synonyms(emb: DataFrame, w, num: int, word: str = "word", vector: str = "vector") -> DataFrame:

@@ -26,12 +26,13 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANK_DECIMALS = 10
+from tessera.operators.topn import tie_key
+
 
 
 def rec_lists(i2i: DataFrame) -> DataFrame:
     """F1: (item1, item2, pos) with pos 1.. by score desc, item2 asc."""
-    w = Window.partitionBy("item1").orderBy(F.round(F.col("score"), RANK_DECIMALS).desc(),
+    w = Window.partitionBy("item1").orderBy(tie_key("score").desc(),
                                             F.col("item2").asc())
     return i2i.select("item1", "item2", F.row_number().over(w).alias("pos"))
 

@@ -9,7 +9,7 @@ Two plans compute the same one-to-one rules and check each other:
   ``conf = n_ab / n_a`` and ``lift = conf / (n_b / N)``.
 
 Both keep the top ``n`` consequents per antecedent by lift (``rank``, ties
-kept).  Lifts are compared on 10 decimals for ranking.
+kept).  Lifts are ranked on 10 decimals (``topn.tie_key``).
 """
 
 from __future__ import annotations
@@ -19,9 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.pairs import group_pairs
-from tessera.operators.topn import top_n
+from tessera.operators.topn import tie_key, top_n
 
-RANK_DECIMALS = 10
 
 
 def min_support(count: int, n: int) -> float:
@@ -68,7 +67,7 @@ def one_to_one_rules(rules: DataFrame) -> DataFrame:
 
 def top_rules(rules: DataFrame, top: int = 10, ties: str = "rank") -> DataFrame:
     """Top consequents per antecedent by lift."""
-    key = F.round(F.col("lift"), RANK_DECIMALS)
+    key = tie_key("lift")
     return top_n(rules, "antecedent", [key.desc()], top, ties=ties, tie_break="consequent")
 
 

@@ -48,3 +48,19 @@ def top_n(df: DataFrame, by, order: Sequence[Column] | Column, n: int,
     name = rank_col or "__rank"
     out = df.withColumn(name, r).filter(F.col(name) <= n)
     return out if rank_col else out.drop(name)
+
+
+# Scores are ranked on 10 decimals so that floating-point noise from summation
+# order cannot split mathematically equal scores.  floor(x * 1e10 + 0.5) is
+# pure double arithmetic (no decimal rounding) and is written the same way in
+# the SQL oracles.
+TIE_SCALE = 1e10
+
+
+def tie_key(col) -> Column:
+    c = F.col(col) if isinstance(col, str) else col
+    return F.floor(c * F.lit(TIE_SCALE) + F.lit(0.5))
+
+
+def sql_tie_key(expr: str) -> str:
+    return f"floor(({expr}) * 1e10 + 0.5)"
