@@ -8,16 +8,12 @@ uniform of (sentence, position), identical under retries.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.indexing import global_index
 from tessera.functions.scan import ordered_scan
 from tessera.functions.stable import stable_u01
-from tessera.session import ship_package
 
 
 def build_vocab(df: DataFrame, tokens: str = "tokens", min_count: int = 5) -> DataFrame:
@@ -90,27 +86,28 @@ def noise_distribution(vocab: DataFrame, power: float = 0.75) -> DataFrame:
         "idx", (F.col("w") / F.col("__tot")).alias("prob"), (F.col("cum_w") / F.col("__tot")).alias("cum"))
 
 
-def negative_samples(pairs: DataFrame, noise: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
+def negative_samples(pairs: DataFrame, noise: DataFrame, k: int = 5, seed: int = 42,
+                     buckets: int = 1 << 16) -> DataFrame:
     """``k`` noise words per pair by inverse-CDF lookup of a stable uniform;
     a draw equal to the centre is skipped, not redrawn.
 
-    The cumulative table is vocabulary-sized -- the same bound as the model
-    itself -- and is broadcast to a vectorised ``searchsorted``.
+    The lookup is a distributed range join: each noise word's interval
+    ``[cum - prob, cum)`` is exploded into the ``buckets`` equal-width cells
+    of [0, 1) it overlaps (about ``vocabulary + buckets`` rows), every draw
+    goes to the cell of its uniform, and an equi-join on the cell plus the
+    interval test picks the word.  Nothing is collected to the driver.
     """
-    spark = pairs.sparkSession
-    ship_package(spark)
-    tab = noise.select("idx", "cum").orderBy("idx").toPandas()  # vocabulary-sized
-    cum = tab["cum"].to_numpy()
-    ids = tab["idx"].to_numpy(np.int64)
-    bc = spark.sparkContext.broadcast((cum, ids))
     x = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("draw"))
     x = x.withColumn("__u", stable_u01("sid", seed, F.col("pos"), F.col("context"), F.col("draw")))
-
-    @F.pandas_udf(T.LongType())
-    def lookup(u: pd.Series) -> pd.Series:
-        c, i = bc.value
-        j = np.searchsorted(c, u.to_numpy(), side="right")
-        return pd.Series(i[np.minimum(j, len(i) - 1)])
-
-    x = x.withColumn("negative", lookup("__u")).drop("__u")
-    return x.filter(F.col("negative") != F.col("centre"))
+    last = noise.agg(F.max("idx").alias("__last"))
+    iv = (noise.crossJoin(F.broadcast(last))  # one-row aggregate
+          .select(F.col("idx").alias("negative"), (F.col("cum") - F.col("prob")).alias("__lo"),
+                  # the last interval is closed at 1 so rounding in the sum cannot lose a draw
+                  F.when(F.col("idx") == F.col("__last"), F.lit(2.0)).otherwise(F.col("cum")).alias("__hi")))
+    cells = iv.select("*", F.explode(F.sequence(
+        F.floor(F.greatest(F.col("__lo"), F.lit(0.0)) * buckets).cast("long"),
+        F.least(F.floor(F.col("__hi") * buckets), F.lit(buckets - 1)).cast("long"))).alias("__cell"))
+    x = x.withColumn("__cell", F.least(F.floor(F.col("__u") * buckets), F.lit(buckets - 1)).cast("long"))
+    j = x.join(cells, "__cell").filter((F.col("__u") >= F.col("__lo")) & (F.col("__u") < F.col("__hi")))
+    return (j.drop("__cell", "__u", "__lo", "__hi")
+            .filter(F.col("negative") != F.col("centre")))

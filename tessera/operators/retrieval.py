@@ -14,7 +14,8 @@ Totals per ``k``: ``precision = sum(tp) / sum(tp + fp)`` (0 when no list),
 ``mrr = sum(mrr) / pairs``, ``ndcg = sum(ndcg) / pairs``.  An item without a
 list counts as a miss.
 
-Plan: one ``lead`` window per user, one equi-join on (item, truth) against
+Plan: a position scan per user and a (user, position + 1) self-join, one
+equi-join on (item, truth) against
 the list positions, one join with list lengths, an ``explode`` of the k
 values and one aggregate -- no per-user Python, nothing collected.
 """
@@ -26,6 +27,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.scan import ordered_scan
 from tessera.operators.topn import tie_key
 
 
@@ -38,12 +40,18 @@ def rec_lists(i2i: DataFrame) -> DataFrame:
 
 
 def next_item_truth(behaviour: DataFrame) -> DataFrame:
-    """(user, item, timestamp, truth, truth_relevance) -- the next event's item."""
-    w = Window.partitionBy("user").orderBy("timestamp", "item")
-    return (behaviour.select("user", "item", "timestamp",
-                             F.lead("item").over(w).alias("truth"),
-                             F.lead("relevance").over(w).alias("truth_relevance"))
-            .filter(F.col("truth").isNotNull()))
+    """(user, item, timestamp, truth, truth_relevance) -- the next event's item.
+
+    Events get their position in the user's time order (ties by item) from a
+    range-partitioned scan, and event ``p`` is joined with event ``p + 1`` on
+    (user, position): a user with a large share of all events is not one
+    task's window.
+    """
+    pos = ordered_scan(behaviour.select("user", "item", "relevance", "timestamp"),
+                       ["user"], [F.col("timestamp").asc(), F.col("item").asc()], pos="__pos")
+    nxt = pos.select("user", (F.col("__pos") - 1).alias("__pos"), F.col("item").alias("truth"),
+                     F.col("relevance").alias("truth_relevance"))
+    return pos.join(nxt, ["user", "__pos"]).select("user", "item", "timestamp", "truth", "truth_relevance")
 
 
 def label_predictions(behaviour: DataFrame, i2i: DataFrame) -> DataFrame:
