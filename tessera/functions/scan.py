@@ -52,8 +52,9 @@ def _scan_partition(keys: list[str], sums: list[str]):
             karr = [pdf[k].to_numpy() for k in keys]
             changed = np.zeros(n, dtype=bool)
             for a in karr:
-                changed[1:] |= a[1:] != a[:-1]
-            first = tuple(a[0] for a in karr)
+                na = pd.isna(a)
+                changed[1:] |= (a[1:] != a[:-1]) & ~(na[1:] & na[:-1])  # nulls group together
+            first = tuple(None if pd.isna(a[0]) else a[0] for a in karr)
             cont = last_key is not None and first == last_key
             changed[0] = not cont
             gid = pd.Series(np.cumsum(changed), index=pdf.index)
@@ -72,7 +73,7 @@ def _scan_partition(keys: list[str], sums: list[str]):
                     s = s + in_first.astype("float64") * carry[c]
                 out[f"__lsum_{c}"] = s
             # state for the next batch of the same range
-            last_key = tuple(a[-1] for a in karr)
+            last_key = tuple(None if pd.isna(a[-1]) else a[-1] for a in karr)
             last_gid = gid.iloc[-1]
             carry_pos = int(out["__lpos"].iloc[-1])
             for c in sums:
@@ -121,8 +122,14 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
     offs = (seg.select("__pid", *keys, F.sum("__n").over(wo).alias("__off"),
                        *[F.sum(f"__s_{c}").over(wo).alias(f"__off_{c}") for c in sums])
             .filter(F.col("__off").isNotNull()))
-    # at most one continuing group per range -> at most n rows
-    j = local.join(F.broadcast(offs), ["__pid", *keys], "left")
+    # at most one continuing group per range -> at most n rows; null keys
+    # form a group like any other value (null-safe equality)
+    o = offs.select(*[F.col(c).alias(f"__o_{c}") for c in ["__pid", *keys]],
+                    "__off", *[f"__off_{c}" for c in sums])
+    cond = F.col("__pid") == F.col("__o___pid")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
+    j = local.join(F.broadcast(o), cond, "left")
     out = [F.col(c) for c in df.columns]
     out.append((F.col("__lpos") + F.coalesce(F.col("__off"), F.lit(0))).alias(pos))
     out += [(F.col(f"__lsum_{c}") + F.coalesce(F.col(f"__off_{c}"), F.lit(0.0))).alias(prefix + c)

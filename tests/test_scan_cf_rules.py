@@ -119,3 +119,12 @@ def test_fp_growth_and_pair_plans_agree(spark):
     b = rows(rules.pair_rules(t, "items", 2, 0.1, 10, tid="tid", block_size=2).select(
         "antecedent", "consequent", F.round("lift", 9).alias("l")))
     assert a == b and len(a) > 0
+
+
+def test_ordered_scan_null_keys_form_one_group(spark):
+    df = spark.range(0, 5000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 3).alias("k"),
+        "id", F.lit(1.0).alias("v"))
+    a = ordered_scan(df, ["k"], ["id"], ["v"], num_partitions=9)
+    b = ordered_scan(df, ["k"], ["id"], ["v"], method="window")
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
