@@ -106,10 +106,9 @@ def test_lsh_query_deduplicates(spark, vec_df):
 
 def test_minhash_family_long_arithmetic():
     fam = H.HashFamily("minhash", 0, num_hashes=8, signature_length=2, seed=1)
-    keys = fam.band_keys([[0, 5, 2**31 - 5]])
-    assert keys.shape == (1, 4)
-    vals = [int(v) for k in keys[0] for v in k.split(",")]
-    assert all(0 <= v < H.MINHASH_PRIME for v in vals)
+    keys = fam.band_keys([[0, 5, 2**31 - 5], [0, 5, 2**31 - 5], [1, 2]])
+    assert keys.shape == (3, 4) and keys.dtype == np.int64
+    assert (keys[0] == keys[1]).all() and (keys[0] != keys[2]).any()
 
 
 def test_corpus_steps(spark):
