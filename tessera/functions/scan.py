@@ -111,9 +111,10 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
         + [T.StructField(f"__lsum_{c}", T.DoubleType()) for c in sums])
     local = ranged.mapInPandas(_scan_partition(keys, sums), schema)
     # Per (range, group) segment totals.  They are taken from the output of
-    # the same Python pass (not from ``ranged`` directly): column pruning
-    # cannot reach below it, so both branches share one range exchange
-    # (ReusedExchange) and therefore one assignment of rows to ranges.
+    # the same Python pass, not from ``ranged`` directly: neither column
+    # pruning nor constant folding can reach below the Python node, so both
+    # branches share one range exchange (ReusedExchange) and therefore one
+    # assignment of rows to ranges, whatever the input plan looks like.
     seg = (local.groupBy("__pid", *keys)
            .agg(F.count(F.lit(1)).alias("__n"),
                 *[F.sum(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(f"__s_{c}")

@@ -128,3 +128,15 @@ def test_ordered_scan_null_keys_form_one_group(spark):
     a = ordered_scan(df, ["k"], ["id"], ["v"], num_partitions=9)
     b = ordered_scan(df, ["k"], ["id"], ["v"], method="window")
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_ordered_scan_on_shuffled_input_with_constant_columns(spark):
+    # upstream aggregate (row order varies run to run) plus a literal column:
+    # neither may make the two branches see different range assignments
+    base = spark.range(0, 100000).select((F.col("id") % 500).alias("g"), "id")
+    agg = base.groupBy("g", (F.col("id") % 37).alias("h")).agg(F.count("*").alias("c"), F.sum("id").alias("s"))
+    df = agg.select(F.when(F.col("g") < 200, 0).otherwise(F.col("g")).alias("k"), "g", "h", "c", "s",
+                    F.lit(1.0).alias("w"))
+    a = ordered_scan(df, ["k"], [F.col("s").desc(), "g", "h"], ["c", "w"], num_partitions=7)
+    b = ordered_scan(df, ["k"], [F.col("s").desc(), "g", "h"], ["c", "w"], method="window")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
