@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scan import ordered_scan
@@ -177,21 +177,21 @@ def opa(prepared: DataFrame, method: str = "range") -> DataFrame:
     Over valid pairs (i, j) of a list with label_i > label_j, the share with
     score_i > score_j, pairs weighted by the weight of i.  Per valid item
     ``P_i = #{j: l_j < l_i}`` and ``C_i = #{j: l_j < l_i, s_j < s_i}``.
-    ``P_i`` is a label-order scan.  ``C_i`` is summed over the label grades
+    ``P_i`` comes from per-grade counts.  ``C_i`` is summed over the label grades
     ``g < l_i`` present in the list: for each grade a scan ordered by score
     counts the grade-``g`` items strictly below ``s_i``.  Work grows with
     items x grades, never with pairs.
     """
     v = prepared.filter("valid").select("list_id", "item_id", "label", "score", "weight")
-    # P_i: items with a strictly smaller label
-    by_label = ordered_scan(v, ["list_id"], [F.col("label").asc(), F.col("item_id").asc()],
-                            method=method)
-    first = by_label.groupBy("list_id", "label").agg(F.min("pos").alias("__first"))
-    p = v.join(first, ["list_id", "label"]).select(
-        "list_id", "item_id", "label", "score", "weight",
-        (F.col("__first") - 1).cast("double").alias("P"))
+    # P_i: items with a strictly smaller label -- counts per (list, grade),
+    # accumulated over the grades of the list (at most #grades rows per list)
+    per_grade = v.groupBy("list_id", "label").agg(F.count(F.lit(1)).alias("__cnt"))
+    wg = Window.partitionBy("list_id").orderBy("label").rowsBetween(Window.unboundedPreceding, -1)
+    below = per_grade.select("list_id", "label",
+                             F.coalesce(F.sum("__cnt").over(wg), F.lit(0)).cast("double").alias("P"))
+    p = v.join(below, ["list_id", "label"])
     # C_i: per lower grade g, running count of grade-g items under score order
-    grades = v.select("list_id", F.col("label").alias("g")).distinct()
+    grades = per_grade.select("list_id", F.col("label").alias("g"))
     queries = (p.join(grades, "list_id").filter(F.col("g") < F.col("label"))
                .select("list_id", "g", "score", F.lit(0).alias("__kind"),
                        F.lit(0.0).alias("__is_data"), "item_id"))
