@@ -87,7 +87,7 @@ def noise_distribution(vocab: DataFrame, power: float = 0.75) -> DataFrame:
 
 
 def negative_samples(pairs: DataFrame, noise: DataFrame, k: int = 5, seed: int = 42,
-                     buckets: int = 1 << 16) -> DataFrame:
+                     buckets: int = 1 << 12) -> DataFrame:
     """``k`` noise words per pair by inverse-CDF lookup of a stable uniform;
     a draw equal to the centre is skipped, not redrawn.
 

@@ -292,8 +292,9 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
                 mat[part["idx"].to_numpy()] = np.stack(part["vec"].to_numpy())
         model.unpersist(blocking=True)
     tables.unpersist(blocking=True)
-    pdf = pd.DataFrame({"word": vp["word"], "vector": list(syn0)})
-    vec = spark.createDataFrame(pdf, "word string, vector array<double>")
+    # plain Python values: works with or without Arrow conversion enabled
+    vec = spark.createDataFrame(list(zip(vp["word"].astype(str).tolist(), syn0.tolist())),
+                                "word string, vector array<double>")
     return EmbeddingModel(vec, losses)
 
 
