@@ -219,9 +219,24 @@ def q_i2i_exact(spark, sf_dir):
                     F.round("sim", 6).alias("sim"))
 
 
-@query("i2i_lsh")
+def _i2i_lsh_sql():
+    from tessera.plans.knn_jobs import _lsh_band_sql
+    sig = "(SELECT cast(greatest(1, floor(ln(count(*)))) AS bigint) FROM embeddings)"
+    return f"""WITH {_EMB},
+nv AS (SELECT word AS id, v, nrm FROM vn),
+{_lsh_band_sql("signrp", 64, 200, sig, 5)},
+cand AS (SELECT DISTINCT a.id AS src, b.id AS cand FROM bk a JOIN bk b
+         ON a.band = b.band AND a.key = b.key AND a.id <> b.id),
+p AS (SELECT c.src, c.cand, 1 - abs(list_dot_product(a.v, b.v)) / (a.nrm * b.nrm) AS d
+      FROM cand c JOIN nv a ON a.id = c.src JOIN nv b ON b.id = c.cand),
+r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY floor(d * 1e10 + 0.5), cand) AS rk FROM p)
+SELECT src AS item1, cand AS item2, round(1 - d, 6) AS sim FROM r WHERE rk <= 10"""
+
+
+@query("i2i_lsh", _i2i_lsh_sql())
 def q_i2i_lsh(spark, sf_dir):
-    """LSH item-to-item top 10 (200 hashes, signature floor(ln n)); rows-only."""
+    """LSH item-to-item top 10 (200 sign-projection hashes, signature
+    length floor(ln n)); the SQL twin rebuilds the same buckets."""
     e = _emb(spark, sf_dir).select(F.col("word"), "vector")
     r = E.i2i_lsh(e, 10, num_hashes=200, bucket_limit=512, seed=5)
     return r.select("item1", "item2", F.round("sim", 6).alias("sim"))
