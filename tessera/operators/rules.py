@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.pairs import group_pairs
 from tessera.operators.topn import tie_key, top_n
+from tessera.session import ensure_checkpoint_dir
 
 
 
@@ -83,8 +84,14 @@ def pair_rules(df: DataFrame, items: str = "items", min_count: int = 3,
                min_confidence: float = 0.1, top: int = 10, tid: str | None = None,
                block_size: int = 512) -> DataFrame:
     """C4 alternative plan: one-to-one rules from pair support counts."""
-    tid_col = F.col(tid) if tid else F.monotonically_increasing_id()
-    t = df.select(tid_col.alias("tid"), F.array_distinct(F.col(items)).alias("items"))
+    if tid:
+        t = df.select(F.col(tid).alias("tid"), F.array_distinct(F.col(items)).alias("items"))
+    else:
+        # generated ids are frozen by a reliable checkpoint: every branch below
+        # must see the same id for a transaction, also after a lost executor
+        ensure_checkpoint_dir(df.sparkSession)
+        t = df.select(F.monotonically_increasing_id().alias("tid"),
+                      F.array_distinct(F.col(items)).alias("items")).checkpoint()
     n_trans = t.agg(F.count(F.lit(1)).alias("n_trans"))  # one row
     e = t.select("tid", F.explode("items").alias("item"))
     counts = e.groupBy("item").agg(F.count(F.lit(1)).alias("n_item"))

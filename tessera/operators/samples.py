@@ -142,16 +142,26 @@ def lookup_embedding(df: DataFrame, key: str, emb: DataFrame, emb_key: str = "id
     return df.join(e, key, "left")
 
 
+def pool_embedding_long(pairs: DataFrame, row_id: str, item: str, emb: DataFrame,
+                        emb_key: str = "id", vector: str = "vector", out: str = "pooled") -> DataFrame:
+    """I8 on the long form ``(row_id, item)``: (row_id, mean embedding of its items).
+
+    One join and one ``Summarizer.mean`` aggregate (partial aggregation
+    map-side, so a row with very many items is combined before the shuffle);
+    no list is ever materialised.
+    """
+    ev = emb.select(F.col(emb_key).alias("__k"), array_to_vector(F.col(vector)).alias("__v"))
+    return (pairs.select(F.col(row_id), F.col(item).alias("__k")).join(ev, "__k")
+            .groupBy(row_id).agg(vector_to_array(Summarizer.mean(F.col("__v"))).alias(out)))
+
+
 def pool_embedding(df: DataFrame, row_id: str, items: str, emb: DataFrame, dim: int,
                    emb_key: str = "id", vector: str = "vector", out: str = "pooled") -> DataFrame:
     """I8: mean of the embeddings of a list feature; empty lists give zeros."""
-    e = df.select(row_id, F.explode(items).alias("__k"))
-    ev = emb.select(F.col(emb_key).alias("__k"), array_to_vector(F.col(vector)).alias("__v"))
-    m = (e.join(ev, "__k").groupBy(row_id)
-         .agg(Summarizer.mean(F.col("__v")).alias("__m")))
+    e = df.select(row_id, F.explode(items).alias("__item"))
+    m = pool_embedding_long(e, row_id, "__item", emb, emb_key, vector, "__m")
     zeros = F.array_repeat(F.lit(0.0), dim)
-    return (df.join(m, row_id, "left")
-            .withColumn(out, F.coalesce(vector_to_array("__m"), zeros)).drop("__m"))
+    return df.join(m, row_id, "left").withColumn(out, F.coalesce(F.col("__m"), zeros)).drop("__m")
 
 
 def assemble_features(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:

@@ -184,13 +184,13 @@ def q_pool(spark, sf_dir):
     """Per user, the mean embedding of the event items (shared item table),
     concatenated with the looked-up embedding of the user's lowest item id."""
     ev = S.table(spark, sf_dir, "events").select("user_id", S.event_item().alias("item"))
-    users = ev.groupBy("user_id").agg(F.collect_list("item").alias("items"))
     emb = S.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"),
                                                       F.col("embedding").cast("array<double>").alias("vector"))
     known = ev.join(emb.select(F.col("id").alias("item")), "item").groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_items"))
     first = ev.groupBy("user_id").agg(F.min("item").alias("first_item"))
-    p = I.pool_embedding(users, "user_id", "items", emb, 64)
+    # the user's event items in long form: no per-user list is built
+    p = I.pool_embedding_long(ev, "user_id", "item", emb)
     p = I.lookup_embedding(p.join(first, "user_id"), "first_item", emb, out="first_emb")
     p = I.assemble_features(p, ["pooled", "first_emb"], "features")
     return (p.join(known, "user_id")

@@ -246,3 +246,21 @@ def test_sources_round_trip(spark, tmp_path):
     assert v[1] == ([0], [3.0], 2) and v[2] == ([], [], 2)
     t = IO.read_transactions(spark.createDataFrame([(" a  b a c ",)], "items string"), "items")
     assert sorted(t.first()["items"]) == ["a", "b", "c"]
+
+
+def test_pool_embedding_mean_and_empty(spark):
+    emb = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 2.0])], "id long, vector array<double>")
+    df = spark.createDataFrame([(10, [1, 2, 2]), (11, []), (12, [7])], "rid long, items array<long>")
+    got = {r["rid"]: r["pooled"] for r in I.pool_embedding(df, "rid", "items", emb, 2).collect()}
+    assert got[10] == pytest.approx([1 / 3, 4 / 3]) and got[11] == [0.0, 0.0] and got[12] == [0.0, 0.0]
+
+
+def test_pair_rules_without_transaction_ids(spark):
+    from tessera.operators import rules
+    tx = ["a b c", "a b", "a c", "b c d", "a b d", "a", "b c", "a b c d", "c d", "a d"] * 2
+    df = spark.createDataFrame([(t,) for t in tx], "items string")
+    t = IO.read_transactions(df, "items")
+    with_ids = IO.read_transactions(spark.createDataFrame(list(enumerate(tx)), "tid long, items string"), "items")
+    a = rows(rules.pair_rules(t, "items", 3, 0.1, 10))
+    b = rows(rules.pair_rules(with_ids, "items", 3, 0.1, 10, tid="tid"))
+    assert a == b and len(a) > 0
