@@ -16,27 +16,42 @@ from tessera.functions.scan import ordered_scan
 from tessera.functions.stable import stable_u01
 
 
+def vocab_from_words(words: DataFrame, word: str = "word", min_count: int = 5) -> DataFrame:
+    """D1 on the long form (one row per token): (word, cn, idx)."""
+    w = words.select(F.col(word).cast("string").alias("word")).where(F.col("word").isNotNull())
+    counts = w.groupBy("word").agg(F.count(F.lit(1)).alias("cn")).filter(F.col("cn") >= min_count)
+    return global_index(counts, [F.col("cn").desc(), F.col("word").asc()], "idx")
+
+
 def build_vocab(df: DataFrame, tokens: str = "tokens", min_count: int = 5) -> DataFrame:
     """(word, cn, idx) for words with ``cn >= min_count``; idx by count
     descending, then word.  An empty vocabulary is an error at fit time."""
-    words = df.select(F.explode(F.col(tokens)).alias("word")).where(F.col("word").isNotNull())
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("cn")).filter(F.col("cn") >= min_count)
-    return global_index(counts, [F.col("cn").desc(), F.col("word").asc()], "idx")
+    return vocab_from_words(df.select(F.explode(F.col(tokens)).alias("word")), "word", min_count)
 
 
-def encode_sentences(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", sid: str = "sid",
-                     max_len: int = 1000) -> DataFrame:
-    """(sid, chunk, pos, word, idx): known words only, renumbered 1.. per
-    sentence, cut into chunks of ``max_len`` (``chunk = (pos - 1) // max_len``)."""
+def encode_long(tokens: DataFrame, vocab: DataFrame, sid: str = "sid", order=("opos",),
+                word: str = "word", max_len: int = 1000) -> DataFrame:
+    """D2 on the long form ``(sid, order..., word)`` -- one row per token, so a
+    sentence of any length is never one row: known words only, renumbered
+    1.. per sentence by a skew-safe scan, cut into chunks of ``max_len``."""
     if max_len < 1:
         raise ValueError("max_len must be >= 1")
-    e = df.select(F.col(sid).alias("sid"), F.posexplode(F.col(tokens)).alias("opos", "word"))
+    order = [F.col(o) if isinstance(o, str) else o for o in order]
+    e = tokens.select(F.col(sid).alias("sid"), *order, F.col(word).cast("string").alias("word"))
     k = e.join(vocab.select("word", "idx"), "word")
-    r = ordered_scan(k, ["sid"], [F.col("opos").asc()], pos="pos")
+    r = ordered_scan(k, ["sid"], [o.asc() for o in order], pos="pos")
     return r.select("sid", F.floor((F.col("pos") - 1) / max_len).cast("long").alias("chunk"),
                     "pos", "word", "idx")
 
 
+def encode_sentences(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", sid: str = "sid",
+                     max_len: int = 1000) -> DataFrame:
+    """(sid, chunk, pos, word, idx): known words only, renumbered 1.. per
+    sentence, cut into chunks of ``max_len`` (``chunk = (pos - 1) // max_len``)."""
+    e = df.select(F.col(sid).alias("sid"), F.posexplode(F.col(tokens)).alias("opos", "word"))
+    return encode_long(e, vocab, "sid", ["opos"], "word", max_len)
+
+
 def subsample(encoded: DataFrame, vocab: DataFrame, sample: float = 1e-3, seed: int = 42,
               formula: str = "published") -> DataFrame:
     """D3: drop frequent words at random (keep if ``p >= stable_u01(sid, pos)``),

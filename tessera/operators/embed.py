@@ -226,8 +226,14 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
                    vector_size: int = 100, window: int = 5, min_count: int = 5,
                    max_iter: int = 1, negative: int = 0, hs: int = 1, cbow: int = 0,
                    sample: float = 0.0, step_size: float = 0.025, num_partitions: int = 1,
-                   max_len: int = 1000, seed: int = 42, batch: int = 256) -> EmbeddingModel:
-    """Train embeddings; returns a model whose table is (word, vector)."""
+                   max_len: int = 1000, seed: int = 42, batch: int = 256,
+                   order: list[str] | None = None) -> EmbeddingModel:
+    """Train embeddings; returns a model whose table is (word, vector).
+
+    ``df`` holds sentences as arrays in ``tokens``, or -- with ``order`` given --
+    the long form: one row per token (``sid``, ``order`` columns, ``tokens``
+    as the word column), so no sentence has to exist as one row.
+    """
     if vector_size < 1 or window < 1 or min_count < 0 or max_iter < 1 or num_partitions < 1:
         raise ValueError("vector_size, window, max_iter, num_partitions must be >= 1")
     if negative < 0 or hs not in (0, 1) or cbow not in (0, 1):
@@ -238,7 +244,7 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
         raise ValueError("sample in [0, 1], step_size > 0")
     spark = df.sparkSession
     ship_package(spark)
-    if cbow == 0 and hs == 1 and negative == 0 and sample == 0:
+    if cbow == 0 and hs == 1 and negative == 0 and sample == 0 and order is None:
         from pyspark.ml.feature import Word2Vec
         w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter,
                        numPartitions=num_partitions, stepSize=step_size, maxSentenceLength=max_len,
@@ -246,10 +252,18 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
         m = w2v.fit(df.select(F.col(tokens).cast("array<string>").alias(tokens)))
         vec = m.getVectors().select(F.col("word"), vector_to_array("vector").alias("vector"))
         return EmbeddingModel(vec, [])
-    x = df if sid else df.withColumn("__sid", F.monotonically_increasing_id())
-    sid = sid or "__sid"
-    x = x.select(F.col(sid).alias("sid"), F.col(tokens).cast("array<string>").alias("tokens"))
-    vocab = C.build_vocab(x, "tokens", min_count)
+    if order is not None:
+        # long form: one row per token, ordered by ``order`` inside ``sid``
+        if sid is None:
+            raise ValueError("the long form needs a sentence id column")
+        long = df.select(F.col(sid).alias("sid"), *[F.col(o) for o in order],
+                         F.col(tokens).cast("string").alias("word"))
+        vocab = C.vocab_from_words(long, "word", min_count)
+    else:
+        x = df if sid else df.withColumn("__sid", F.monotonically_increasing_id())
+        sid = sid or "__sid"
+        x = x.select(F.col(sid).alias("sid"), F.col(tokens).cast("array<string>").alias("tokens"))
+        vocab = C.build_vocab(x, "tokens", min_count)
     vp = vocab.orderBy("idx").toPandas()  # vocabulary-sized, needed by every task anyway
     V = len(vp)
     if V == 0:
@@ -261,7 +275,8 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
     w = cn ** 0.75
     cum = np.cumsum(w) / w.sum()
     codes, points = huffman_codes(cn) if hs else ([], [])
-    enc = C.encode_sentences(x, vocab, "tokens", "sid", max_len)
+    enc = (C.encode_long(long, vocab, "sid", list(order), "word", max_len) if order is not None
+           else C.encode_sentences(x, vocab, "tokens", "sid", max_len))
     sent = (enc.groupBy("sid", "chunk")
             .agg(F.sort_array(F.collect_list(F.struct("pos", "idx"))).alias("s"))
             .select((F.col("sid") * 1000003 + F.col("chunk")).alias("sid"), F.col("s.idx").alias("words")))
@@ -312,6 +327,24 @@ def embed_sentences(df: DataFrame, tokens: str, emb: DataFrame, id_col: str, dim
                         .otherwise(zeros)).drop("__s"))
 
 
+def embed_sentences_long(tokens: DataFrame, id_col: str, word: str, emb: DataFrame, dim: int,
+                         emb_word: str = "word", vector: str = "vector",
+                         out: str = "embedding") -> DataFrame:
+    """D9 on the long form (one row per token): summed known vectors divided by
+    the sentence's token count.  Map-side partial aggregation combines a long
+    sentence before the shuffle; sentences are never materialised as rows."""
+    ev = emb.select(F.col(emb_word).cast("string").alias("__w"),
+                    array_to_vector(F.col(vector).cast("array<double>")).alias("__v"))
+    t = tokens.select(F.col(id_col), F.col(word).cast("string").alias("__w"))
+    n = t.groupBy(id_col).agg(F.count(F.lit(1)).alias("__n"))
+    s = t.join(ev, "__w").groupBy(id_col).agg(vector_to_array(Summarizer.sum(F.col("__v"))).alias("__s"))
+    # sentences without any known word: zero vector of the model's size
+    zeros = F.array_repeat(F.lit(0.0), dim)
+    return (n.join(s, id_col, "left")
+            .select(id_col, F.when(F.col("__s").isNull(), zeros)
+                    .otherwise(F.transform("__s", lambda v: v / F.col("__n"))).alias(out)))
+
+
 def find_synonyms_vec(emb: DataFrame, vec, num: int, word: str = "word", vector: str = "vector",
                       exclude: str | None = None) -> DataFrame:
     """(word, similarity) -- signed cosine, top ``num``; zero norm -> 0."""

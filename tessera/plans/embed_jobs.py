@@ -17,6 +17,16 @@ def _docs(spark, sf_dir):
     return S.document_words(spark, sf_dir).select(F.col("doc_id").alias("sid"), F.col("words").alias("tokens"))
 
 
+def _seqs_long(spark, sf_dir):
+    """Event items in long form: (sid = user, ts, event_id, word = item)."""
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select(F.col("user_id").alias("sid"), "ts", "event_id",
+                     S.event_item().cast("string").alias("word"))
+
+
+ORDER = ["ts", "event_id"]
+
+
 def _seqs(spark, sf_dir):
     s = read_sequences(S.event_sequences(spark, sf_dir), "item_ids", ",")
     return s.select(F.col("user_id").alias("sid"), F.col("item_ids").alias("tokens"))
@@ -79,9 +89,9 @@ def q_subsample(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir):
-    s = _seqs(spark, sf_dir)
-    v = C.build_vocab(s, "tokens", 5)
-    return C.context_pairs(C.encode_sentences(s, v, "tokens", "sid", 1000), 5), v
+    s = _seqs_long(spark, sf_dir)
+    v = C.vocab_from_words(s, "word", 5)
+    return C.context_pairs(C.encode_long(s, v, "sid", ORDER, "word", 1000), 5), v
 
 
 @query("context_pairs", f"""WITH {_SEQ}, {_PAIRS}
@@ -101,7 +111,7 @@ _NOISE = """nz AS (SELECT idx, w / sum(w) OVER () AS prob,
 SELECT cast(idx AS bigint) AS idx, round(prob, 6) AS prob, round(cum, 6) AS cum FROM nz""")
 def q_noise(spark, sf_dir):
     """unigram^0.75 noise distribution of the event vocabulary."""
-    v = C.build_vocab(_seqs(spark, sf_dir), "tokens", 5)
+    v = C.vocab_from_words(_seqs_long(spark, sf_dir), "word", 5)
     n = C.noise_distribution(v)
     return n.select("idx", F.round("prob", 6).alias("prob"), F.round("cum", 6).alias("cum"))
 
@@ -123,8 +133,8 @@ def q_negatives(spark, sf_dir):
 def q_fit_sgns(spark, sf_dir):
     """Skip-gram with 5 negatives, subsampling, 3 iterations, dim 16 on
     event sequences; rows-only (quality is tested in the unit tests)."""
-    m = E.fit_embeddings(_seqs(spark, sf_dir), "tokens", "sid", vector_size=16, window=5, min_count=5,
-                         max_iter=3, negative=5, hs=0, sample=1e-3, num_partitions=4, seed=7)
+    m = E.fit_embeddings(_seqs_long(spark, sf_dir), "word", "sid", vector_size=16, window=5, min_count=5,
+                         max_iter=3, negative=5, hs=0, sample=1e-3, num_partitions=4, seed=7, order=ORDER)
     return m.embedding_table().select("word", F.round(F.sqrt(F.aggregate(
         "vector", F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
 
@@ -132,14 +142,15 @@ def q_fit_sgns(spark, sf_dir):
 @query("fit_embeddings_cbow_hs")
 def q_fit_cbow(spark, sf_dir):
     """CBOW with hierarchical softmax (own kernel), 2 iterations; rows-only."""
-    m = E.fit_embeddings(_seqs(spark, sf_dir), "tokens", "sid", vector_size=16, window=3, min_count=5,
-                         max_iter=2, negative=0, hs=1, cbow=1, num_partitions=4, seed=7)
+    m = E.fit_embeddings(_seqs_long(spark, sf_dir), "word", "sid", vector_size=16, window=3, min_count=5,
+                         max_iter=2, negative=0, hs=1, cbow=1, num_partitions=4, seed=7, order=ORDER)
     return m.embedding_table().select("word", F.size("vector").alias("dim"))
 
 
 @query("fit_embeddings_spark_ml")
 def q_fit_ml(spark, sf_dir):
-    """D6 default configuration (skip-gram, hierarchical softmax) via Spark ML."""
+    """A3 + D6 default configuration (skip-gram, hierarchical softmax) via Spark ML,
+    which takes sentences as arrays (the comma-separated sequence reader)."""
     m = E.fit_embeddings(_seqs(spark, sf_dir), "tokens", vector_size=16, window=5, min_count=5,
                          max_iter=1, num_partitions=4, seed=7)
     return m.embedding_table().select("word", F.size("vector").alias("dim"))
@@ -174,8 +185,7 @@ SELECT s.sid AS user_id, round(sum(coalesce(vn.vsum, 0.0)) / count(*), 6) AS emb
 FROM seqw s LEFT JOIN vn USING (word) GROUP BY s.sid""")
 def q_embed_sentences(spark, sf_dir):
     """A user's sequence vector = summed item vectors / sequence length."""
-    s = _seqs(spark, sf_dir)
-    out = E.embed_sentences(s, "tokens", _emb(spark, sf_dir), "sid", 64)
+    out = E.embed_sentences_long(_seqs_long(spark, sf_dir), "sid", "word", _emb(spark, sf_dir), 64)
     return out.select(F.col("sid").alias("user_id"),
                       F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("emb_sum"))
 
