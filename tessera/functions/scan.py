@@ -83,6 +83,28 @@ def _scan_partition(keys: list[str], sums: list[str]):
     return fn
 
 
+def _range_count(df: DataFrame) -> int:
+    """Number of ranges: the optimizer's size estimate over the advisory
+    partition size, at least the default parallelism, capped by
+    ``spark.sql.shuffle.partitions``.
+
+    The ranges are fixed (AQE does not coalesce an explicit range
+    repartition), so small inputs should not be cut into hundreds of tiny
+    Python tasks; size estimates err on the large side, so big inputs get
+    the full shuffle parallelism.
+    """
+    spark = df.sparkSession
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    try:
+        target_b = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimates unavailable: use the configured parallelism
+        return cap
+    floor = min(cap, spark.sparkContext.defaultParallelism)  # keep every core busy
+    return max(1, floor, min(cap, -(-est // max(target_b, 1))))
+
+
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                  sums: Sequence[str] = (), pos: str = "pos", prefix: str = "cum_",
                  method: str = "range", num_partitions: int | None = None) -> DataFrame:
@@ -102,7 +124,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
         raise ValueError(f"unknown method {method!r}")
     spark = df.sparkSession
     ship_package(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or _range_count(df)
     key_cols = [F.col(k) for k in keys]
     ranged = df.repartitionByRange(n, *key_cols, *order).sortWithinPartitions(*key_cols, *order)
     schema = T.StructType(
