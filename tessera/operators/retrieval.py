@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scan import ordered_scan
@@ -33,10 +33,13 @@ from tessera.operators.topn import tie_key
 
 
 def rec_lists(i2i: DataFrame) -> DataFrame:
-    """F1: (item1, item2, pos) with pos 1.. by score desc, item2 asc."""
-    w = Window.partitionBy("item1").orderBy(tie_key("score").desc(),
-                                            F.col("item2").asc())
-    return i2i.select("item1", "item2", F.row_number().over(w).alias("pos"))
+    """F1: (item1, item2, pos) with pos 1.. by score desc, item2 asc.
+
+    A skew-safe scan: with rank ties an item's list is not bounded by N.
+    """
+    r = ordered_scan(i2i.select("item1", "item2", "score"), ["item1"],
+                     [tie_key("score").desc(), F.col("item2").asc()], pos="pos")
+    return r.select("item1", "item2", "pos")
 
 
 def next_item_truth(behaviour: DataFrame) -> DataFrame:

@@ -200,3 +200,18 @@ def test_log_loss_and_listwise_loss(spark):
     p = np.exp(y) / np.exp(y).sum()
     assert got[1] == pytest.approx(-(p * (z - np.log(np.exp(z).sum()))).sum())
     assert got[2] == pytest.approx(0.0)
+
+
+def test_hot_list_metrics_match_window_plan(spark):
+    # one list holds a third of all rows: the range plan must agree with the
+    # single-window plan
+    rnd = random.Random(8)
+    data = [(0, f"h{j}", float(rnd.randint(0, 3)), rnd.random(), 1.0) for j in range(3000)]
+    data += [(l, f"i{j}", float(rnd.randint(-1, 3)), rnd.random(), 1.0) for l in range(1, 600) for j in range(10)]
+    df = spark.createDataFrame(data, "list_id long, item_id string, label double, score double, weight double")
+    p = R.prepare_lists(df)
+    for fn in (lambda m: R.ndcg(p, 20, method=m), lambda m: R.mean_average_precision(p, None, method=m),
+               lambda m: R.opa(p, method=m)):
+        a = sorted((r[0], round(r[1], 9), round(r[2], 9)) for r in fn("range").collect())
+        b = sorted((r[0], round(r[1], 9), round(r[2], 9)) for r in fn("window").collect())
+        assert a == b
