@@ -264,3 +264,45 @@ def test_pair_rules_without_transaction_ids(spark):
     a = rows(rules.pair_rules(t, "items", 3, 0.1, 10))
     b = rows(rules.pair_rules(with_ids, "items", 3, 0.1, 10, tid="tid"))
     assert a == b and len(a) > 0
+
+
+def test_nearest_neighbors_dispatch_and_checks(spark, vec_df):
+    vecs, df = vec_df
+    brute = H.nearest_neighbors(df, None, 3, "brute", metric="Cosine")
+    assert brute.count() == 61 * 3            # zero vector excluded
+    with pytest.raises(ValueError):
+        H.nearest_neighbors(df, None, 3, "brute")              # metric required
+    with pytest.raises(ValueError):
+        H.nearest_neighbors(df, None, 3, "signRP")             # seed required
+    with pytest.raises(ValueError):
+        H.nearest_neighbors(df, None, 3, "kdtree", seed=1)     # unknown algorithm
+    lsh = H.nearest_neighbors(df, df, 3, "signRP", num_hashes=32, signature_length=4, seed=2)
+    assert lsh.groupBy("src").count().agg(F.max("count")).first()[0] <= 3
+    with pytest.raises(ValueError):
+        H.HashFamily("signRP", 6, num_hashes=8, signature_length=16, seed=1)
+
+
+def test_knn_query_jaccard_and_minhash_query(spark):
+    sets = {i: sorted({i % 7, (i * 3) % 11, 20 + i % 5}) for i in range(50)}
+    df = spark.createDataFrame([(i, s) for i, s in sets.items()], "id long, vector array<long>")
+    q = sets[4]
+    exact = K.knn_query(q, df, 5, "jaccard").collect()
+    assert exact[0]["distance"] == pytest.approx(0.0)
+    want = sorted((round(1 - len(set(q) & set(s)) / len(set(q) | set(s)), 10), i) for i, s in sets.items())[:5]
+    assert [(round(r["distance"], 10), r["id"]) for r in exact] == want
+    fam = H.HashFamily("minhash", 0, num_hashes=20, signature_length=2, seed=4)
+    approx = H.lsh_query(q, df, 5, fam).collect()
+    assert approx[0]["id"] in {i for i, s in sets.items() if s == q}
+
+
+def test_feature_helpers(spark):
+    df = spark.createDataFrame([(1, "a", [1.0, 2.0], ["x", "y"])], "id long, k string, v array<double>, items array<string>")
+    emb = spark.createDataFrame([("a", [0.5, 0.5])], "id string, vector array<double>")
+    got = I.lookup_embedding(df, "k", emb).first()
+    assert got["k_emb"] == [0.5, 0.5]
+    assert I.assemble_features(I.lookup_embedding(df, "k", emb), ["v", "k_emb"]).first()["features"] == [1.0, 2.0, 0.5, 0.5]
+    ex = rows(I.expand_request(df.select("id", "items"), "items"), "id", "slot", "item_id")
+    assert ex == [(1, 0, "x"), (1, 1, "y")]
+    assert I.hash_bucket(F.lit("abc"), 10) is not None
+    hb = spark.range(0, 500).select(I.hash_bucket(F.col("id").cast("string"), 7).alias("b")).distinct().count()
+    assert hb == 7
