@@ -83,6 +83,36 @@ def _scan_partition(keys: list[str], sums: list[str]):
     return fn
 
 
+def _segment_totals(keys: list[str], sums: list[str]):
+    """Per batch and run of equal keys: (pid, keys..., n, sums...).  Only
+    these small rows leave Python; runs cut by batch boundaries are merged by
+    the aggregate that follows."""
+    def fn(batches):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            n = len(pdf)
+            changed = np.zeros(n, dtype=bool)
+            changed[0] = True
+            for k in keys:
+                a = pdf[k].to_numpy()
+                na = pd.isna(a)
+                changed[1:] |= (a[1:] != a[:-1]) & ~(na[1:] & na[:-1])
+            gid = np.cumsum(changed)
+            starts = np.flatnonzero(changed)
+            out = {"__pid": np.full(len(starts), pid, dtype=np.int32)}
+            for k in keys:
+                out[k] = pdf[k].iloc[starts].to_numpy()
+            out["__n"] = np.bincount(gid, minlength=gid[-1] + 1)[1:].astype(np.int64)
+            for c in sums:
+                v = pdf[c].astype("float64").fillna(0.0).to_numpy()
+                out[f"__s_{c}"] = np.bincount(gid, weights=v, minlength=gid[-1] + 1)[1:]
+            yield pd.DataFrame(out)
+    return fn
+
+
 def _range_count(df: DataFrame) -> int:
     """Number of ranges: the optimizer's size estimate over the advisory
     partition size, at least the default parallelism, capped by
@@ -132,15 +162,19 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
         + [T.StructField("__pid", T.IntegerType()), T.StructField("__lpos", T.LongType())]
         + [T.StructField(f"__lsum_{c}", T.DoubleType()) for c in sums])
     local = ranged.mapInPandas(_scan_partition(keys, sums), schema)
-    # Per (range, group) segment totals.  They are taken from the output of
-    # the same Python pass, not from ``ranged`` directly: neither column
-    # pruning nor constant folding can reach below the Python node, so both
-    # branches share one range exchange (ReusedExchange) and therefore one
-    # assignment of rows to ranges, whatever the input plan looks like.
-    seg = (local.groupBy("__pid", *keys)
-           .agg(F.count(F.lit(1)).alias("__n"),
-                *[F.sum(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(f"__s_{c}")
-                  for c in sums]))
+    # Per (range, group) segment totals from a second, light Python pass over
+    # the same sorted ranges (only one small row per run of keys comes back).
+    # Neither column pruning nor constant folding can reach below a Python
+    # node, so both passes read one shared range exchange (ReusedExchange) and
+    # see one assignment of rows to ranges, whatever the input plan looks like.
+    seg_schema = T.StructType(
+        [T.StructField("__pid", T.IntegerType())]
+        + [df.schema[k] for k in keys]
+        + [T.StructField("__n", T.LongType())]
+        + [T.StructField(f"__s_{c}", T.DoubleType()) for c in sums])
+    seg = (ranged.mapInPandas(_segment_totals(keys, sums), seg_schema)
+           .groupBy("__pid", *keys)
+           .agg(F.sum("__n").alias("__n"), *[F.sum(f"__s_{c}").alias(f"__s_{c}") for c in sums]))
     wo = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = (seg.select("__pid", *keys, F.sum("__n").over(wo).alias("__off"),
                        *[F.sum(f"__s_{c}").over(wo).alias(f"__off_{c}") for c in sums])
