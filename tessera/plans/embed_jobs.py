@@ -65,7 +65,7 @@ def q_vocab(spark, sf_dir):
 
 @query("encode_sentences", f"""WITH {_DOC_VOCAB}
 SELECT sid AS doc_id, cast(floor((pos - 1) / 1000) AS bigint) AS chunk, count(*) AS n,
-       sum(idx) AS idx_sum, max(pos) AS max_pos FROM enc GROUP BY 1, 2""")
+       cast(sum(idx) AS bigint) AS idx_sum, max(pos) AS max_pos FROM enc GROUP BY 1, 2""")
 def q_encode(spark, sf_dir):
     """Documents encoded to vocabulary ids, chunks of 1000 words."""
     d = _docs(spark, sf_dir)
@@ -78,7 +78,7 @@ def q_encode(spark, sf_dir):
 tot AS (SELECT sum(cn) AS total FROM dvi),
 x AS (SELECT e.*, cast(e.cn AS double) / (cast(0.001 AS double) * tot.total) AS xx FROM enc e, tot),
 k AS (SELECT * FROM x WHERE (sqrt(xx) + 1) / xx >= {sql_stable_u01_parts(['sid', 'pos'])})
-SELECT sid AS doc_id, count(*) AS n_kept, sum(idx) AS idx_sum FROM k GROUP BY 1""")
+SELECT sid AS doc_id, count(*) AS n_kept, cast(sum(idx) AS bigint) AS idx_sum FROM k GROUP BY 1""")
 def q_subsample(spark, sf_dir):
     """D3: frequent-word subsampling at 1e-3 (published keep probability)."""
     d = _docs(spark, sf_dir)

@@ -123,7 +123,7 @@ pr AS (SELECT a.list_id, sum(CASE WHEN a.score > b.score THEN a.weight ELSE 0.0
        FROM prep a JOIN prep b ON a.list_id = b.list_id AND a.label > b.label
        WHERE a.valid AND b.valid GROUP BY 1),
 l AS (SELECT DISTINCT list_id FROM prep WHERE valid),
-m AS (SELECT l.list_id, coalesce(w, 0.0) AS weight,
+m AS (SELECT l.list_id, CAST(coalesce(w, 0.0) AS DOUBLE) AS weight,
              CASE WHEN coalesce(w, 0.0) <> 0 THEN c / w ELSE 0.0 END AS opa
       FROM l LEFT JOIN pr USING (list_id))
 SELECT list_id, round(opa, 6) AS opa, round(weight, 6) AS weight FROM m""")

@@ -20,8 +20,8 @@ def q_read_ratings(spark, sf_dir):
 
 
 _KEYS_SQL = f"""{Q.WORDS},
-bag AS (SELECT doc_id, 'w' || chr(9) || word AS key, 1.0 AS value FROM words
-        UNION ALL SELECT doc_id, 'lang' || chr(9) || lang, 1.0 FROM documents),
+bag AS (SELECT doc_id, 'w' || chr(9) || word AS key, CAST(1.0 AS DOUBLE) AS value FROM words
+        UNION ALL SELECT doc_id, 'lang' || chr(9) || lang, CAST(1.0 AS DOUBLE) FROM documents),
 fidx AS (SELECT key, row_number() OVER (ORDER BY key) - 1 AS idx
          FROM (SELECT DISTINCT key FROM bag))"""
 

@@ -8,8 +8,8 @@ RATINGS = """ratings AS (
 
 BEHAVIOUR = """beh AS (
   SELECT user_id AS "user", cast(json_extract_string(props, '$.k') AS bigint) AS item,
-         CASE event_type WHEN 'purchase' THEN 3.0 WHEN 'click' THEN 2.0
-                         WHEN 'view' THEN 1.0 ELSE 0.0 END AS relevance,
+         CAST(CASE event_type WHEN 'purchase' THEN 3.0 WHEN 'click' THEN 2.0
+                              WHEN 'view' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS relevance,
          epoch_us(ts) AS ts
   FROM events)"""
 
@@ -91,13 +91,13 @@ DIVERSITY = """dbase AS (
   SELECT l_orderkey AS list_id,
          cast(l_partkey AS varchar) || ':' || cast(l_linenumber AS varchar) || ':'
            || cast(l_suppkey AS varchar) AS item_id,
-         l_returnflag AS subtopic, CASE WHEN l_quantity >= 25 THEN 1.0 ELSE 0.0 END AS label,
+         l_returnflag AS subtopic, CAST(CASE WHEN l_quantity >= 25 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label,
          l_extendedprice AS score, 1.0 AS weight
   FROM lineitem),
 ditems_raw AS (
   SELECT list_id, item_id, first(score) AS raw_score, first(weight) AS weight,
          max(CASE WHEN label >= 0 THEN 1 ELSE 0 END) AS v,
-         max(CASE WHEN label >= 1 THEN 1.0 ELSE 0.0 END) AS any_rel
+         CAST(max(CASE WHEN label >= 1 THEN 1.0 ELSE 0.0 END) AS DOUBLE) AS any_rel
   FROM dbase GROUP BY 1, 2),
 ditems AS (
   SELECT list_id, item_id,

@@ -47,6 +47,19 @@ def test_query_matches_sql_oracle(spark, duck, name):
     assert got == want
 
 
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_types_match_sql_oracle(spark, duck, name):
+    df = QUERIES[name](spark, SF)
+    spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    assert spark_types == duck_types
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_rows_only_queries_run(spark, name):
     df = QUERIES[name](spark, SF)
