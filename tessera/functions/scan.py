@@ -7,14 +7,17 @@ preceding)`` give, but without sending a whole group to one task:
 
 1. ``repartitionByRange(n, keys..., order...)`` cuts the globally sorted rows
    into ``n`` ranges; a hot group simply spans several ranges;
-2. a vectorised pass per range (``mapInPandas``; pandas ``cumcount`` /
+2. a vectorised pass per range (``mapInPandas``; numpy positions and pandas
    ``cumsum`` over the sorted batch, state carried across Arrow batches)
    gives positions and sums local to the range;
-3. the per-(range, group) totals are an aggregate with one row per group
-   segment; a group that continues from earlier ranges gets the totals of
-   those ranges as an offset.  At most one group per range continues from
-   an earlier range, so the offset table has at most ``n`` rows and is
-   broadcast under that bound.
+3. a second, light pass over the same ranges returns one row per run of
+   equal keys (count and sums); a group that continues from earlier ranges
+   gets the totals of those ranges as an offset.  At most one group per
+   range continues from an earlier range, so the offset table has at most
+   ``n`` rows and is broadcast under that bound.
+
+The number of ranges follows the optimizer's size estimate (at least the
+default parallelism, at most ``spark.sql.shuffle.partitions``).
 
 ``method='window'`` gives the same result with plain window functions (one
 hash exchange, whole group per task) for callers that know their groups are
@@ -74,11 +77,9 @@ def _scan_partition(keys: list[str], sums: list[str]):
                 out[f"__lsum_{c}"] = s
             # state for the next batch of the same range
             last_key = tuple(None if pd.isna(a[-1]) else a[-1] for a in karr)
-            last_gid = gid.iloc[-1]
             carry_pos = int(out["__lpos"].iloc[-1])
             for c in sums:
                 carry[c] = float(out[f"__lsum_{c}"].iloc[-1])
-            del last_gid
             yield out
     return fn
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.stable import sql_stable_hash, sql_stable_u01
 from tessera.operators import samples as I
-from tessera.plans import sqlparts as Q
 from tessera.plans import standins as S
 from tessera.plans.catalog import query
 
