@@ -306,3 +306,11 @@ def test_feature_helpers(spark):
     assert I.hash_bucket(F.lit("abc"), 10) is not None
     hb = spark.range(0, 500).select(I.hash_bucket(F.col("id").cast("string"), 7).alias("b")).distinct().count()
     assert hb == 7
+
+
+def test_save_table_overwrites(spark):
+    df = spark.createDataFrame([(1, "a")], "id long, v string")
+    IO.save_table(df, "tessera_test_table")
+    IO.save_table(df.union(df), "tessera_test_table")
+    assert spark.table("tessera_test_table").count() == 2
+    spark.sql("DROP TABLE tessera_test_table")
