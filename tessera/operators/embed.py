@@ -26,6 +26,7 @@ import heapq
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark import StorageLevel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -282,7 +283,12 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
             .select((F.col("sid") * 1000003 + F.col("chunk")).alias("sid"), F.col("s.idx").alias("words")))
     ensure_checkpoint_dir(spark)
     # fixed order inside partitions (SGD is order dependent); reliable checkpoint cuts lineage
-    sent = sent.repartition(num_partitions, "sid").sortWithinPartitions("sid").checkpoint()
+    sent = sent.repartition(num_partitions, "sid").sortWithinPartitions("sid")
+    # persist first so the checkpoint write does not recompute the encoding
+    sent.persist(StorageLevel.MEMORY_AND_DISK)
+    staged = sent
+    sent = sent.checkpoint()
+    staged.unpersist()
     rng = np.random.default_rng(seed)
     syn0 = ((rng.random((V, vector_size)) - 0.5) / vector_size).astype(np.float64)
     syn1 = np.zeros((max(V - 1, 1), vector_size))

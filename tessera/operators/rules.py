@@ -14,6 +14,7 @@ kept).  Lifts are ranked on 10 decimals (``topn.tie_key``).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,8 +91,11 @@ def pair_rules(df: DataFrame, items: str = "items", min_count: int = 3,
         # generated ids are frozen by a reliable checkpoint: every branch below
         # must see the same id for a transaction, also after a lost executor
         ensure_checkpoint_dir(df.sparkSession)
-        t = df.select(F.monotonically_increasing_id().alias("tid"),
-                      F.array_distinct(F.col(items)).alias("items")).checkpoint()
+        staged = df.select(F.monotonically_increasing_id().alias("tid"),
+                           F.array_distinct(F.col(items)).alias("items"))
+        staged.persist(StorageLevel.MEMORY_AND_DISK)  # the checkpoint write reuses it
+        t = staged.checkpoint()
+        staged.unpersist()
     n_trans = t.agg(F.count(F.lit(1)).alias("n_trans"))  # one row
     e = t.select("tid", F.explode("items").alias("item"))
     counts = e.groupBy("item").agg(F.count(F.lit(1)).alias("n_item"))
