@@ -101,7 +101,7 @@ def _train_partition(params: dict, bc_model, bc_tables, iteration: int):
         for pdf in batches:
             for sid, words in zip(pdf["sid"], pdf["words"]):
                 w = np.asarray(words, np.int64)
-                rng = np.random.default_rng([seed, iteration, int(sid) & 0x7FFFFFFF, len(w)])
+                rng = np.random.default_rng([seed, iteration, int(sid) & 0x7FFFFFFFFFFFFFFF, len(w)])
                 if sample > 0 and len(w):
                     x = cn[w] / (sample * total)
                     w = w[((np.sqrt(x) + 1) / x) >= rng.random(len(w))]
@@ -280,7 +280,8 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
            else C.encode_sentences(x, vocab, "tokens", "sid", max_len))
     sent = (enc.groupBy("sid", "chunk")
             .agg(F.sort_array(F.collect_list(F.struct("pos", "idx"))).alias("s"))
-            .select((F.col("sid") * 1000003 + F.col("chunk")).alias("sid"), F.col("s.idx").alias("words")))
+            # one long key per (sentence, chunk) for the kernel's seeded draws
+            .select(F.xxhash64("sid", "chunk").alias("sid"), F.col("s.idx").alias("words")))
     ensure_checkpoint_dir(spark)
     # fixed order inside partitions (SGD is order dependent); reliable checkpoint cuts lineage
     sent = sent.repartition(num_partitions, "sid").sortWithinPartitions("sid")
