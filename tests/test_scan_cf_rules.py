@@ -140,3 +140,32 @@ def test_ordered_scan_on_shuffled_input_with_constant_columns(spark):
     a = ordered_scan(df, ["k"], [F.col("s").desc(), "g", "h"], ["c", "w"], num_partitions=7)
     b = ordered_scan(df, ["k"], [F.col("s").desc(), "g", "h"], ["c", "w"], method="window")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_job_entry_points(spark):
+    from tessera.plans import jobs
+    data = [("u1", "a", 5.0), ("u1", "b", 3.0), ("u2", "a", 4.0), ("u2", "b", 4.0), ("u2", "c", 1.0)]
+    spark.createDataFrame(data, "user string, item string, rating double").createOrReplaceTempView("tessera_ratings")
+    sims = jobs.item_cf_job(spark, "tessera_ratings", top_n=5)
+    assert {(r.item1, r.item2) for r in sims.collect()} >= {("a", "b"), ("b", "a")}
+    spark.createDataFrame([("a b c",), ("a b",), ("a c",), ("a b c",)], "items string") \
+        .createOrReplaceTempView("tessera_baskets")
+    r = jobs.fp_growth_job(spark, "tessera_baskets", min_support_count=2)
+    assert r.count() > 0
+    vec = spark.createDataFrame([(i, [float(i % 3), 1.0, float(i % 5)]) for i in range(30)], "id long, vector array<double>")
+    nn = jobs.nearest_neighbor_job(spark, vec, algorithm="brute", metric="l2", k=2)
+    assert nn.columns == ["itemId", "candidateId", "distance"] and nn.count() == 60
+
+
+def test_job_entry_points_metrics_and_embeddings(spark):
+    from tessera.plans import jobs
+    beh = spark.createDataFrame([("u1", "a", 1.0, 1), ("u1", "b", 1.0, 2), ("u2", "a", 1.0, 1), ("u2", "c", 1.0, 2)],
+                                "user string, item string, relevance double, timestamp long")
+    i2i = spark.createDataFrame([("a", "b", 0.9), ("a", "c", 0.5)], "item1 string, item2 string, score double")
+    m = {r.k: r for r in jobs.recall_metrics_job(spark, beh, i2i, [1, 2]).collect()}
+    assert m[1].recall == 0.5 and m[2].recall == 1.0
+    seq = spark.createDataFrame([(u, ",".join(f"i{(u * 7 + j) % 12}" for j in range(20))) for u in range(30)],
+                                "user_id long, item_ids string")
+    vectors, sims = jobs.embedding_job(spark, seq, vector_size=8, min_count=1, max_iter=2, negative=3,
+                                       sample=0.0, num_partitions=2, top_n=3)
+    assert vectors.count() == 12 and sims.groupBy("item1").count().agg(F.max("count")).first()[0] <= 3
