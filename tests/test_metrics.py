@@ -215,3 +215,22 @@ def test_hot_list_metrics_match_window_plan(spark):
         a = sorted((r[0], round(r[1], 9), round(r[2], 9)) for r in fn("range").collect())
         b = sorted((r[0], round(r[1], 9), round(r[2], 9)) for r in fn("window").collect())
         assert a == b
+
+
+def test_diversity_metrics_with_invalid_labels(spark):
+    # list 1: item c has only padding labels (-1) -> invalid, sorts last
+    cells = [(1, "a", "t1", 1.0, 0.9), (1, "a", "t2", 0.0, 0.9), (1, "b", "t1", 1.0, 0.5),
+             (1, "b", "t2", 1.0, 0.5), (1, "c", "t1", -1.0, 0.99), (1, "c", "t2", -1.0, 0.99),
+             (2, "x", "t1", 0.0, 0.3), (2, "y", "t1", 0.0, 0.2)]
+    df = spark.createDataFrame(cells, "list_id long, item_id string, subtopic string, label double, score double")
+    items, cl = R.prepare_diversity(df, weight=None)
+    it = {(r.list_id, r.item_id): r for r in items.collect()}
+    assert not it[(1, "c")].valid and it[(1, "c")].score == pytest.approx(0.5 - 1e-6)
+    pia = {r.list_id: r.precision_ia for r in R.precision_ia(items, cl, 2).collect()}
+    # top 2 of list 1: a (t1), b (t1, t2) -> 3 relevant cells / (2 subtopics * 2 items)
+    assert pia[1] == pytest.approx(3 / 4) and pia[2] == 0.0
+    ad = {r.list_id: (r.alpha_dcg, r.weight) for r in R.alpha_dcg(items, cl, None, 0.5).collect()}
+    # a at rank 1: gain 1 (t1); b at rank 2: t1 seen once -> 0.5, t2 new -> 1; c: labels cleaned to 0
+    want = 1.0 / math.log2(2) + 1.5 / math.log2(3)
+    assert ad[1][0] == pytest.approx(want / ad[1][1]) and ad[1][1] == pytest.approx(1.0)
+    assert ad[2][0] == 0.0
