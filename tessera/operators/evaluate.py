@@ -121,7 +121,7 @@ def ctr_fit(df: DataFrame, categorical: list[str], numeric: list[str] | None = N
     """Distributed CTR baseline: hashed one-hot features + logistic regression.
 
     Stands in for the reference's small dense network (a single-machine
-    TensorFlow graph): the feature side (hash buckets, bucketized numbers)
+    neural-network graph): the feature side (hash buckets, bucketized numbers)
     is the same, the model is Spark ML's distributed logistic regression.
     """
     from pyspark.ml import Pipeline
