@@ -39,6 +39,7 @@ from tessera.operators import lsh as H
 from tessera.operators.topn import tie_key
 from tessera.session import ensure_checkpoint_dir, ship_package
 
+# Fixed value: sigmoid arguments are clipped at +-6.
 MAX_EXP = 6.0
 
 
