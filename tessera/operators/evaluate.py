@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scan import ordered_scan
 
-AUC_EPSILON = 1e-6      # added to recall's numerator/denominator and FPR's denominator
-THRESHOLD_EPSILON = 1e-7  # end thresholds are -1e-7 and 1 + 1e-7
+# Fixed values of the thresholded AUC: 1e-6 is added to recall's numerator and
+# denominator and to the false-positive rate's denominator; the end thresholds
+# are -1e-7 and 1 + 1e-7.
+AUC_EPSILON = 1e-6
+THRESHOLD_EPSILON = 1e-7
 
 
 def auc_binned(df: DataFrame, num_thresholds: int = 200, label: str = "label",
