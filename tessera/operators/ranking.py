@@ -273,3 +273,38 @@ def alpha_dcg(items: DataFrame, cells: DataFrame, n: int | None = None, alpha: f
     d = d.join(list_weights(items, F.col("any_rel")), "list_id")
     return d.select("list_id", F.when(F.col("weight") != 0, F.col("__adcg") / F.col("weight"))
                     .otherwise(0.0).alias("alpha_dcg"), "weight")
+
+
+def ndcg_report(prepared: DataFrame, ns=(1, 4, 8, 20, None),
+                gain: Callable[[Column], Column] = default_gain,
+                discount: Callable[[Column], Column] = default_discount,
+                method: str = "range") -> DataFrame:
+    """G8 at several cut-offs at once (the evaluation set 1, 4, 8, 20, all):
+    one row of weighted means ``ndcg_<n>`` / ``ndcg_all``.
+
+    One scan for the predicted order and one for the ideal order serve every
+    cut-off; each is a conditional sum in one per-list aggregate.
+    """
+    def name(n):
+        return "ndcg_all" if n is None else f"ndcg_{n}"
+
+    def cut(col, n):
+        return F.lit(True) if n is None else (F.col(col) <= n)
+
+    r = rank_lists(prepared, method=method)
+    t = dcg_terms(r, "pos", gain, discount)
+    d = r.groupBy("list_id").agg(*[F.sum(F.when(cut("pos", n), t).otherwise(0.0)).alias(f"d_{i}")
+                                   for i, n in enumerate(ns)])
+    ideal = ordered_scan(prepared.withColumn("__ideal", F.col("weight") * F.col("label")),
+                         ["list_id"], [F.col("__ideal").desc(), F.col("item_id").asc()],
+                         pos="ipos", method=method)
+    ti = dcg_terms(ideal, "ipos", gain, discount)
+    i = ideal.groupBy("list_id").agg(*[F.sum(F.when(cut("ipos", n), ti).otherwise(0.0)).alias(f"i_{k}")
+                                       for k, n in enumerate(ns)])
+    w = list_weights(prepared, gain(F.col("label")))
+    per = d.join(i, "list_id").join(w, "list_id")
+    per = per.select("weight", *[F.when(F.col(f"i_{k}") != 0, F.col(f"d_{k}") / F.col(f"i_{k}"))
+                                 .otherwise(0.0).alias(name(n)) for k, n in enumerate(ns)])
+    tot = F.sum("weight")
+    return per.agg(*[F.when(tot != 0, F.sum(F.col(name(n)) * F.col("weight")) / tot).otherwise(0.0)
+                     .alias(name(n)) for n in ns])

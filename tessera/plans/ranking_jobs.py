@@ -179,3 +179,33 @@ def q_alpha_dcg(spark, sf_dir):
     """Alpha-DCG (alpha 0.5) over whole lists."""
     items, cells = _div(spark, sf_dir)
     return _out(R.alpha_dcg(items, cells, None, 0.5), "alpha_dcg")
+
+
+_REPORT_NS = (1, 4, 8, 20, None)
+
+
+def _report_sql():
+    ns = _REPORT_NS
+    name = lambda n: "ndcg_all" if n is None else f"ndcg_{n}"
+    cut = lambda c, n: "TRUE" if n is None else f"{c} <= {n}"
+    d = ",\n       ".join(f"sum(CASE WHEN {cut('pos', n)} THEN weight * {GAIN} * {DISC} ELSE 0.0 END) AS d_{k}"
+                          for k, n in enumerate(ns))
+    idisc = DISC.replace("pos", "ipos")
+    i = ",\n       ".join(f"sum(CASE WHEN {cut('ipos', n)} THEN weight * {GAIN} * {idisc} ELSE 0.0 END) AS i_{k}"
+                          for k, n in enumerate(ns))
+    per = ", ".join(f"CASE WHEN i_{k} <> 0 THEN d_{k} / i_{k} ELSE 0.0 END AS {name(n)}" for k, n in enumerate(ns))
+    agg = ", ".join(f"round(CASE WHEN sum(weight) <> 0 THEN sum({name(n)} * weight) / sum(weight) ELSE 0.0 END, 6) "
+                    f"AS {name(n)}" for n in ns)
+    return f"""WITH {Q.LISTS}, {Q.list_weights('lw', GAIN)},
+d AS (SELECT list_id, {d} FROM rk GROUP BY 1),
+ir AS (SELECT *, row_number() OVER (PARTITION BY list_id ORDER BY weight * label DESC, item_id) AS ipos FROM prep),
+i AS (SELECT list_id, {i} FROM ir GROUP BY 1),
+per AS (SELECT lw.weight, {per} FROM d JOIN i USING (list_id) JOIN lw USING (list_id))
+SELECT {agg} FROM per"""
+
+
+@query("ndcg_report", _report_sql())
+def q_ndcg_report(spark, sf_dir):
+    """G8 evaluation at cut-offs 1, 4, 8, 20 and all: weighted means in one row."""
+    r = R.ndcg_report(_prep(spark, sf_dir), _REPORT_NS)
+    return r.select(*[F.round(c, 6).alias(c) for c in r.columns])
