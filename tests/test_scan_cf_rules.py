@@ -169,3 +169,12 @@ def test_job_entry_points_metrics_and_embeddings(spark):
     vectors, sims = jobs.embedding_job(spark, seq, vector_size=8, min_count=1, max_iter=2, negative=3,
                                        sample=0.0, num_partitions=2, top_n=3)
     assert vectors.count() == 12 and sims.groupBy("item1").count().agg(F.max("count")).first()[0] <= 3
+
+
+def test_item_cf_hot_user_split_into_blocks(spark):
+    # one user holds most rows; tiny blocks force the split pair join
+    data = [("hot", f"i{j}", float(j % 5)) for j in range(60)]
+    data += [(f"u{u}", f"i{(u * 7 + j) % 60}", float((u + j) % 4)) for u in range(20) for j in range(4)]
+    df = spark.createDataFrame(data, "user string, item string, rating double")
+    got = {(a, b, round(s, 9)) for a, b, s in cf.item_cf(df, top=5, block_size=4).collect()}
+    assert got == brute_item_cf(data, 5, 2, 3000)
