@@ -35,6 +35,10 @@ def _pack(grams: str) -> Column:
     return F.transform(grams, lambda h, i: h.bitwiseAND(F.lit(~POS_MASK)).bitwiseOR(F.lit(POS_MASK) - i))
 
 
+def _salted(packed: str, salt: Column) -> Column:
+    return F.transform(packed, lambda v: v.bitwiseXOR(salt))
+
+
 def _fingerprints(df: DataFrame, window: int, k: int, short: list[int]) -> DataFrame:
     """Adds ``__win``, packed winnowed fingerprints, and ``__s{n}``, all packed n-grams, for every n of ``short``."""
     out = add_gram_hashes(df, "__words", "__win", k).withColumn("__win", _pack("__win"))
@@ -46,7 +50,8 @@ def _fingerprints(df: DataFrame, window: int, k: int, short: list[int]) -> DataF
     out = out.withColumn("__win", F.array_distinct("__win"))
     for n in short:
         out = add_gram_hashes(out, "__words", f"__s{n}", n).withColumn(f"__s{n}", _pack(f"__s{n}"))
-        out = out.withColumn(f"__s{n}", F.transform(f"__s{n}", lambda v, n=n: v.bitwiseXOR(F.lit(n << POS_BITS))))
+        salt = F.lit(n << POS_BITS)  # grams of different lengths never meet
+        out = out.withColumn(f"__s{n}", _salted(f"__s{n}", salt))
     return out
 
 

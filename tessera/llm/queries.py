@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate as op1
 from tessera.llm import exact_dedup as op5
+from tessera.llm import license_scan as op9
+from tessera.llm import line_dedup as op6
+from tessera.llm import mixing as op7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,5 +26,23 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op5_exact_dedup)}
-ORACLES = {"op1_decontaminate": op1.ORACLE, "op5_exact_dedup": op5.ORACLE}
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that larger documents repeat, and a digest of what is left."""
+    out = op6.line_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
+                      F.sha2("__kept", 256).alias("kept_sha256"))
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mixed stream; sources weigh as the square root of their size."""
+    return op7.mix(_table(spark, sf_dir, "documents")).drop("text", "lang", "n_chars")
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return op9.license_scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op5_exact_dedup, op6_line_dedup, op7_mix_sources, op9_license_scan)}
+ORACLES = {"op1_decontaminate": op1.ORACLE, "op5_exact_dedup": op5.ORACLE, "op6_line_dedup": op6.ORACLE,
+           "op9_license_scan": op9.ORACLE}
