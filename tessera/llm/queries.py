@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate as op1
 from tessera.llm import exact_dedup as op5
+from tessera.llm import language_id as op8
 from tessera.llm import license_scan as op9
 from tessera.llm import line_dedup as op6
+from tessera.llm import lm_score as op10
 from tessera.llm import mixing as op7
 
 
@@ -38,11 +40,25 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.mix(_table(spark, sf_dir, "documents")).drop("text", "lang", "n_chars")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from documents that are not held out."""
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", op8.held_out())
+    return op8.train(docs.where(~F.col("held_out"))).predict(docs, keep=["doc_id", "held_out"])
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
     return op9.license_scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op5_exact_dedup, op6_line_dedup, op7_mix_sources, op9_license_scan)}
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and bigram scores of every document, learned from documents that are not held out."""
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", op10.held_out())
+    return op10.lm_score(docs, docs.where(~F.col("held_out"))).withColumn("held_out", op10.held_out())
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op5_exact_dedup, op6_line_dedup, op7_mix_sources,
+                                 op8_language_id, op9_license_scan,
+                                 op10_lm_score)}
 ORACLES = {"op1_decontaminate": op1.ORACLE, "op5_exact_dedup": op5.ORACLE, "op6_line_dedup": op6.ORACLE,
            "op9_license_scan": op9.ORACLE}
