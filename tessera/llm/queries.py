@@ -12,6 +12,7 @@ from tessera.llm import license_scan as op9
 from tessera.llm import line_dedup as op6
 from tessera.llm import lm_score as op10
 from tessera.llm import mixing as op7
+from tessera.llm import near_dedup as op2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("__tk")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of every document; the smallest id of each stays."""
+    return op2.near_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts and the row of each that stays."""
     return op5.exact_dedup(_table(spark, sf_dir, "documents"))
@@ -57,8 +63,8 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.lm_score(docs, docs.where(~F.col("held_out"))).withColumn("held_out", op10.held_out())
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op5_exact_dedup, op6_line_dedup, op7_mix_sources,
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_near_dedup, op5_exact_dedup, op6_line_dedup, op7_mix_sources,
                                  op8_language_id, op9_license_scan,
                                  op10_lm_score)}
-ORACLES = {"op1_decontaminate": op1.ORACLE, "op5_exact_dedup": op5.ORACLE, "op6_line_dedup": op6.ORACLE,
+ORACLES = {"op1_decontaminate": op1.ORACLE, "op2_near_dedup": op2.ORACLE, "op5_exact_dedup": op5.ORACLE, "op6_line_dedup": op6.ORACLE,
            "op9_license_scan": op9.ORACLE}
