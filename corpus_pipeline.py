@@ -1,4 +1,4 @@
-"""Corpus pipeline: the documents table through training-data operators, each stage written as Parquet."""
+"""Corpus pipeline: the documents table through five of the training-data operators, each stage written as Parquet."""
 
 from __future__ import annotations
 
@@ -10,7 +10,11 @@ from tessera.llm import stages
 from tessera.session import ensure_checkpoint_dir
 
 STAGES = [
+    ("language_id", stages.language_id),
+    ("line_dedup", stages.line_dedup),
+    ("near_dedup", stages.near_dedup),
     ("decontaminate", stages.decontaminate),
+    ("mix_sources", stages.mix_sources),
 ]
 
 #: Language ID learns a model, which SQL cannot express; tests compare the other stages with brute force.

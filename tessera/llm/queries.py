@@ -13,6 +13,7 @@ from tessera.llm import line_dedup as op6
 from tessera.llm import lm_score as op10
 from tessera.llm import mixing as op7
 from tessera.llm import near_dedup as op2
+from tessera.llm import pii as op3
 from tessera.llm import warc as op4
 
 
@@ -30,6 +31,13 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.near_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: spans of the fixed patterns and those that the field adds."""
+    docs = _table(spark, sf_dir, "documents")
+    return op3.find_pii(docs, op3.train(docs)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, read back from the archives; a page id stands for the seconds at which it was captured."""
     pages = _table(spark, sf_dir, "pages").withColumn("ts", F.timestamp_seconds(F.col("page_id") + 1_700_000_000))
@@ -70,8 +78,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.lm_score(docs, docs.where(~F.col("held_out"))).withColumn("held_out", op10.held_out())
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_near_dedup, op4_warc, op5_exact_dedup, op6_line_dedup, op7_mix_sources,
-                                 op8_language_id, op9_license_scan,
-                                 op10_lm_score)}
-ORACLES = {"op1_decontaminate": op1.ORACLE, "op2_near_dedup": op2.ORACLE, "op4_warc": op4.ORACLE, "op5_exact_dedup": op5.ORACLE, "op6_line_dedup": op6.ORACLE,
-           "op9_license_scan": op9.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_near_dedup, op3_pii, op4_warc, op5_exact_dedup, op6_line_dedup,
+                                 op7_mix_sources, op8_language_id, op9_license_scan, op10_lm_score)}
+ORACLES = {"op1_decontaminate": op1.ORACLE, "op2_near_dedup": op2.ORACLE, "op4_warc": op4.ORACLE, "op5_exact_dedup": op5.ORACLE,
+           "op6_line_dedup": op6.ORACLE, "op9_license_scan": op9.ORACLE}
