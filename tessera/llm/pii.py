@@ -234,9 +234,10 @@ class Field:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 1000) -> Field:
     """Learns from at most ``sample`` documents that hold an @ or a digit."""
-    rows = (docs.where(F.col(text_col).rlike("[0-9@]")).select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("id"))
+    useful = docs.where(F.col(text_col).rlike("[0-9@]"))
+    rows = (useful.select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("id"))
             .orderBy("h", "id").limit(sample))
-    chosen = docs.join(F.broadcast(rows.select(F.col("id").alias("__id")).distinct()), F.col(id_col) == F.col("__id"), "left_semi")
+    chosen = useful.join(F.broadcast(rows.select(F.col("id").alias("__id")).distinct()), F.col(id_col) == F.col("__id"), "left_semi")
     return Field().fit([r[0] for r in chosen.orderBy(F.xxhash64(id_col), id_col).select(text_col).limit(sample).collect()])
 
 
