@@ -10,7 +10,7 @@ probabilities.  The model is (vocabulary x languages) numbers, whatever the corp
 whole texts are used, and every document is scored.
 
 Scoring is one pass over the documents, without a shuffle: each worker scores a distinct word once and keeps the result in a
-cache of at most ``CACHE`` words, which is emptied when full.
+cache of at most ``CACHE`` words, which is emptied when full; new words of one length are scored together.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is everything when no labelled text has a
 letter; repeated rows are rows like others; an empty table gives no rows.
@@ -22,6 +22,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -52,41 +53,54 @@ def load_pieces(path: str) -> list[str]:
 
 
 class Lattice:
-    """Pieces by text; the edges of a word's segmentation lattice."""
+    """Pieces by text, and the segmentation lattices of many words of one length at once."""
 
     def __init__(self, pieces: list[str]):
         self.ids = {p: i for i, p in enumerate(pieces)}
         self.longest = max(map(len, pieces), default=1)
 
-    def edges(self, word: str) -> list[tuple[int, int, int]]:
-        """(from, to, piece) in order of ``to``; a character that is no piece is an edge of its own, piece -1."""
-        out = []
-        for end in range(1, len(word) + 1):
-            known = False
+    def edges(self, words: list[str]) -> list[tuple[int, int, np.ndarray]]:
+        """(from, to, piece of every word) in order of ``to``.  Behind the pieces stand two more numbers: no such edge, and a
+        character that is no piece, which is an edge of its own."""
+        get, none, out = self.ids.get, len(self.ids), []
+        for end in range(1, len(words[0]) + 1):
             for start in range(max(0, end - self.longest), end):
-                part = word[start:end]
-                for form in ((part, "▁" + part) if start == 0 else (part,)):
-                    piece = self.ids.get(form)
-                    if piece is not None:
-                        out.append((start, end, piece))
-                        known |= start == end - 1
-            if not known:
-                out.append((end - 1, end, -1))
+                plain = np.array([get(w[start:end], none) for w in words])
+                marked = np.array([get("▁" + w[:end], none) for w in words]) if start == 0 else None
+                if end == start + 1:
+                    unknown = plain == none
+                    if marked is not None:
+                        unknown &= marked == none
+                    plain[unknown] = none + 1
+                out += [(start, end, p) for p in (plain, marked) if p is not None and (p != none).any()]
         return out
 
 
-def forward(edges, n: int, prob: np.ndarray, floor: float) -> np.ndarray:
-    """Sum over segmentations at every position, one row per position: languages in columns."""
-    alpha = np.zeros((n + 1, prob.shape[1]))
+def extended(prob: np.ndarray, floor: float) -> np.ndarray:
+    """``prob`` with the probabilities of "no edge" and of a character that is no piece."""
+    return np.vstack([prob, np.zeros((1, prob.shape[1])), np.full((1, prob.shape[1]), floor)])
+
+
+def forward(edges, size: int, n: int, prob: np.ndarray) -> np.ndarray:
+    """Sum over segmentations at every position: (position, word, language)."""
+    alpha = np.zeros((n + 1, size, prob.shape[1]))
     alpha[0] = 1.0
     for start, end, piece in edges:
-        alpha[end] += alpha[start] * (prob[piece] if piece >= 0 else floor)
+        alpha[end] += alpha[start] * prob[piece]
     return alpha
 
 
-def word_scores(word: str, lattice: Lattice, prob: np.ndarray, floor: float) -> np.ndarray:
-    """log probability of a word in every language."""
-    return np.log(forward(lattice.edges(word), len(word), prob, floor)[-1])
+def by_length(words, at_most: int = 8192):
+    """Lists of at most ``at_most`` words of one length."""
+    words = sorted(words, key=len)
+    for _, group in groupby(words, len):
+        group = list(group)
+        yield from (group[i:i + at_most] for i in range(0, len(group), at_most))
+
+
+def word_scores(words: list[str], lattice: Lattice, prob: np.ndarray, floor: float) -> np.ndarray:
+    """log probability of words of one length: (word, language)."""
+    return np.log(forward(lattice.edges(words), len(words), len(words[0]), extended(prob, floor))[-1])
 
 
 def fit(counts: dict[str, np.ndarray], lattice: Lattice, n_langs: int, rounds: int, smooth: float, floor: float) -> np.ndarray:
@@ -94,19 +108,20 @@ def fit(counts: dict[str, np.ndarray], lattice: Lattice, n_langs: int, rounds: i
     size = len(lattice.ids)
     prob = np.full((size, n_langs), 1.0 / max(size, 1))
     for _ in range(rounds):
-        expected = np.full((size, n_langs), smooth)
-        for word, c in counts.items():
-            edges, n = lattice.edges(word), len(word)
-            alpha = forward(edges, n, prob, floor)
+        known = extended(prob, floor)
+        expected = np.zeros_like(known)
+        for words in by_length(counts):
+            edges, n = lattice.edges(words), len(words[0])
+            alpha = forward(edges, len(words), n, known)
             beta = np.zeros_like(alpha)
             beta[n] = 1.0
             for start, end, piece in reversed(edges):
-                beta[start] += beta[end] * (prob[piece] if piece >= 0 else floor)
-            share = c / alpha[n]
+                beta[start] += beta[end] * known[piece]
+            share = np.array([counts[w] for w in words]) / alpha[n]
             for start, end, piece in edges:
-                if piece >= 0:
-                    expected[piece] += share * alpha[start] * prob[piece] * beta[end]
-        prob = expected / expected.sum(axis=0)
+                np.add.at(expected, piece, share * alpha[start] * known[piece] * beta[end])
+        prob = expected[:size] + smooth
+        prob /= prob.sum(axis=0)
     return prob
 
 
@@ -131,26 +146,33 @@ class LanguageModel:
 
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             langs, pieces, prob, floor = model.value
-            prob, lattice, cache = prob.astype("float64"), Lattice(pieces), {}
+            prob, lattice = prob.astype("float64"), Lattice(pieces)
+            room = max(1000, min(CACHE, 4 * CACHE // max(1, len(langs))))
+            rows: dict[str, int] = {}  # word to row of scores
+            scores = np.zeros((room, len(langs)), "float32")
             for texts in batches:
                 pred, best = [], []
-                for text in texts:
-                    total, any_word = np.zeros(len(langs)), False
-                    for w, n in Counter(words_of(text or "")).items():
-                        s = cache.get(w)
-                        if s is None:
-                            if len(cache) >= CACHE:
-                                cache.clear()
-                            s = cache[w] = word_scores(w, lattice, prob, floor)
-                        total += n * s
-                        any_word = True
-                    if not any_word or not langs:
-                        pred.append("und")
-                        best.append(0.0)
-                        continue
-                    top = int(total.argmax())
-                    pred.append(langs[top])
-                    best.append(float(1.0 / np.exp(total - total[top]).sum()))
+                for lo in range(0, len(texts), 500):
+                    bags = [Counter(words_of(t or "")) for t in texts.iloc[lo:lo + 500]]
+                    new = {w for bag in bags for w in bag if w not in rows} if langs else set()
+                    if len(rows) + len(new) > room:
+                        rows.clear()
+                        new = {w for bag in bags for w in bag}
+                        if len(new) > len(scores):
+                            scores = np.zeros((len(new), len(langs)), "float32")
+                    for group in by_length(new):
+                        first = len(rows)
+                        scores[first:first + len(group)] = word_scores(group, lattice, prob, floor)
+                        rows.update(zip(group, range(first, first + len(group))))
+                    for bag in bags:
+                        if not bag or not langs:
+                            pred.append("und")
+                            best.append(0.0)
+                            continue
+                        total = np.fromiter(bag.values(), "float64", len(bag)) @ scores[np.fromiter(map(rows.__getitem__, bag), int, len(bag))]
+                        top = int(total.argmax())
+                        pred.append(langs[top])
+                        best.append(float(1.0 / np.exp(total - total[top]).sum()))
                 yield pd.DataFrame({"lang_pred": pred, "score": best})
 
         udf = F.pandas_udf(score, "lang_pred string, score double")

@@ -338,7 +338,7 @@ def test_forward_sums_all_segmentations():
                     single |= end == start + 1
         return total + (0.0 if single else 1e-7 * brute(word, start + 1))
     for word in ("a", "ab", "abab", "babac", "xabx", "cc"):
-        assert np.isclose(np.exp(language_id.word_scores(word, lattice, prob, 1e-7))[0], brute(word))
+        assert np.isclose(np.exp(language_id.word_scores([word, word], lattice, prob, 1e-7))[1, 0], brute(word))
 
 
 def test_language_id_held_out_accuracy_and_edges(spark):
