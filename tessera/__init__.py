@@ -14,7 +14,6 @@ trainer).  Sub-packages:
                    utilities, samples and features, prediction evaluation).
 * ``plans``     -- end-to-end jobs and the query registry used by
                    ``__spark_entry__`` and ``bench.py``.
-* ``streaming`` -- notes on streaming use (the operator set is batch only).
 """
 
 __version__ = "0.1.0"

@@ -7,14 +7,14 @@ preceding)`` give, but without sending a whole group to one task:
 
 1. ``repartitionByRange(n, keys..., order...)`` cuts the globally sorted rows
    into ``n`` ranges; a hot group simply spans several ranges;
-2. a vectorised pass per range (``mapInPandas``; numpy positions and pandas
-   ``cumsum`` over the sorted batch, state carried across Arrow batches)
-   gives positions and sums local to the range;
-3. a second, light pass over the same ranges returns one row per run of
-   equal keys (count and sums); a group that continues from earlier ranges
-   gets the totals of those ranges as an offset.  At most one group per
-   range continues from an earlier range, so the offset table has at most
-   ``n`` rows and is broadcast under that bound.
+2. one pass per range (``mapInArrow``) appends the range's number, positions
+   and sums local to the range, and a mark on the range's last row.  The rows
+   themselves stay Arrow columns: no value is converted;
+3. the result is written once to the shared checkpoint folder, so positions
+   and offsets come from one and the same assignment of rows to ranges,
+   whatever is re-planned, reused or recomputed later;
+4. only a range's last group can go on in the next range: the marked rows, one
+   per range, give the offsets, the only thing that is broadcast.
 
 The number of ranges follows the optimizer's size estimate (at least the
 default parallelism, at most ``spark.sql.shuffle.partitions``).
@@ -28,89 +28,73 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from uuid import uuid4
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import ship_package
+from tessera.session import ensure_checkpoint_dir, ship_package
 
 
 def _to_cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def _scan_partition(keys: list[str], sums: list[str]):
-    def fn(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        last_key = None
-        carry_pos = 0
-        carry = {c: 0.0 for c in sums}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            n = len(pdf)
-            karr = [pdf[k].to_numpy() for k in keys]
-            changed = np.zeros(n, dtype=bool)
-            for a in karr:
-                na = pd.isna(a)
-                changed[1:] |= (a[1:] != a[:-1]) & ~(na[1:] & na[:-1])  # nulls group together
-            first = tuple(None if pd.isna(a[0]) else a[0] for a in karr)
-            cont = last_key is not None and first == last_key
-            changed[0] = not cont
-            gid = pd.Series(np.cumsum(changed), index=pdf.index)
-            idx = np.arange(n)
-            start = np.maximum.accumulate(np.where(changed, idx, 0))
-            pos = pd.Series(idx - start + 1, index=pdf.index, dtype="int64")
-            in_first = gid == gid.iloc[0]
-            if cont:
-                pos = pos + in_first.astype("int64") * carry_pos
-            out = pdf.copy()
-            out["__pid"] = pid
-            out["__lpos"] = pos.astype("int64")
-            for c in sums:
-                s = pdf[c].astype("float64").fillna(0.0).groupby(gid, sort=False).cumsum()
-                if cont:
-                    s = s + in_first.astype("float64") * carry[c]
-                out[f"__lsum_{c}"] = s
-            # state for the next batch of the same range
-            last_key = tuple(None if pd.isna(a[-1]) else a[-1] for a in karr)
-            carry_pos = int(out["__lpos"].iloc[-1])
-            for c in sums:
-                carry[c] = float(out[f"__lsum_{c}"].iloc[-1])
-            yield out
-    return fn
+def _differs(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Null-safe ``a != b``; NaN equals NaN."""
+    ne = pc.fill_null(pc.not_equal(a, b), False).to_numpy(zero_copy_only=False)
+    if pa.types.is_floating(a.type):
+        both = pc.and_(pc.fill_null(pc.is_nan(a), False), pc.fill_null(pc.is_nan(b), False))
+        ne = ne & ~both.to_numpy(zero_copy_only=False)
+    return ne | (pc.is_null(a).to_numpy(zero_copy_only=False) != pc.is_null(b).to_numpy(zero_copy_only=False))
 
 
-def _segment_totals(keys: list[str], sums: list[str]):
-    """Per batch and run of equal keys: (pid, keys..., n, sums...).  Only
-    these small rows leave Python; runs cut by batch boundaries are merged by
-    the aggregate that follows."""
+def _scan_partition(keys: list[str], sums: list[str]):
     def fn(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        for pdf in batches:
-            if pdf.empty:
+        last = None  # keys of the previous batch's last row, one-element arrays
+        carry_pos, carry = 0, {c: 0.0 for c in sums}
+        held = None  # the last batch seen: its last row may be the range's last
+
+        def emit(batch, pos, totals, final):
+            mark = np.zeros(len(pos), dtype=bool)
+            mark[-1] = final
+            extra = [pa.array(np.full(len(pos), pid, dtype=np.int32)), pa.array(pos), pa.array(mark),
+                     *[pa.array(totals[c]) for c in sums]]
+            names = ["__pid", "__lpos", "__last", *[f"__lsum_{c}" for c in sums]]
+            return pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *names])
+
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
                 continue
-            n = len(pdf)
+            key = [batch.column(batch.schema.get_field_index(k)) for k in keys]
             changed = np.zeros(n, dtype=bool)
+            for a in key:
+                changed[1:] |= _differs(a.slice(1), a.slice(0, n - 1))
+            cont = last is not None and not any(_differs(a.slice(0, 1), b)[0] for a, b in zip(key, last))
             changed[0] = True
-            for k in keys:
-                a = pdf[k].to_numpy()
-                na = pd.isna(a)
-                changed[1:] |= (a[1:] != a[:-1]) & ~(na[1:] & na[:-1])
-            gid = np.cumsum(changed)
-            starts = np.flatnonzero(changed)
-            out = {"__pid": np.full(len(starts), pid, dtype=np.int32)}
-            for k in keys:
-                out[k] = pdf[k].iloc[starts].to_numpy()
-            out["__n"] = np.bincount(gid, minlength=gid[-1] + 1)[1:].astype(np.int64)
+            start = np.maximum.accumulate(np.where(changed, np.arange(n), 0))
+            first = start == 0
+            pos = (np.arange(n) - start + 1).astype(np.int64) + np.where(first & cont, carry_pos, 0)
+            totals = {}
             for c in sums:
-                v = pdf[c].astype("float64").fillna(0.0).to_numpy()
-                out[f"__s_{c}"] = np.bincount(gid, weights=v, minlength=gid[-1] + 1)[1:]
-            yield pd.DataFrame(out)
+                col = pc.cast(batch.column(batch.schema.get_field_index(c)), pa.float64())
+                v = pd.Series(pc.fill_null(col, 0.0).to_numpy(zero_copy_only=False))
+                totals[c] = v.groupby(start, sort=False).cumsum().to_numpy() + np.where(first & cont, carry[c], 0.0)
+                carry[c] = float(totals[c][-1])
+            carry_pos, last = int(pos[-1]), [a.slice(n - 1, 1) for a in key]
+            if held is not None:
+                yield emit(*held, False)
+            held = (batch, pos, totals)
+        if held is not None:
+            yield emit(*held, True)
     return fn
 
 
@@ -160,36 +144,26 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
     ranged = df.repartitionByRange(n, *key_cols, *order).sortWithinPartitions(*key_cols, *order)
     schema = T.StructType(
         df.schema.fields
-        + [T.StructField("__pid", T.IntegerType()), T.StructField("__lpos", T.LongType())]
+        + [T.StructField("__pid", T.IntegerType()), T.StructField("__lpos", T.LongType()),
+           T.StructField("__last", T.BooleanType())]
         + [T.StructField(f"__lsum_{c}", T.DoubleType()) for c in sums])
-    local = ranged.mapInPandas(_scan_partition(keys, sums), schema)
-    # Per (range, group) segment totals from a second, light Python pass over
-    # the same sorted ranges (only one small row per run of keys comes back).
-    # Neither column pruning nor constant folding can reach below a Python
-    # node, so both passes read one shared range exchange (ReusedExchange) and
-    # see one assignment of rows to ranges, whatever the input plan looks like.
-    seg_schema = T.StructType(
-        [T.StructField("__pid", T.IntegerType())]
-        + [df.schema[k] for k in keys]
-        + [T.StructField("__n", T.LongType())]
-        + [T.StructField(f"__s_{c}", T.DoubleType()) for c in sums])
-    seg = (ranged.mapInPandas(_segment_totals(keys, sums), seg_schema)
-           .groupBy("__pid", *keys)
-           .agg(F.sum("__n").alias("__n"), *[F.sum(f"__s_{c}").alias(f"__s_{c}") for c in sums]))
-    wo = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (seg.select("__pid", *keys, F.sum("__n").over(wo).alias("__off"),
-                       *[F.sum(f"__s_{c}").over(wo).alias(f"__off_{c}") for c in sums])
-            .filter(F.col("__off").isNotNull()))
-    # at most one continuing group per range -> at most n rows; null keys
-    # form a group like any other value (null-safe equality)
-    o = offs.select(*[F.col(c).alias(f"__o_{c}") for c in ["__pid", *keys]],
-                    "__off", *[f"__off_{c}" for c in sums])
-    cond = F.col("__pid") == F.col("__o___pid")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
+    path = f"{ensure_checkpoint_dir(spark)}/scan-{uuid4().hex}"
+    ranged.mapInArrow(_scan_partition(keys, sums), schema).write.parquet(path)
+    local = spark.read.schema(schema).parquet(path)
+    # one row per non-empty range: its last group, which is the only one that
+    # the next range can continue, with the group's totals in all ranges so far
+    same = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = ["__lpos", *[f"__lsum_{c}" for c in sums]]
+    ends = local.filter("__last").select("__pid", *keys, *[F.sum(c).over(same).alias(f"__o{c}") for c in totals])
+    follow = F.lead("__pid").over(Window.orderBy("__pid"))  # at most n rows
+    o = (ends.withColumn("__next", follow).filter(F.col("__next").isNotNull())
+         .select(F.col("__next"), *[F.col(c).alias(f"__k_{c}") for c in keys], *[f"__o{c}" for c in totals]))
+    cond = F.col("__pid") == F.col("__next")
+    for k in keys:  # null keys form a group like any other value
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
     j = local.join(F.broadcast(o), cond, "left")
     out = [F.col(c) for c in df.columns]
-    out.append((F.col("__lpos") + F.coalesce(F.col("__off"), F.lit(0))).alias(pos))
-    out += [(F.col(f"__lsum_{c}") + F.coalesce(F.col(f"__off_{c}"), F.lit(0.0))).alias(prefix + c)
+    out.append((F.col("__lpos") + F.coalesce(F.col("__o__lpos"), F.lit(0))).alias(pos))
+    out += [(F.col(f"__lsum_{c}") + F.coalesce(F.col(f"__o__lsum_{c}"), F.lit(0.0))).alias(prefix + c)
             for c in sums]
     return j.select(*out)

@@ -102,16 +102,18 @@ def noise_distribution(vocab: DataFrame, power: float = 0.75) -> DataFrame:
 
 
 def negative_samples(pairs: DataFrame, noise: DataFrame, k: int = 5, seed: int = 42,
-                     buckets: int = 1 << 12) -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     """``k`` noise words per pair by inverse-CDF lookup of a stable uniform;
     a draw equal to the centre is skipped, not redrawn.
 
     The lookup is a distributed range join: each noise word's interval
     ``[cum - prob, cum)`` is exploded into the ``buckets`` equal-width cells
-    of [0, 1) it overlaps (about ``vocabulary + buckets`` rows), every draw
+    of [0, 1) it overlaps (about ``vocabulary + buckets`` rows; by default as
+    many cells as words, so a cell meets about two intervals), every draw
     goes to the cell of its uniform, and an equi-join on the cell plus the
     interval test picks the word.  Nothing is collected to the driver.
     """
+    buckets = buckets or max(1, noise.count())
     x = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("draw"))
     x = x.withColumn("__u", stable_u01("sid", seed, F.col("pos"), F.col("context"), F.col("draw")))
     last = noise.agg(F.max("idx").alias("__last"))

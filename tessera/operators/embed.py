@@ -103,10 +103,10 @@ def _train_partition(params: dict, bc_model, bc_tables, iteration: int):
             for sid, words in zip(pdf["sid"], pdf["words"]):
                 w = np.asarray(words, np.int64)
                 rng = np.random.default_rng([seed, iteration, int(sid) & 0x7FFFFFFFFFFFFFFF, len(w)])
+                words_seen += len(w)  # the rate falls with the words of the full sentence
                 if sample > 0 and len(w):
                     x = cn[w] / (sample * total)
                     w = w[((np.sqrt(x) + 1) / x) >= rng.random(len(w))]
-                words_seen += len(w)
                 if len(w) < 2:
                     continue
                 progress = (iteration * total + nparts * words_seen) / (iters * total + 1)
@@ -167,7 +167,7 @@ def _train_partition(params: dict, bc_model, bc_tables, iteration: int):
             if len(idx):
                 out.append(pd.DataFrame({"matrix": mid, "idx": idx.astype(np.int64),
                                          "vec": list(mat[idx].astype(np.float64))}))
-        out.append(pd.DataFrame({"matrix": [-1], "idx": [pid], "vec": [np.array([loss, npairs], float)]}))
+        out.append(pd.DataFrame({"matrix": [-1], "idx": [0], "vec": [np.array([loss, npairs], float)]}))
         yield pd.concat(out, ignore_index=True)
     return fn
 
@@ -293,8 +293,9 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
     staged.unpersist()
     rng = np.random.default_rng(seed)
     syn0 = ((rng.random((V, vector_size)) - 0.5) / vector_size).astype(np.float64)
-    syn1 = np.zeros((max(V - 1, 1), vector_size))
-    syn1neg = np.zeros((V, vector_size))
+    # only the output matrices of the chosen modes take room
+    syn1 = np.zeros((max(V - 1, 1) if hs else 0, vector_size))
+    syn1neg = np.zeros((V if negative else 0, vector_size))
     sc = spark.sparkContext
     tables = sc.broadcast((cn, cum, codes, points))
     params = dict(dim=vector_size, window=window, negative=negative, hs=hs, cbow=cbow, sample=sample,
@@ -304,11 +305,11 @@ def fit_embeddings(df: DataFrame, tokens: str = "tokens", sid: str | None = None
     for it in range(max_iter):
         model = sc.broadcast((syn0, syn1, syn1neg))
         rows = sent.mapInPandas(_train_partition(params, model, tables, it), schema)
-        stats = rows.filter("matrix = -1").agg(F.sum(F.col("vec")[0]).alias("l"),
-                                                 F.sum(F.col("vec")[1]).alias("n"))
-        avg = average_parameters(rows.filter("matrix >= 0")).toPandas()  # model-sized
-        st = stats.first()
-        losses.append(float(st["l"] / st["n"]) if st["n"] else float("nan"))
+        # one action per iteration: the partitions' (loss, pairs) rows are
+        # averaged with the parameters, and the ratio of means is that of sums
+        avg = average_parameters(rows).toPandas()  # model-sized
+        loss, pairs = np.mean(np.stack(avg[avg["matrix"] == -1]["vec"].to_numpy()), axis=0)
+        losses.append(float(loss / pairs) if pairs else float("nan"))
         for mid, mat in ((0, syn0), (1, syn1), (2, syn1neg)):
             part = avg[avg["matrix"] == mid]
             if len(part):
@@ -403,7 +404,7 @@ def i2i_exact(emb: DataFrame, top: int = 100, word: str = "word", vector: str =
 
 
 def i2i_lsh(emb: DataFrame, top: int = 100, num_hashes: int = 200, signature_length: int | None = None,
-            bucket_limit: int = 50000, seed: int = 42, word: str = "word",
+            bucket_limit: int = 1000, seed: int = 42, word: str = "word",
             vector: str = "vector") -> DataFrame:
     """LSH top-N by |cosine|; signature length ``floor(ln n)`` by default."""
     first = emb.select(vector).first()

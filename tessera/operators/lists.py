@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scan import ordered_scan
 from tessera.functions.stable import stable_u01
+from tessera.operators.topn import first_rows
 
 
 def sort_by_scores(df: DataFrame, n: int | None = None, shuffle_ties: bool = False,
@@ -23,9 +24,8 @@ def sort_by_scores(df: DataFrame, n: int | None = None, shuffle_ties: bool = Fal
     """
     tie = stable_u01("item_id", seed) if shuffle_ties else F.lit(0.0)
     x = df.withColumn("__tie", tie)
-    r = ordered_scan(x, ["list_id"], [F.col("score").desc(), F.col("__tie").asc(),
-                                      F.col("item_id").asc()], method=method).drop("__tie")
-    return r if n is None else r.filter(F.col("pos") <= n)
+    return first_rows(x, ["list_id"], [F.col("score").desc(), F.col("__tie").asc(), F.col("item_id").asc()], n,
+                      method=method).drop("__tie")
 
 
 def sorted_ranks(df: DataFrame, method: str = "range") -> DataFrame:
@@ -80,17 +80,18 @@ def de_noise(counts: DataFrame, noise: DataFrame, ratio: float = 0.9,
     ``odds = (1 - ratio) / ratio``.  With
     ``lambda = sum_kept(count) / (1 + sum_kept(noise) / odds)`` the result is
     ``count / lambda - noise / odds`` on kept keys and 0 elsewhere; each list
-    sums to 1.  Lists whose counts are all zero are dropped.
+    sums to 1.  Every (list, key) of ``counts`` is in the result: a list whose
+    counts are all zero has value 0 everywhere, a key without noise is an error.
     """
     if not 0 < ratio < 1:
         raise ValueError(f"ratio should be in (0, 1), got {ratio}")
     odds = (1 - ratio) / ratio
-    j = counts.join(noise, ["list_id", "key"])
+    j = counts.join(noise, ["list_id", "key"], "left")
     # checked lazily inside the plan: a violating row fails the job
-    ok = F.assert_true((F.col("count") >= 0) & (F.col("noise") > 0), "counts must be >= 0 and noise > 0")
+    ok = F.assert_true((F.col("count") >= 0) & F.coalesce(F.col("noise") > 0, F.lit(False)), "counts must be >= 0 and noise > 0")
     j = j.filter(F.coalesce(ok.cast("boolean"), F.lit(True)))
-    tot = j.groupBy("list_id").agg(F.sum("noise").alias("__ns"), F.sum("count").alias("__cs"))
-    x = (j.join(tot.filter(F.col("__cs") > 0), "list_id")
+    tot = j.groupBy("list_id").agg(F.sum("noise").alias("__ns"))
+    x = (j.join(tot, "list_id")
          .select("list_id", "key", F.col("count").cast("double").alias("c"),
                  (F.col("noise") / F.col("__ns")).alias("n")))
     x = x.withColumn("__ratio", F.col("c") / F.col("n"))

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scan import ordered_scan
+from tessera.operators.topn import first_rows
 
 LN2 = 0.6931471805599453
 
@@ -59,10 +60,10 @@ def prepare_lists(df: DataFrame, list_col: str = "list_id", item_col: str = "ite
                     "weight", valid.alias("valid")))
 
 
-def rank_lists(prepared: DataFrame, sums=(), method: str = "range") -> DataFrame:
-    """Adds ``pos`` (1-based by score desc, item asc) and running sums."""
-    return ordered_scan(prepared, ["list_id"], [F.col("score").desc(), F.col("item_id").asc()],
-                        sums, method=method)
+def rank_lists(prepared: DataFrame, sums=(), method: str = "range", n: int | None = None) -> DataFrame:
+    """Adds ``pos`` (1-based by score desc, item asc) and running sums; with ``n`` only the first n rows are left."""
+    return first_rows(prepared, ["list_id"], [F.col("score").desc(), F.col("item_id").asc()], n,
+                      sums, method=method)
 
 
 def list_weights(df: DataFrame, rel: Column) -> DataFrame:
@@ -90,15 +91,10 @@ def _binary_rel():
     return F.when(F.col("label") >= 1.0, 1.0).otherwise(0.0)
 
 
-def _cut(n):
-    return F.lit(True) if n is None else (F.col("pos") <= n)
-
-
 def mrr(prepared: DataFrame, n: int | None = None, method: str = "range") -> DataFrame:
     """Max over the top n of [label >= 1] / rank."""
-    r = rank_lists(prepared, method=method)
-    m = r.groupBy("list_id").agg(F.max(F.when(_cut(n) & (F.col("label") >= 1.0),
-                                              1.0 / F.col("pos")).otherwise(0.0)).alias("mrr"))
+    r = rank_lists(prepared, method=method, n=n)
+    m = r.groupBy("list_id").agg(F.max(F.when(F.col("label") >= 1.0, 1.0 / F.col("pos")).otherwise(0.0)).alias("mrr"))
     return m.join(list_weights(prepared, _binary_rel()), "list_id")
 
 
@@ -114,7 +110,7 @@ def arp(prepared: DataFrame, method: str = "range") -> DataFrame:
 
 def precision_at(prepared: DataFrame, n: int | None = None, method: str = "range") -> DataFrame:
     """Relevant share of the top n (divisor = rows kept)."""
-    r = rank_lists(prepared, method=method).filter(_cut(n))
+    r = rank_lists(prepared, method=method, n=n)
     p = r.groupBy("list_id").agg(F.avg(_binary_rel()).alias("precision"))
     return p.join(list_weights(prepared, _binary_rel()), "list_id")
 
@@ -123,7 +119,7 @@ def mean_average_precision(prepared: DataFrame, n: int | None = None,
                            method: str = "range") -> DataFrame:
     """Weighted precision at relevant ranks / weighted relevant count in n."""
     x = prepared.withColumn("rel", _binary_rel())
-    r = rank_lists(x, sums=["rel"], method=method).filter(_cut(n))
+    r = rank_lists(x, sums=["rel"], method=method, n=n)
     prec = F.col("cum_rel") / F.col("pos")
     t = r.groupBy("list_id").agg(F.sum(prec * F.col("weight") * F.col("rel")).alias("__tp"),
                                  F.sum(F.col("weight") * F.col("rel")).alias("__tr"))
@@ -140,7 +136,7 @@ def dcg_terms(ranked: DataFrame, pos: str = "pos",
 
 
 def _dcg(prepared, n, gain, discount, method):
-    r = rank_lists(prepared, method=method).filter(_cut(n))
+    r = rank_lists(prepared, method=method, n=n)
     return r.groupBy("list_id").agg(F.sum(dcg_terms(r, "pos", gain, discount)).alias("dcg"))
 
 
@@ -150,10 +146,8 @@ def ndcg(prepared: DataFrame, n: int | None = None,
          method: str = "range") -> DataFrame:
     """DCG over the ideal DCG (ideal order by weight * label)."""
     dcg = _dcg(prepared, n, gain, discount, method)
-    ideal = ordered_scan(prepared.withColumn("__ideal", F.col("weight") * F.col("label")),
-                         ["list_id"], [F.col("__ideal").desc(), F.col("item_id").asc()],
-                         method=method)
-    ideal = ideal.filter(_cut(n))
+    ideal = first_rows(prepared.withColumn("__ideal", F.col("weight") * F.col("label")),
+                       ["list_id"], [F.col("__ideal").desc(), F.col("item_id").asc()], n, method=method)
     idcg = ideal.groupBy("list_id").agg(F.sum(dcg_terms(ideal, "pos", gain, discount)).alias("idcg"))
     m = dcg.join(idcg, "list_id").select(
         "list_id", F.when(F.col("idcg") != 0, F.col("dcg") / F.col("idcg")).otherwise(0.0).alias("ndcg"))
@@ -227,7 +221,8 @@ def prepare_diversity(df: DataFrame, list_col: str = "list_id", item_col: str =
                      F.col(subtopic).alias("subtopic"), F.col(label).cast("double").alias("label"),
                      F.col(score).cast("double").alias("score"), w.alias("weight"))
     items = base.groupBy("list_id", "item_id").agg(
-        F.first("score").alias("raw_score"), F.first("weight").alias("weight"),
+        # rows of an item that differ: the largest, whatever the row order
+        F.max("score").alias("raw_score"), F.max("weight").alias("weight"),
         F.max(F.when(F.col("label") >= 0, 1).otherwise(0)).alias("__valid"),
         F.max(F.when(F.col("label") >= 1, 1.0).otherwise(0.0)).alias("any_rel"))
     mins = items.groupBy("list_id").agg(F.min("raw_score").alias("__min"))
@@ -243,7 +238,7 @@ def prepare_diversity(df: DataFrame, list_col: str = "list_id", item_col: str =
 def precision_ia(items: DataFrame, cells: DataFrame, n: int | None = None,
                  method: str = "range") -> DataFrame:
     """Relevant (item, subtopic) cells in the top n / (subtopics x items kept)."""
-    r = rank_lists(items, method=method).filter(_cut(n))
+    r = rank_lists(items, method=method, n=n)
     kept = r.groupBy("list_id").agg(F.count(F.lit(1)).alias("__kept"))
     hits = (cells.filter(F.col("label") >= 1).join(r.select("list_id", "item_id"),
                                                    ["list_id", "item_id"])
@@ -261,7 +256,7 @@ def alpha_dcg(items: DataFrame, cells: DataFrame, n: int | None = None, alpha: f
               discount: Callable[[Column], Column] = default_discount,
               method: str = "range") -> DataFrame:
     """Alpha-DCG; gain = sum_t label * (1 - alpha)^(earlier coverage of t)."""
-    r = rank_lists(items, method=method).filter(_cut(n)).select("list_id", "item_id", "pos", "weight")
+    r = rank_lists(items, method=method, n=n).select("list_id", "item_id", "pos", "weight")
     c = cells.join(r, ["list_id", "item_id"])
     cov = ordered_scan(c, ["list_id", "subtopic"], [F.col("pos").asc()], ["label"],
                        pos="__spos", method=method)

@@ -15,6 +15,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.scan import ordered_scan
+
 
 def _cols(xs):
     if xs is None:
@@ -50,17 +52,35 @@ def top_n(df: DataFrame, by, order: Sequence[Column] | Column, n: int,
     return out if rank_col else out.drop(name)
 
 
-# Scores are ranked on 10 decimals so that floating-point noise from summation
-# order cannot split mathematically equal scores.  floor(x * 1e10 + 0.5) is
-# pure double arithmetic (no decimal rounding) and is written the same way in
-# the SQL oracles.
-TIE_SCALE = 1e10
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | None,
+               sums: Sequence[str] = (), pos: str = "pos", method: str = "range") -> DataFrame:
+    """``ordered_scan`` of the first ``n`` rows per group (all when None).
+
+    With ``n`` the rows are cut by a row_number filter, which is pruned
+    map-side; the running sums then see at most ``n`` rows per group.
+    """
+    if n is None:
+        return ordered_scan(df, keys, order, sums, pos=pos, method=method)
+    top = top_n(df, list(keys), order, n, ties="row_number", rank_col=pos)
+    upto = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return top.select(*df.columns, F.col(pos).cast("long").alias(pos),
+                      *[F.sum(F.col(c).cast("double")).over(upto).alias("cum_" + c) for c in sums])
+
+
+# Scores are ranked on 34 significant bits (about 10 digits at any magnitude)
+# so that floating-point noise from summation order cannot split
+# mathematically equal scores.  x * c - (x * c - x) with c = 2**19 + 1 rounds
+# to them in plain double arithmetic, the same in Spark, numpy and SQL.
+TIE_SPLIT = 524289.0
 
 
 def tie_key(col) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.floor(c * F.lit(TIE_SCALE) + F.lit(0.5))
+    c = c.cast("double")
+    scaled = c * F.lit(TIE_SPLIT)
+    return scaled - (scaled - c)
 
 
 def sql_tie_key(expr: str) -> str:
-    return f"floor(({expr}) * 1e10 + 0.5)"
+    x, scaled = f"cast({expr} AS double)", f"cast({expr} AS double) * cast(524289 AS double)"
+    return f"({scaled} - ({scaled} - {x}))"

@@ -194,7 +194,7 @@ def q_embed_sentences(spark, sf_dir):
 q AS (SELECT v AS qv, nrm AS qn, word AS qw FROM vn ORDER BY vec_id LIMIT 1),
 s AS (SELECT word, CASE WHEN nrm * qn > 0 THEN list_dot_product(v, qv) / (nrm * qn) ELSE 0.0 END AS sim
       FROM vn, q WHERE word <> qw)
-SELECT word, round(sim, 6) AS similarity FROM s ORDER BY floor(sim * 1e10 + 0.5) DESC, word LIMIT 10""")
+SELECT word, round(sim, 6) AS similarity FROM s ORDER BY (sim * 524289::DOUBLE - (sim * 524289::DOUBLE - sim)) DESC, word LIMIT 10""")
 def q_synonyms(spark, sf_dir):
     """10 synonyms of the lowest-id item by signed cosine (itself excluded)."""
     e = _emb(spark, sf_dir)
@@ -207,7 +207,7 @@ def q_synonyms(spark, sf_dir):
 q AS (SELECT v AS qv, nrm AS qn FROM vn ORDER BY vec_id LIMIT 1),
 s AS (SELECT word, CASE WHEN nrm * qn > 0 THEN list_dot_product(v, qv) / (nrm * qn) ELSE 0.0 END AS sim
       FROM vn, q)
-SELECT word, round(sim, 6) AS similarity FROM s ORDER BY floor(sim * 1e10 + 0.5) DESC, word LIMIT 10""")
+SELECT word, round(sim, 6) AS similarity FROM s ORDER BY (sim * 524289::DOUBLE - (sim * 524289::DOUBLE - sim)) DESC, word LIMIT 10""")
 def q_synonyms_vec(spark, sf_dir):
     """10 items nearest to a given vector (the lowest-id item's), itself included."""
     e = _emb(spark, sf_dir)
@@ -219,7 +219,7 @@ def q_synonyms_vec(spark, sf_dir):
 @query("i2i_exact", f"""WITH {_EMB},
 p AS (SELECT a.word AS item1, b.word AS item2, 1 - abs(list_dot_product(a.v, b.v)) / (a.nrm * b.nrm) AS d
       FROM vn a JOIN vn b ON a.vec_id <> b.vec_id WHERE a.nrm > 0 AND b.nrm > 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY item1 ORDER BY floor(d * 1e10 + 0.5), cast(item2 AS bigint)) AS rk FROM p)
+r AS (SELECT *, row_number() OVER (PARTITION BY item1 ORDER BY (d * 524289::DOUBLE - (d * 524289::DOUBLE - d)), cast(item2 AS bigint)) AS rk FROM p)
 SELECT item1, item2, round(1 - d, 6) AS sim FROM r WHERE rk <= 10""")
 def q_i2i_exact(spark, sf_dir):
     """Exact item-to-item top 10 by |cosine| from the embedding table."""
@@ -239,7 +239,7 @@ cand AS (SELECT DISTINCT a.id AS src, b.id AS cand FROM bk a JOIN bk b
          ON a.band = b.band AND a.key = b.key AND a.id <> b.id),
 p AS (SELECT c.src, c.cand, 1 - abs(list_dot_product(a.v, b.v)) / (a.nrm * b.nrm) AS d
       FROM cand c JOIN nv a ON a.id = c.src JOIN nv b ON b.id = c.cand),
-r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY floor(d * 1e10 + 0.5), cand) AS rk FROM p)
+r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY (d * 524289::DOUBLE - (d * 524289::DOUBLE - d)), cand) AS rk FROM p)
 SELECT src AS item1, cand AS item2, round(1 - d, 6) AS sim FROM r WHERE rk <= 10"""
 
 

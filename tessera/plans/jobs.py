@@ -20,7 +20,7 @@ from tessera.session import ship_package
 
 
 def item_cf_job(spark: SparkSession, table, user_col: str = "user", item_col: str = "item",
-                rating_col: str = "rating", top_n: int = 10, lower: int = 2, upper: int = 3000,
+                rating_col: str = "rating", top_n: int = 10, lower: int = 2, upper: int | None = None,
                 output_table: str | None = None) -> DataFrame:
     """Item-to-item CF: ratings table -> (item1, item2, sim), top ``top_n`` per item."""
     r = IO.read_ratings(spark, table, user_col, item_col, rating_col)
@@ -55,7 +55,7 @@ def recall_metrics_job(spark: SparkSession, ground_truth_table, i2i_table, ks: S
 def embedding_job(spark: SparkSession, table, user_col: str = "user_id", items_col: str = "item_ids",
                   vector_size: int = 100, window: int = 5, min_count: int = 5, max_iter: int = 10,
                   negative: int = 5, sample: float = 1e-3, num_partitions: int = 200, top_n: int = 100,
-                  use_lsh: bool = False, num_hashes: int = 200, bucket_limit: int = 50000, seed: int = 42,
+                  use_lsh: bool = False, num_hashes: int = 200, bucket_limit: int = 1000, seed: int = 42,
                   output_table: str | None = None):
     """Item embeddings from comma-separated sequences, then item-to-item top ``top_n``.
 

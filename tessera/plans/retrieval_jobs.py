@@ -22,7 +22,7 @@ def _i2i(spark, sf_dir):
 _I2I_SQL = f"""{Q.BEHAVIOUR},
 ev AS (SELECT "user", item, relevance AS rating FROM beh), {Q.item_cf('ev')},
 lists AS (SELECT item1, item2, row_number() OVER (PARTITION BY item1
-                 ORDER BY floor(sim * 1e10 + 0.5) DESC, item2) AS pos FROM cf_top),
+                 ORDER BY (sim * 524289::DOUBLE - (sim * 524289::DOUBLE - sim)) DESC, item2) AS pos FROM cf_top),
 lens AS (SELECT item1, count(*) AS n_recs FROM lists GROUP BY 1),
 nxt AS (SELECT "user", item, lead(item) OVER w AS truth, lead(relevance) OVER w AS trel
         FROM beh WINDOW w AS (PARTITION BY "user" ORDER BY ts, item)),

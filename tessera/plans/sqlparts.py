@@ -30,11 +30,11 @@ WORDS = r"""words AS (
        LATERAL (SELECT unnest(ws) AS word, generate_subscripts(ws, 1) AS pos) w)"""
 
 
-def item_cf(src: str, top: int = 10, lower: int = 2, upper: int = 3000, p: str = "cf") -> str:
+def item_cf(src: str, top: int = 10, lower: int = 2, p: str = "cf") -> str:
     """CTEs from ``src(user, item, rating)`` to ``{p}_top(item1, item2, sim)``."""
     return f"""{p}_r AS (SELECT "user", item, max(rating) AS rating FROM {src} GROUP BY 1, 2),
 {p}_act AS (SELECT "user", count(*) AS n_items FROM {p}_r GROUP BY 1
-            HAVING count(*) BETWEEN {lower} AND {upper}),
+            HAVING count(*) >= {lower}),
 {p}_c AS (SELECT r.*, a.n_items FROM {p}_r r JOIN {p}_act a USING ("user")),
 {p}_pop AS (SELECT item, count(*) AS n_users FROM {p}_c GROUP BY item),
 {p}_p AS (SELECT a.item AS item_lo, b.item AS item_hi,
@@ -46,7 +46,7 @@ def item_cf(src: str, top: int = 10, lower: int = 2, upper: int = 3000, p: str =
           FROM {p}_t t JOIN {p}_pop pa ON pa.item = t.item_lo JOIN {p}_pop pb ON pb.item = t.item_hi),
 {p}_b AS (SELECT item_lo AS item1, item_hi AS item2, sim FROM {p}_s
           UNION ALL SELECT item_hi, item_lo, sim FROM {p}_s),
-{p}_k AS (SELECT *, rank() OVER (PARTITION BY item1 ORDER BY floor(sim * 1e10 + 0.5) DESC) AS rk FROM {p}_b),
+{p}_k AS (SELECT *, rank() OVER (PARTITION BY item1 ORDER BY (sim * 524289::DOUBLE - (sim * 524289::DOUBLE - sim)) DESC) AS rk FROM {p}_b),
 {p}_top AS (SELECT item1, item2, sim FROM {p}_k WHERE rk <= {top})"""
 
 
@@ -66,7 +66,7 @@ rules_s AS (SELECT r.antecedent, r.consequent, cast(r.nxy AS double) / ca.cnt AS
 rules_l AS (SELECT antecedent, consequent, confidence,
                    confidence / (cast(n_b AS double) / (SELECT n FROM rules_n)) AS lift
             FROM rules_s WHERE confidence >= {min_conf}),
-rules_k AS (SELECT *, rank() OVER (PARTITION BY antecedent ORDER BY floor(lift * 1e10 + 0.5) DESC) AS rk
+rules_k AS (SELECT *, rank() OVER (PARTITION BY antecedent ORDER BY (lift * 524289::DOUBLE - (lift * 524289::DOUBLE - lift)) DESC) AS rk
             FROM rules_l),
 rules_top AS (SELECT antecedent, consequent, lift FROM rules_k WHERE rk <= {top})"""
 

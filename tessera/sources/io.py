@@ -108,7 +108,9 @@ NEIGHBOR_SCHEMA = T.StructType([
 def write_neighbors(df: DataFrame, path: str, n_files: int = 100, fmt: str = "parquet") -> None:
     """Write (itemId, candidateId, distance), overwrite, ``n_files`` files."""
     out = df.select(F.col("itemId").cast("long"), F.col("candidateId").cast("long"),
-                    F.col("distance").cast("double")).na.drop()
+                    F.col("distance").cast("double"))
+    for c in out.columns:  # a null fails the job instead of losing its row
+        out = out.withColumn(c, F.coalesce(F.col(c), F.raise_error(F.lit(f"{c} is null")).cast(out.schema[c].dataType)))
     out.repartition(n_files).write.mode("overwrite").format(fmt).save(path)
 
 
@@ -130,8 +132,8 @@ def write_samples(df: DataFrame, schema: T.StructType, path: str,
 
 
 def read_samples(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                 on_corrupt: str = "drop") -> DataFrame:
-    """Read samples back; corrupt files are skipped when ``on_corrupt='drop'``."""
+                 on_corrupt: str = "fail") -> DataFrame:
+    """Read samples back; a corrupt file is an error unless ``on_corrupt='drop'`` asks to skip it."""
     r = spark.read.option("ignoreCorruptFiles", str(on_corrupt == "drop").lower())
     if schema is not None:
         r = r.schema(schema)

@@ -169,6 +169,14 @@ def test_de_noise_rows_are_simplices(spark):
     assert all(abs(s - 1) < 1e-9 for s in sums.values())
 
 
+def test_de_noise_keeps_every_list_and_key(spark):
+    c = spark.createDataFrame([(1, "a", 0.0), (1, "b", 0.0), (2, "a", 3.0), (2, "b", 0.0)], "list_id long, key string, count double")
+    n = c.select("list_id", "key", F.lit(1.0).alias("noise"))
+    assert rows(L.de_noise(c, n), "list_id", "key", "value") == [(1, "a", 0.0), (1, "b", 0.0), (2, "a", pytest.approx(1.0)), (2, "b", 0.0)]
+    with pytest.raises(Exception, match="noise"):
+        L.de_noise(c, n.filter("list_id = 1")).collect()
+
+
 def test_de_noise_rejects_bad_ratio(spark):
     c = spark.createDataFrame([(1, "a", 1.0)], "list_id long, key string, count double")
     with pytest.raises(ValueError):

@@ -11,6 +11,7 @@ from tessera.functions.indexing import global_index
 from tessera.functions.scan import ordered_scan
 from tessera.operators import cf, rules
 from tessera.operators.pairs import group_pairs
+from tessera.operators.topn import tie_key, top_n
 
 
 def test_ordered_scan_matches_window_on_hot_key(spark):
@@ -23,12 +24,38 @@ def test_ordered_scan_matches_window_on_hot_key(spark):
     assert rows(a) == rows(b)
 
 
-def test_ordered_scan_reuses_one_range_exchange(spark):
-    df = spark.range(0, 1000).select((F.col("id") % 7).alias("k"), "id")
-    a = ordered_scan(df.join(df.select("id"), "id"), ["k"], ["id"])
-    a.collect()
-    plan = a._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan or "rangepartitioning" in plan
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ordered_scan_without_exchange_reuse(spark, reuse):
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        df = spark.range(0, 20000).repartition(7).select((F.col("id") % 3).alias("k"), "id", F.lit(1.0).alias("one"))
+        got = ordered_scan(df.join(df.select("id"), "id").select("k", "id", "one"), ["k"], ["id"], ["one"], num_partitions=11).collect()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert all(r["pos"] == r["id"] // 3 + 1 == r["cum_one"] for r in got) and len(got) == 20000
+
+
+def test_ordered_scan_keeps_values(spark):
+    big = 2 ** 53
+    df = spark.sql(f"""SELECT * FROM VALUES (CAST(NULL AS BIGINT), 1, CAST(NULL AS BIGINT), timestamp'1500-01-01 00:00:00'),
+        ({big + 1}, 2, {big + 1}, NULL), ({big}, 3, 5, timestamp'2020-01-01 00:00:00'), (NULL, 4, {big + 1}, NULL) AS t(k, o, v, ts)""")
+    got = {r["o"]: r for r in ordered_scan(df, ["k"], ["o"], num_partitions=3).collect()}
+    assert {o: (r["k"], r["pos"], r["v"]) for o, r in got.items()} == {
+        1: (None, 1, None), 2: (big + 1, 1, big + 1), 3: (big, 1, 5), 4: (None, 2, big + 1)}
+    assert got[1]["ts"].year == 1500
+
+
+def test_top_n_ranks_any_magnitude(spark):
+    for scale in (1e-12, 1.0, 1e12, 1e200):
+        df = spark.createDataFrame([("g", i, i * scale) for i in range(1, 41)], "g string, i long, x double")
+        assert rows(top_n(df, "g", [tie_key("x").desc()], 3), "i") == [(38,), (39,), (40,)]
+    noisy = spark.createDataFrame([("g", 0, 0.1 + 0.2), ("g", 1, 0.3), ("g", 2, 0.2)], "g string, i long, x double")
+    assert rows(top_n(noisy, "g", [tie_key("x").desc()], 1), "i") == [(0,), (1,)]
+
+
+def test_item_cf_keeps_very_active_users(spark):
+    df = spark.range(0, 3100).select(F.lit(1).alias("user"), F.col("id").alias("item"), F.lit(1.0).alias("rating"))
+    assert cf.filter_users(cf.dedupe_ratings(df)).count() == 3100
 
 
 def test_global_index_dense_and_ordered(spark):
