@@ -409,7 +409,8 @@ def i2i_lsh(emb: DataFrame, top: int = 100, num_hashes: int = 200, signature_len
     """LSH top-N by |cosine|; signature length ``floor(ln n)`` by default."""
     first = emb.select(vector).first()
     if first is None:
-        return emb.sparkSession.createDataFrame([], "item1 long, item2 long, sim double")
+        kind = emb.schema[word].dataType.simpleString()
+        return emb.sparkSession.createDataFrame([], f"item1 {kind}, item2 {kind}, sim double")
     if signature_length is None:
         signature_length = H.signature_length_for(emb.count())
     fam = H.HashFamily("signRP", len(first[0]), num_hashes, min(signature_length, num_hashes), seed=seed)

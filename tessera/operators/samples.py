@@ -113,6 +113,12 @@ def hash_bucket(col, n: int, seed: int = 42) -> Column:
     return F.pmod(stable_hash(col, seed), F.lit(n)).cast("long")
 
 
+def hash_buckets(col, n: int, seed: int = 42) -> Column:
+    """I4 of a list feature: the bucket of every element; an absent list is an empty one."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.coalesce(F.transform(c, lambda x: hash_bucket(x, n, seed)), F.array().cast("array<long>"))
+
+
 def bucketize(col, bounds: Sequence[float] = AGE_BOUNDARIES, default: int = 0) -> Column:
     """Left-closed buckets 0..len(bounds); missing values get ``default``."""
     c = F.col(col) if isinstance(col, str) else col
@@ -180,6 +186,8 @@ def padded_batches(df: DataFrame, size: int, order: Sequence[str],
     index (range partitioned, no single-partition window).
     """
     nested = nested or {}
+    for c in [*pads, *nested]:  # an absent list feature is an empty list
+        df = df.withColumn(c, F.coalesce(c, F.array().cast(df.schema[c].dataType)))
     x = global_index(df, list(order), "__idx").withColumn("batch_id", F.floor(F.col("__idx") / size))
     aggs = [F.max(F.size(c)).alias(f"__m_{c}") for c in list(pads) + list(nested)]
     aggs += [F.max(F.aggregate(F.transform(c, lambda a: F.size(a)), F.lit(0),

@@ -197,6 +197,18 @@ def q_pool(spark, sf_dir):
                     .alias("pooled_sum"), F.col("n_items").cast("bigint")))
 
 
+@query("hash_list_feature", f"""WITH {_EMB_SQL},
+l AS (SELECT l_orderkey, {sql_stable_hash('l_suppkey')} % 64 AS bucket FROM lineitem)
+SELECT l_orderkey, round(avg(vsum), 6) AS pooled_sum, cast(sum(bucket) AS bigint) AS buckets
+FROM l JOIN ve ON ve.vec_id = l.bucket GROUP BY 1""")
+def q_hash_list(spark, sf_dir):
+    """I4 on a list feature into I8: the suppliers of an order, each hashed to a bucket of a shared embedding table."""
+    lists = S.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_suppkey").alias("items"))  # at most 7 lines
+    emb = S.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
+    p = I.pool_embedding(lists.withColumn("buckets", I.hash_buckets("items", 64)), "l_orderkey", "buckets", emb, 1)
+    return p.select("l_orderkey", F.round(F.aggregate("pooled", F.lit(0.0), lambda a, x: a + x), 6).alias("pooled_sum"), F.aggregate("buckets", F.lit(0).cast("long"), lambda a, x: a + x).alias("buckets"))
+
+
 @query("shuffle_orders", f"""
 SELECT o_orderkey, cast(row_number() OVER (ORDER BY {sql_stable_u01('o_orderkey')}, o_orderkey) - 1 AS bigint)
        AS position FROM orders""")

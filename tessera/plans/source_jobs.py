@@ -1,13 +1,17 @@
-"""Source queries."""
+"""Source queries."""
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from tessera.plans import sqlparts as Q
 from tessera.plans import standins as S
 from tessera.plans.catalog import query
-from tessera.sources import feature_index, read_ratings, vectorize_bag
+from tessera.session import ensure_checkpoint_dir
+from tessera.sources import (NEIGHBOR_SCHEMA, feature_index, load_embeddings, read_ratings, read_samples, read_sequences,
+                             save_embeddings, vectorize_bag, write_neighbors, write_samples)
 from tessera.sources.io import feature_key
 
 
@@ -56,3 +60,49 @@ def q_vectorize_bag(spark, sf_dir):
         F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 6).alias("total"),
         F.round(F.aggregate(F.arrays_zip("indices", "values"), F.lit(0.0),
                             lambda a, z: a + z["indices"] * z["values"]), 6).alias("weighted"))
+
+
+def _folder(spark, name):
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid4().hex}"
+
+
+def _lines(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+
+
+@query("write_neighbors", """SELECT l_orderkey AS "itemId", l_partkey AS "candidateId", l_extendedprice AS distance FROM lineitem""")
+def q_write_neighbors(spark, sf_dir):
+    """Neighbours written as 5 files and read back."""
+    path = _folder(spark, "neighbors")
+    write_neighbors(_lines(spark, sf_dir).select(F.col("l_orderkey").alias("itemId"), F.col("l_partkey").alias("candidateId"),
+                                                 F.col("l_extendedprice").alias("distance")), path, n_files=5)
+    return spark.read.schema(NEIGHBOR_SCHEMA).parquet(path)
+
+
+@query("write_read_samples", """SELECT l_orderkey AS "itemId", l_partkey AS "candidateId", cast(l_quantity AS double) AS distance FROM lineitem""")
+def q_samples(spark, sf_dir):
+    """Samples written under a schema (cast to it) and read back."""
+    path = _folder(spark, "samples")
+    write_samples(_lines(spark, sf_dir).select(F.col("l_orderkey").alias("itemId"), F.col("l_partkey").alias("candidateId"),
+                                               F.col("l_quantity").alias("distance")), NEIGHBOR_SCHEMA, path)
+    return read_samples(spark, path, NEIGHBOR_SCHEMA)
+
+
+@query("save_load_embeddings", """SELECT cast(vec_id AS varchar) AS word, unnest(range(0, len(embedding))) AS at,
+  round(cast(unnest(embedding) AS double), 6) AS value FROM embeddings""")
+def q_embeddings(spark, sf_dir):
+    """A10: the embedding table saved, loaded and checked against its metadata, by component."""
+    path = _folder(spark, "embeddings")
+    save_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn("word", F.col("vec_id").cast("string")), path,
+                    "word", "embedding")
+    return load_embeddings(spark, path).select("word", F.posexplode("vector").alias("at", "value")).select(
+        "word", F.col("at").cast("long"), F.round("value", 6).alias("value"))
+
+
+@query("read_sequences", """SELECT doc_id, unnest(range(0, len(x))) AS at, unnest(x) AS item FROM (
+  SELECT doc_id, list_filter(string_split(text, ','), lambda x: x <> '') AS x FROM documents)""")
+def q_read_sequences(spark, sf_dir):
+    """A3: texts split at commas, order kept, empty items dropped."""
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").alias("item_ids"))
+    return read_sequences(df).select("doc_id", F.posexplode("item_ids").alias("at", "item")).select(
+        "doc_id", F.col("at").cast("long"), "item")

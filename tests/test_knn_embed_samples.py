@@ -313,3 +313,25 @@ def test_save_table_overwrites(spark):
     IO.save_table(df.union(df), "tessera_test_table")
     assert spark.table("tessera_test_table").count() == 2
     spark.sql("DROP TABLE tessera_test_table")
+
+
+def test_knn_string_ids(spark):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(30, 4)).tolist()
+    num = spark.createDataFrame([(i, x) for i, x in enumerate(v)], "id long, vector array<double>")
+    txt = spark.createDataFrame([(f"k{i:02d}", x) for i, x in enumerate(v)], "id string, vector array<double>")
+    want = [(f"k{a:02d}", f"k{b:02d}", pytest.approx(d)) for a, b, d in rows(K.knn_self(num, 3))]
+    assert rows(K.knn_self(txt, 3)) == want
+
+
+def test_absent_list_features(spark):
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, None)], "id long, x array<string>")
+    out = {r["id"]: r for r in I.padded_batches(df, 2, ["id"], {"x": "0"}).collect()}
+    assert out[2]["x"] == ["0", "0"]
+    b = {r["id"]: r["b"] for r in df.select("id", I.hash_buckets("x", 9).alias("b")).collect()}
+    assert b[2] == [] and len(b[1]) == 2 and all(0 <= i < 9 for i in b[1])
+
+
+def test_lsh_of_an_empty_source(spark):
+    empty = spark.createDataFrame([], "id long, vector array<double>")
+    assert H.nearest_neighbors(empty, k=2, seed=1).count() == 0
