@@ -415,14 +415,15 @@ def test_lm_score(spark, max_bytes, frequent):
         assert math.isclose(r["base_score"], sum(math.log10((uni[t] + 1) / (n + v + 1)) for t in ts), rel_tol=1e-9, abs_tol=1e-9)
         assert r["score"] <= 1e-9
     if frequent > v:
-        level = lambda c: lm_score.level_count(np.array([0 if not c else 1 + int(math.log2(c))]))[0]
+        level = lambda c: lm_score.level_count(np.array([int(math.log2(c)) if c else 0]))[0]
         off = []
         for r in rows:
             ts, s = toks[r["doc_id"]], 0.0
             for a, b in zip(["^"] + ts, ts):
                 ca = level(hist[a])
                 u = (uni[b] + 1) / (n + v + 1) if b in uni else 1 / (n + v + 1)
-                s += math.log10((min(level(pairs[a, b]), ca) + 8 * u) / (ca + 8))
+                cab = min(level(pairs[a, b]), ca)
+                s += math.log10(((cab if cab > 0.5 else 0.0) + 8 * u) / (ca + 8))
             off.append(abs(r["score"] - s) / len(ts))
         assert np.median(off) < 0.02
 
