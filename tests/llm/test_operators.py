@@ -428,6 +428,24 @@ def test_lm_score(spark, max_bytes, frequent):
         assert np.median(off) < 0.02
 
 
+def test_lm_score_counts_of_one(spark):
+    texts = [(i, f"a{i} b{i} c{i}") for i in range(40)] + [(40 + i, "m n") for i in range(5)]
+    frame = table(spark, texts)
+    train = frame.where("doc_id < 39 or doc_id >= 40")  # document 39 is made of tokens never seen
+    toks = {d: t.split() + [""] for d, t in texts}
+    uni, pairs, hist = collections.Counter(), collections.Counter(), collections.Counter()
+    for d, ts in toks.items():
+        if d != 39:
+            uni.update(ts), pairs.update(zip(["^"] + ts, ts)), hist.update(["^"] + ts[:-1])
+    count = lambda c: float(c) if c < 2 else 1.5 * 2 ** int(math.log2(c))
+    n, v = sum(uni.values()), len(uni)
+    for r in lm_score.lm_score(frame, train, bits=64.0).collect():
+        ts, s = toks[r["doc_id"]], 0.0
+        for a, b in zip(["^"] + ts, ts):
+            s += math.log10((min(count(pairs[a, b]), count(hist[a])) + 8 * (uni[b] + 1) / (n + v + 1)) / (count(hist[a]) + 8))
+        assert math.isclose(r["score"], s, rel_tol=1e-9)
+
+
 def test_lm_score_without_training_texts(spark):
     frame = table(spark, EDGE[:6])
     rows = lm_score.lm_score(frame, frame.limit(0)).collect()
