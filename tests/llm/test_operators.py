@@ -446,6 +446,23 @@ def test_lm_score_counts_of_one(spark):
         assert math.isclose(r["score"], s, rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("max_bytes", [64 << 20, 30_000])
+def test_lm_score_does_not_depend_on_frequent(spark, max_bytes):
+    rng = random.Random(16)
+    docs = EDGE + [(100 + i, words(rng, rng.randrange(1, 80), 60) + f" Rare{i} w1 w1 w1") for i in range(40)]
+    docs += [(200, docs[-1][1]), (100, docs[8][1])]  # a repeated text, and a repeated row
+    frame = table(spark, docs)
+    run = lambda **kw: {(r["doc_id"], r["n_tokens"]): tuple(r)[1:] for r in lm_score.lm_score(
+        frame, frame.where(~lm_score.held_out()), bits=64.0, **kw).collect()}
+    want = run(frequent=50_000)
+    for frequent in (0, 5):
+        got = run(frequent=frequent, max_bytes=max_bytes)
+        assert got.keys() == want.keys()
+        for key, row in got.items():
+            assert row[:3] == want[key][:3]
+            assert np.allclose(row[3:], want[key][3:], rtol=1e-9, atol=1e-9)
+
+
 def test_lm_score_without_training_texts(spark):
     frame = table(spark, EDGE[:6])
     rows = lm_score.lm_score(frame, frame.limit(0)).collect()
