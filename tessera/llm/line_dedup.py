@@ -22,6 +22,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ from tessera.llm.text import BLANKS, LOWER, UPPER, ascii_lower
 from tessera.session import ensure_checkpoint_dir
 
 SEED = 42  # of Spark's xxhash64; the first half of a key is its plain xxhash64
+# seed of the second half: Spark hashes column by column, so a constant before the key gives an own seed, one after it adds nothing
+SEED2 = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), SEED)
 
 
 def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -36,7 +39,7 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
     lines = F.transform(F.split(ascii_lower(F.col(text_col)), "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)))
     keys = F.array_distinct(F.filter(lines, lambda x: F.length(x) >= min_chars))
     return (docs.select(F.col(id_col).alias("id"), F.explode(keys).alias("key"))
-            .select("id", F.xxhash64("key").alias("k1"), F.xxhash64("key", F.lit(1)).alias("k2")))
+            .select("id", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(1), "key").alias("k2")))
 
 
 class LineRuns:
@@ -76,9 +79,12 @@ class LineRuns:
         self._write(0, own)
 
 
-def _keep(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
-    import xxhash
+def _signed(key: bytes, seed: int) -> int:
+    h = xxhash.xxh64_intdigest(key, seed)
+    return h - (1 << 64) if h >> 63 else h
+
 
+def _keep(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
     lower = str.maketrans(UPPER, LOWER)
     kept, n = [], []
     for text, drop in zip(texts, drops):
@@ -86,10 +92,12 @@ def _keep(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
             kept.append(None)
             n.append(0)
             continue
-        gone = set(drop.tolist())
+        halves = drop.tolist()
+        first, gone = set(halves[::2]), set(zip(halves[::2], halves[1::2]))
         lines = text.split("\n")
-        hashes = (xxhash.xxh64_intdigest(x.strip(BLANKS).translate(lower).encode(), SEED) for x in lines)
-        stay = [x for x, h in zip(lines, hashes) if (h - (1 << 64) if h >> 63 else h) not in gone]
+        keys = [x.strip(BLANKS).translate(lower).encode() for x in lines]
+        stay = [x for x, key in zip(lines, keys)
+                if (k1 := _signed(key, SEED)) not in first or (k1, _signed(key, SEED2)) not in gone]
         kept.append("\n".join(stay))
         n.append(len(lines) - len(stay))
     return pd.DataFrame({"kept": kept, "n": n})
@@ -110,7 +118,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         runs.add(keys.where(F.col("batch") == b).drop("batch"))
     hot = runs.totals().where(F.col("n_docs") >= min_docs)
     drops = (keys.join(hot, ["k1", "k2"]).where(~F.col("id").eqNullSafe(F.col("holder")))
-             .groupBy(F.col("id").alias("__key")).agg(F.collect_set("k1").alias("__drops")))
+             .groupBy(F.col("id").alias("__key")).agg(F.flatten(F.collect_set(F.array("k1", "k2"))).alias("__drops")))
     rows = docs.withColumn("__key", F.col(id_col)).alias("d")
     joined = rows.join(drops.alias("x"), F.col("d.__key").eqNullSafe(F.col("x.__key")), "left").select("d.*", "x.__drops").drop("__key")
     keep = F.pandas_udf(_keep, "kept string, n long")

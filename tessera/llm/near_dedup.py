@@ -130,7 +130,7 @@ class NearDuplicates:
     def classes(self) -> None:
         s = F.col("set")
         self.members = self._written("members", self.sets().select(
-            "id", F.size(s).alias("n"), F.xxhash64(s).alias("k1"), F.xxhash64(s, F.lit(1)).alias("k2"), F.slice(s, 1, self.k).alias("sketch")))
+            "id", F.size(s).alias("n"), F.xxhash64(s).alias("k1"), F.xxhash64(F.lit(1), s).alias("k2"), F.slice(s, 1, self.k).alias("sketch")))
         self.reps = self._written("classes", self.members.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("k1", "k2").agg(
             F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
 
@@ -145,11 +145,11 @@ class NearDuplicates:
         heads = entries.groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("pivot")).where("m > 1")
         self.entries = self._written("lists", entries.join(heads, "v"))
         active = self.entries.select(F.col("rep").alias("id")).distinct()
-        own = self.reps.select(F.col("rep").alias("id"), "k1").join(active, "id", "left_semi")
+        own = self.reps.select(F.col("rep").alias("id"), "k1", "k2").join(active, "id", "left_semi")
         texts = self.docs.join(active, F.col(self.id_col) == F.col("id"), "left_semi")
         full = shingle_sets(texts, self.id_col, self.text_col, self.width)
         # of rows that share an id, only those with the representative's set
-        self.full = self._written("sets", full.join(own, "id").where(F.xxhash64("set") == F.col("k1"))
+        self.full = self._written("sets", full.join(own, "id").where((F.xxhash64("set") == F.col("k1")) & (F.xxhash64(F.lit(1), "set") == F.col("k2")))
                                   .select(F.col("id").alias("rep"), "set"))
 
     def verified(self, name: str, pairs: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_score, mixing, near_dedup, pii, stages, warc
@@ -274,6 +275,29 @@ def test_line_dedup(spark, batches, fanout):
     assert line_dedup.line_dedup(table(spark, docs).limit(0)).count() == 0
 
 
+def after_first(k1):
+    """What Spark's xxhash64(x, 1) makes of xxhash64(x)."""
+    h = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), k1 % (1 << 64))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def test_line_keys_have_two_halves(spark):
+    line = "a line of more than twenty characters"
+    key = line_dedup.line_keys(table(spark, [(1, line)]), "doc_id", "text", 20).first()
+    assert key["k2"] != after_first(key["k1"])
+    whole = line_dedup._keep(pd.Series([line + "\nx"]), pd.Series([np.array([key["k1"], key["k2"]])]))
+    assert whole.values.tolist() == [["x", 1]]
+    half = line_dedup._keep(pd.Series([line + "\nx"]), pd.Series([np.array([key["k1"], key["k2"] ^ 1])]))
+    assert half.values.tolist() == [[line + "\nx", 0]]
+
+
+def test_set_keys_have_two_halves(spark):
+    run = near_dedup.NearDuplicates(table(spark, [(1, "a b c d e f g")]), "doc_id", "text", 5, 85, 64, 0.594, 64, 512)
+    run.classes()
+    key = run.members.first()
+    assert key["k2"] != after_first(key["k1"])
+
+
 def test_line_runs_are_levelled(spark, tmp_path):
     runs = line_dedup.LineRuns(spark, str(tmp_path), fanout=2)
     for b in range(5):
