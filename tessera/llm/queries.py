@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate as op1
 from tessera.llm import exact_dedup as op5
+from tessera.llm import fim as op12
 from tessera.llm import language_id as op8
 from tessera.llm import license_scan as op9
 from tessera.llm import line_dedup as op6
@@ -78,7 +79,14 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.lm_score(docs, docs.where(~F.col("held_out"))).withColumn("held_out", op10.held_out())
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a line span moved behind its prefix and suffix, and the text rebuilt from that form."""
+    forms = op12.restored(op12.fill_in_middle(_table(spark, sf_dir, "documents")))
+    return forms.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_near_dedup, op3_pii, op4_warc, op5_exact_dedup, op6_line_dedup,
-                                 op7_mix_sources, op8_language_id, op9_license_scan, op10_lm_score)}
+                                 op7_mix_sources, op8_language_id, op9_license_scan, op10_lm_score, op12_fill_in_middle)}
 ORACLES = {"op1_decontaminate": op1.ORACLE, "op2_near_dedup": op2.ORACLE, "op4_warc": op4.ORACLE, "op5_exact_dedup": op5.ORACLE,
-           "op6_line_dedup": op6.ORACLE, "op9_license_scan": op9.ORACLE}
+           "op6_line_dedup": op6.ORACLE, "op9_license_scan": op9.ORACLE, "op12_fill_in_middle": op12.ORACLE}
