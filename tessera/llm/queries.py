@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm import conversation as op11
 from tessera.llm import decontaminate as op1
 from tessera.llm import exact_dedup as op5
 from tessera.llm import fim as op12
@@ -15,6 +16,7 @@ from tessera.llm import lm_score as op10
 from tessera.llm import mixing as op7
 from tessera.llm import near_dedup as op2
 from tessera.llm import pii as op3
+from tessera.llm import quality as op13
 from tessera.llm import warc as op4
 
 
@@ -79,6 +81,12 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.lm_score(docs, docs.where(~F.col("held_out"))).withColumn("held_out", op10.held_out())
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest structure repair of every conversation after the contract's damage."""
+    chats = _table(spark, sf_dir, "conversations")
+    return op11.repair_report(op11.damage(chats), chats)
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with a line span moved behind its prefix and suffix, and the text rebuilt from that form."""
     forms = op12.restored(op12.fill_in_middle(_table(spark, sf_dir, "documents")))
@@ -86,7 +94,15 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("restored", 256).alias("restored_sha256"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of held-out documents are not learned from."""
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", op13.held_out())
+    model = op13.QualityModel(docs, _table(spark, sf_dir, "labels").where(~op13.held_out()))
+    return model.score(docs, keep=["doc_id", "held_out"]).withColumn("predicted", op13.predicted())
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_near_dedup, op3_pii, op4_warc, op5_exact_dedup, op6_line_dedup,
-                                 op7_mix_sources, op8_language_id, op9_license_scan, op10_lm_score, op12_fill_in_middle)}
+                                 op7_mix_sources, op8_language_id, op9_license_scan, op10_lm_score, op11_repair_conversations, op12_fill_in_middle, op13_quality)}
 ORACLES = {"op1_decontaminate": op1.ORACLE, "op2_near_dedup": op2.ORACLE, "op4_warc": op4.ORACLE, "op5_exact_dedup": op5.ORACLE,
-           "op6_line_dedup": op6.ORACLE, "op9_license_scan": op9.ORACLE, "op12_fill_in_middle": op12.ORACLE}
+           "op6_line_dedup": op6.ORACLE, "op9_license_scan": op9.ORACLE, "op11_repair_conversations": op11.ORACLE,
+           "op12_fill_in_middle": op12.ORACLE}

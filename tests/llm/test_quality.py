@@ -1,0 +1,120 @@
+"""Quality classifier: word vectors against a plain loop, calibration, held-out accuracy, edge cases."""
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm import quality as op13
+
+SCHEMA = "doc_id long, text string"
+
+
+def brute_vectors(texts, buckets, dim, ones, seed):
+    index, cut = op13.index_vectors(buckets, dim, ones, seed), op13.Buckets(buckets)
+    table = np.zeros((buckets + 1, dim))
+    for t in texts:
+        b = cut(t)
+        for i in range(len(b)):
+            for j in range(max(0, i - 2), min(len(b), i + 3)):
+                if i != j:
+                    table[b[i]] += index[b[j]]
+    length = np.linalg.norm(table, axis=1, keepdims=True)
+    return np.where(length > 0, table / np.where(length > 0, length, 1), 0)
+
+
+def some_text(rng, n):
+    return " ".join(rng.choice(["alpha", "beta", "gamma", "Delta", "eps", "..", "a1"]) + rng.choice(["", "", ",", "!!"]) for _ in range(n))
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_word_vectors_match_a_loop(spark, parts, monkeypatch):
+    rng = random.Random(1)
+    texts = [None, "", "one", "one two", *[some_text(rng, rng.randrange(60)) for _ in range(40)], "x y " * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(parts)
+    got = op13.word_vectors(docs, "text", 50, 16, 4, 3)
+    assert np.allclose(got, brute_vectors(texts, 50, 16, 4, 3), atol=1e-6)
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    rng = random.Random(2)
+    words = np.array([rng.randrange(9) for _ in range(997)] + [10, 10], "int32")
+    index, whole = op13.index_vectors(10, 8, 3, 1), np.zeros((11, 8), "int64")
+    op13.add_contexts(whole, words, index)
+    for size in (1, 2, 3, 10, 500):
+        monkeypatch.setattr(op13, "CHUNK", size)
+        cut = np.zeros((11, 8), "int64")
+        op13.add_contexts(cut, words, index)
+        assert (cut[:10] == whole[:10]).all()
+
+
+def test_pooled_is_the_mean():
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(8, 5)).astype("float32")
+    x = op13.pooled([np.array([1, 1, 7], "int32"), np.zeros(0, "int32")], vectors)
+    mean = (2 * vectors[1] + vectors[7]) / 3
+    assert np.allclose(x[0], [*mean, np.linalg.norm(mean), np.log(4)], atol=1e-6) and not x[1].any()
+
+
+def test_temperature_is_the_least_loss():
+    rng = np.random.default_rng(4)
+    logits = rng.normal(0, 6, 4000)
+    y = (rng.random(4000) < op13._sigmoid(logits / 3)).astype(float)  # three times too sure
+    t = op13.fit_temperature(logits, y)
+    grid = np.exp(np.linspace(np.log(0.05), np.log(20), 3000))
+    assert abs(t - grid[np.argmin([op13.log_loss(logits / g, y) for g in grid])]) < 0.02 and 2.5 < t < 3.5
+
+
+def test_network_learns_what_a_line_cannot():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2000, 4))
+    y = (x[:, 0] * x[:, 1] > 0).astype(float)
+    net = op13.fit(x, y, np.arange(2000) % 5 == 0)
+    assert np.mean((net.scores(x) > 0.5) == y) > 0.95
+
+
+def auc(score, y):
+    order = np.argsort(score, kind="stable")
+    ranks = np.empty(len(score))
+    ranks[order] = np.arange(1, len(score) + 1)
+    for s in np.unique(score):
+        ranks[score == s] = ranks[score == s].mean()
+    pos = y == 1
+    return (ranks[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum())
+
+
+def test_held_out_quality(spark):
+    """The given labels: documents that the model has not seen the label of."""
+    from tessera.llm.queries import op13_quality
+    sf = "/root/testdata/sf0.01"
+    out = op13_quality(spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = out.join(labels, "doc_id").where("held_out").select("score", "predicted", "quality").collect()
+    score, y = np.array([r["score"] for r in rows]), np.array([r["quality"] for r in rows])
+    assert auc(score, y) > 0.95
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.9
+    assert out.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def test_edges(spark):
+    rng = random.Random(6)
+    rows = [(None, "no id"), (1, None), (2, ""), (3, " \n"), (4, "x" * 70_000), (5, "y " * 30_000), (6, "same words"), (6, "same words"), (6, "other")]
+    rows += [(i, some_text(rng, 20) if i % 2 else "@@ ## " * 10) for i in range(10, 90)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10, 90)] + [(None, 1), (6, 1), (6, 0), (7, 1), (1, None)], "doc_id long, quality int")
+    for name in ("score", "text_", "id", "y", "x", "p", "place", "k0", "bucket", "v0", "quality", "predicted"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    model = op13.QualityModel(docs, labels, buckets=64, dim=8, ones=2)
+    out = model.score(docs).collect()
+    assert len(out) == len(rows) and all(0 <= r["score"] <= 1 for r in out)
+    by = {}
+    for r in out:
+        by.setdefault(r["doc_id"], []).append(r["score"])
+    assert by[1] == by[2] == by[3] and len(by[6]) == 3 and len(set(by[6])) == 2
+    assert np.mean([by[i][0] for i in range(11, 90, 2)]) > 0.8 > 0.2 > np.mean([by[i][0] for i in range(10, 90, 2)])
+    assert [r["score"] for r in op13.QualityModel(docs, labels, buckets=64, dim=8, ones=2, sample=3).score(docs).collect()]
+    assert {r["score"] for r in op13.QualityModel(docs, labels.limit(0), buckets=64, dim=8, ones=2).score(docs).collect()} == {0.5}
+    one = labels.where("quality = 1")
+    assert len({r["score"] for r in op13.QualityModel(docs, one, buckets=64, dim=8, ones=2).score(docs).collect()}) == 1
+    none = docs.limit(0)
+    assert op13.QualityModel(none, labels, buckets=64, dim=8, ones=2).score(none).count() == 0
