@@ -18,5 +18,5 @@ from tessera.functions.scan import ordered_scan
 def global_index(df: DataFrame, order: list[Column | str], name: str = "idx",
                  num_partitions: int | None = None) -> DataFrame:
     x = df.withColumn("__all", F.lit(0))
-    s = ordered_scan(x, ["__all"], order, pos="__gpos", num_partitions=num_partitions)
+    s = ordered_scan(x, ["__all"], order, pos="__gpos", method="range", num_partitions=num_partitions)
     return s.select(*df.columns, (F.col("__gpos") - 1).cast("bigint").alias(name))

@@ -3,7 +3,17 @@
 ``ordered_scan(df, keys, order, sums)`` adds, for every row, its 1-based
 position inside its ``keys`` group under ``order`` and inclusive running
 sums of ``sums`` -- what ``row_number()`` and ``sum() over (rows unbounded
-preceding)`` give, but without sending a whole group to one task:
+preceding)`` give, but without sending a huge group to one task.
+
+``method='auto'`` (default) counts the groups first, an aggregate with
+map-side combine over the key columns alone.  Groups of at most ``hot_rows``
+rows go through plain window functions: one hash exchange on the keys, which
+later joins and aggregates on the same keys reuse, no Python and nothing
+written.  Larger groups, at most rows / ``hot_rows`` of them, are looked up
+in a table of their keys and go through the range scan; the results are put
+together.  A group is never cut by size without the offsets that make it whole.
+
+``method='range'`` is the range scan for all rows:
 
 1. ``repartitionByRange(n, keys..., order...)`` cuts the globally sorted rows
    into ``n`` ranges; a hot group simply spans several ranges;
@@ -17,17 +27,18 @@ preceding)`` give, but without sending a whole group to one task:
    per range, give the offsets, the only thing that is broadcast.
 
 The number of ranges follows the optimizer's size estimate (at least the
-default parallelism, at most ``spark.sql.shuffle.partitions``).
+default parallelism, at most ``spark.sql.shuffle.partitions``).  Without keys
+all rows are one group, and the range scan is what runs.
 
-``method='window'`` gives the same result with plain window functions (one
-hash exchange, whole group per task) for callers that know their groups are
-small.
+``method='window'`` is plain window functions for callers that know their
+groups are small.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Sequence
-
 from uuid import uuid4
 
 import numpy as np
@@ -41,6 +52,9 @@ from pyspark.sql import types as T
 from tessera.session import ensure_checkpoint_dir, ship_package
 
 
+HOT_ROWS = 200_000
+
+
 def _to_cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -120,16 +134,54 @@ def _range_count(df: DataFrame) -> int:
     return max(1, floor, min(cap, -(-est // max(target_b, 1))))
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back: for narrow tables that are costly to
+    compute and read more than once."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/scan-input-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys (``__h0``, ``__h1``, ...) of the groups with more than ``hot_rows`` rows; None when there is none.
+
+    The table is written once, so both halves of a scan see the same groups, and left to the optimizer to join: it
+    holds at most rows / ``hot_rows`` rows.
+    """
+    names = [f"__h{i}" for i in range(len(keys))]
+    counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.filter(F.col("__n") > hot_rows).select(*names)
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/scan-hot-{uuid4().hex}"
+    hot.write.parquet(path)
+    hot = df.sparkSession.read.schema(hot.schema).parquet(path)
+    return None if hot.isEmpty() else hot
+
+
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                  sums: Sequence[str] = (), pos: str = "pos", prefix: str = "cum_",
-                 method: str = "range", num_partitions: int | None = None) -> DataFrame:
+                 method: str = "auto", num_partitions: int | None = None,
+                 hot_rows: int = HOT_ROWS, hot: DataFrame | None | str = "find") -> DataFrame:
     """Add ``pos`` (1-based) and ``cum_<c>`` running sums within ``keys``.
 
+    ``hot``: what ``hot_groups`` found for the first keys of a table that has at least these rows in every group, so
+    that several scans of the same groups look for them once.
+
     ``order`` must make rows unique within a group for a deterministic
     result (add a tie-break column).
     """
     keys, sums = list(keys), list(sums)
     order = _to_cols(order)
+    if method == "auto":
+        if not keys:
+            return ordered_scan(df, keys, order, sums, pos, prefix, "range", num_partitions)
+        if isinstance(hot, str):
+            hot = hot_groups(df, keys, hot_rows)
+        if hot is None:
+            return ordered_scan(df, keys, order, sums, pos, prefix, "window")
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(h)) for k, h in zip(keys, hot.columns)])
+        small = ordered_scan(df.join(hot, same, "left_anti"), keys, order, sums, pos, prefix, "window")
+        large = ordered_scan(df.join(hot, same, "left_semi"), keys, order, sums, pos, prefix, "range", num_partitions)
+        return small.unionByName(large)
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

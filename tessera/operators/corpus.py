@@ -95,7 +95,7 @@ def noise_distribution(vocab: DataFrame, power: float = 0.75) -> DataFrame:
     inclusive cumulative probability in idx order (vocabulary-sized)."""
     w = vocab.select("idx", F.pow(F.col("cn").cast("double"), power).alias("w"))
     s = ordered_scan(w.withColumn("__all", F.lit(0)), ["__all"], [F.col("idx").asc()], ["w"],
-                     pos="__p")
+                     pos="__p", method="range")
     tot = w.agg(F.sum("w").alias("__tot"))
     return s.crossJoin(F.broadcast(tot)).select(  # one-row total
         "idx", (F.col("w") / F.col("__tot")).alias("prob"), (F.col("cum_w") / F.col("__tot")).alias("cum"))

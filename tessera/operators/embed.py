@@ -30,7 +30,6 @@ from pyspark import StorageLevel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions import distance as D
 from tessera.operators import corpus as C
@@ -375,32 +374,15 @@ def find_synonyms(emb: DataFrame, w, num: int, word: str = "word", vector: str =
     return find_synonyms_vec(emb, row[0], num, word, vector, exclude=w)
 
 
-def _with_long_ids(emb: DataFrame, word: str):
-    """Integral ids pass through; other ids get a dense long index (joined back after)."""
-    if isinstance(emb.schema[word].dataType, (T.LongType, T.IntegerType, T.ShortType)):
-        return emb.withColumn("__id", F.col(word).cast("long")), None
-    from tessera.functions.indexing import global_index
-    x = global_index(emb, [F.col(word)], "__id")
-    return x, x.select("__id", word)
-
-
-def _back(nn: DataFrame, ids: DataFrame | None, word: str) -> DataFrame:
-    out = nn.select(F.col("src").alias("item1"), F.col("cand").alias("item2"),
-                    (F.lit(1.0) - F.col("distance")).alias("sim"))
-    if ids is None:
-        return out
-    a = ids.select(F.col("__id").alias("item1"), F.col(word).alias("w1"))
-    b = ids.select(F.col("__id").alias("item2"), F.col(word).alias("w2"))
-    return (out.join(a, "item1").join(b, "item2")
-            .select(F.col("w1").alias("item1"), F.col("w2").alias("item2"), "sim"))
+def _as_similarity(nn: DataFrame) -> DataFrame:
+    return nn.select(F.col("src").alias("item1"), F.col("cand").alias("item2"),
+                     (F.lit(1.0) - F.col("distance")).alias("sim"))
 
 
 def i2i_exact(emb: DataFrame, top: int = 100, word: str = "word", vector: str = "vector",
               block_size: int = 1024) -> DataFrame:
     """Exact top-N items by |cosine| for every item -> (item1, item2, sim)."""
-    x, ids = _with_long_ids(emb, word)
-    nn = K.knn_self(x, top, "cosine", "__id", vector, block_size)
-    return _back(nn, ids, word)
+    return _as_similarity(K.knn_self(emb, top, "cosine", word, vector, block_size))
 
 
 def i2i_lsh(emb: DataFrame, top: int = 100, num_hashes: int = 200, signature_length: int | None = None,
@@ -414,6 +396,4 @@ def i2i_lsh(emb: DataFrame, top: int = 100, num_hashes: int = 200, signature_len
     if signature_length is None:
         signature_length = H.signature_length_for(emb.count())
     fam = H.HashFamily("signRP", len(first[0]), num_hashes, min(signature_length, num_hashes), seed=seed)
-    x, ids = _with_long_ids(emb, word)
-    nn = H.lsh_self(x, top, fam, "__id", vector, bucket_limit)
-    return _back(nn, ids, word)
+    return _as_similarity(H.lsh_self(emb, top, fam, word, vector, bucket_limit))

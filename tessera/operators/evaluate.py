@@ -7,7 +7,7 @@ range-partitioned running sum (exact); losses are single aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scan import ordered_scan
@@ -69,7 +69,7 @@ def auc_exact(df: DataFrame, label: str = "label", prediction: str = "prediction
     per = (df.select(F.col(prediction).cast("double").alias("s"), F.col(label).cast("double").alias("y"))
            .groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1.0 - F.col("y")).alias("neg"))
            .withColumn("__all", F.lit(0)))
-    sc = ordered_scan(per, ["__all"], [F.col("s").asc()], ["neg"], pos="__pos")
+    sc = ordered_scan(per, ["__all"], [F.col("s").asc()], ["neg"], pos="__pos", method="range")
     term = F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)
     t = sc.agg(F.sum(term).alias("__u"), F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
     den = F.col("__p") * F.col("__n")
@@ -88,12 +88,34 @@ def log_loss(df: DataFrame, label: str = "label", logit: str = "logit") -> DataF
     return df.agg(F.avg(term).alias("log_loss"), F.avg(sigmoid(z)).alias("mean_probability"))
 
 
+# Exponents are split into bins this wide: e^BIN times any number of rows stays far inside a double.
+BIN = 256.0
+
+
+def _bin(x: Column) -> Column:
+    """Lower end of the bin of ``x``."""
+    return F.floor(x / BIN) * BIN
+
+
+def _exp_state(x: Column) -> Column:
+    """Term of a sum of exponentials, scaled by the lower end of its bin."""
+    return F.exp(x - _bin(x))
+
+
 def list_softmax(df: DataFrame, score: str = "score", out: str = "probability") -> DataFrame:
-    """Softmax of scores within each list (max-shifted; two aggregates)."""
-    mx = df.groupBy("list_id").agg(F.max(score).alias("__mx"))
-    x = df.join(mx, "list_id").withColumn("__e", F.exp(F.col(score) - F.col("__mx")))
-    sm = x.groupBy("list_id").agg(F.sum("__e").alias("__se"))
-    return x.join(sm, "list_id").withColumn(out, F.col("__e") / F.col("__se")).drop("__mx", "__e", "__se")
+    """Softmax of scores within each list.
+
+    The state of a list is its sums of exponentials per bin of scores, scaled by the bin; such states add up, so they
+    are built by one aggregate with map-side combine over (list, bin), and put on the scale of the highest bin
+    afterwards.  Rows are joined once with the finished one-row-per-list table; no aggregate follows on the join's
+    key, so a list that holds half of all rows can be split.
+    """
+    z = F.col(score).cast("double")
+    parts = df.groupBy("list_id", _bin(z).alias("__b")).agg(F.sum(_exp_state(z)).alias("__s"))
+    top = F.max("__b").over(Window.partitionBy("list_id"))
+    sums = (parts.withColumn("__top", top).groupBy("list_id", "__top")
+            .agg(F.sum(F.col("__s") * F.exp(F.col("__b") - F.col("__top"))).alias("__se")))
+    return df.join(sums, "list_id").withColumn(out, F.exp(z - F.col("__top")) / F.col("__se")).drop("__top", "__se")
 
 
 def listwise_loss(df: DataFrame, label: str = "label", logit: str = "score") -> DataFrame:
@@ -103,16 +125,19 @@ def listwise_loss(df: DataFrame, label: str = "label", logit: str = "score") ->
     valid items (label >= 0); invalid items are masked out of both
     softmaxes.  Lists without a valid item are skipped.
     Returns ``(list_id, loss)``; ``mean_listwise_loss`` averages it.
+
+    ``-sum p_i (z_i - log sum e^z) = log sum e^z - sum e^y z / sum e^y``: three sums of exponentials whose states,
+    scaled by their bins as in ``list_softmax``, come from one aggregate; no row is joined with its list.
     """
-    v = df.filter(F.col(label) >= 0).select("list_id", F.col(label).cast("double").alias("y"),
-                                            F.col(logit).cast("double").alias("z"))
-    st = v.groupBy("list_id").agg(F.max("y").alias("__my"), F.max("z").alias("__mz"))
-    x = v.join(st, "list_id").select("list_id", (F.col("y") - F.col("__my")).alias("y"),
-                                     (F.col("z") - F.col("__mz")).alias("z"))
-    t = x.groupBy("list_id").agg(F.sum(F.exp("y")).alias("__sy"), F.sum(F.exp("z")).alias("__sz"),
-                                 F.sum(F.exp("y") * F.col("z")).alias("__syz"))
-    # -sum p_i (z_i - log sum exp z) with p_i = e^y_i / sum e^y
-    return t.select("list_id", (F.log("__sz") - F.col("__syz") / F.col("__sy")).alias("loss"))
+    y, z = F.col(label).cast("double"), F.col(logit).cast("double")
+    parts = (df.filter(F.col(label) >= 0).groupBy("list_id", _bin(y).alias("__by"), _bin(z).alias("__bz"))
+             .agg(F.sum(_exp_state(y)).alias("__sy"), F.sum(_exp_state(z)).alias("__sz"), F.sum(_exp_state(y) * z).alias("__syz")))
+    w = Window.partitionBy("list_id")
+    top = parts.withColumn("__my", F.max("__by").over(w)).withColumn("__mz", F.max("__bz").over(w))
+    sy, sz = F.exp(F.col("__by") - F.col("__my")), F.exp(F.col("__bz") - F.col("__mz"))
+    t = top.groupBy("list_id", "__mz").agg(F.sum(F.col("__sy") * sy).alias("__sy"), F.sum(F.col("__sz") * sz).alias("__sz"),
+                                           F.sum(F.col("__syz") * sy).alias("__syz"))
+    return t.select("list_id", (F.col("__mz") + F.log("__sz") - F.col("__syz") / F.col("__sy")).alias("loss"))
 
 
 def mean_listwise_loss(df: DataFrame, label: str = "label", logit: str = "score") -> DataFrame:

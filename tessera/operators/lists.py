@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.scan import ordered_scan
+from tessera.functions.scan import ordered_scan, written
 from tessera.functions.stable import stable_u01
 from tessera.operators.topn import first_rows
 
 
 def sort_by_scores(df: DataFrame, n: int | None = None, shuffle_ties: bool = False,
-                   seed: int = 42, method: str = "range") -> DataFrame:
+                   seed: int = 42, method: str = "auto") -> DataFrame:
     """H1: rows by score descending, top ``n`` kept, ``pos`` 1-based.
 
     Ties are broken by ``item_id``, or by a seeded stable uniform of
@@ -28,7 +28,7 @@ def sort_by_scores(df: DataFrame, n: int | None = None, shuffle_ties: bool = Fal
                       method=method).drop("__tie")
 
 
-def sorted_ranks(df: DataFrame, method: str = "range") -> DataFrame:
+def sorted_ranks(df: DataFrame, method: str = "auto") -> DataFrame:
     """H2: 1-based rank of each row's score in its list, rows in input order.
 
     Example: scores [1.0, 3.5, 2.1] -> ranks [3, 1, 2].
@@ -38,7 +38,7 @@ def sorted_ranks(df: DataFrame, method: str = "range") -> DataFrame:
 
 def organize_valid(df: DataFrame, valid: str = "valid", shuffle: bool = False,
                    seed: int = 42, position: str = "position",
-                   method: str = "range") -> DataFrame:
+                   method: str = "auto") -> DataFrame:
     """H3: valid rows first, then the rest; inside each part shuffled (stable
     uniform per item and seed) or in original ``position`` order.  Adds
     0-based ``new_pos``."""
@@ -50,7 +50,7 @@ def organize_valid(df: DataFrame, valid: str = "valid", shuffle: bool = False,
 
 
 def pad_circular(df: DataFrame, size: int, valid: str = "valid",
-                 position: str = "position", method: str = "range") -> DataFrame:
+                 position: str = "position", method: str = "auto") -> DataFrame:
     """H4: lists padded (or cut) to ``size`` by repeating valid rows circularly.
 
     Output row ``p`` (0..size-1) of a list takes its valid row number
@@ -68,12 +68,12 @@ def pad_circular(df: DataFrame, size: int, valid: str = "valid",
                       (F.col("slot") < F.col("__nv")).alias("mask"))
 
 
-def de_noise(counts: DataFrame, noise: DataFrame, ratio: float = 0.9,
-             method: str = "range") -> DataFrame:
+def de_noise(counts: DataFrame, noise: DataFrame | None, ratio: float = 0.9,
+             method: str = "auto") -> DataFrame:
     """H5: exact ML estimate of the true distribution behind noisy counts.
 
     ``counts(list_id, key, count >= 0)`` and ``noise(list_id, key, noise > 0)``
-    model ``ratio * noise + (1 - ratio) * true``.  Per list, noise is
+    (None when ``counts`` has the column already) model ``ratio * noise + (1 - ratio) * true``.  Per list, noise is
     normalised to a simplex, keys are ordered by ``count / noise`` descending
     (ties by key), and key ``i`` stays positive when
     ``(odds + cum_noise_i) / cum_count_i > noise_i / count_i`` with
@@ -86,7 +86,7 @@ def de_noise(counts: DataFrame, noise: DataFrame, ratio: float = 0.9,
     if not 0 < ratio < 1:
         raise ValueError(f"ratio should be in (0, 1), got {ratio}")
     odds = (1 - ratio) / ratio
-    j = counts.join(noise, ["list_id", "key"], "left")
+    j = counts if noise is None else counts.join(noise, ["list_id", "key"], "left")
     # checked lazily inside the plan: a violating row fails the job
     ok = F.assert_true((F.col("count") >= 0) & F.coalesce(F.col("noise") > 0, F.lit(False)), "counts must be >= 0 and noise > 0")
     j = j.filter(F.coalesce(ok.cast("boolean"), F.lit(True)))
@@ -94,8 +94,7 @@ def de_noise(counts: DataFrame, noise: DataFrame, ratio: float = 0.9,
     x = (j.join(tot, "list_id")
          .select("list_id", "key", F.col("count").cast("double").alias("c"),
                  (F.col("noise") / F.col("__ns")).alias("n")))
-    x = x.withColumn("__ratio", F.col("c") / F.col("n"))
-    s = ordered_scan(x, ["list_id"], [F.col("__ratio").desc(), F.col("key").asc()], ["n", "c"],
+    s = ordered_scan(written(x), ["list_id"], [(F.col("c") / F.col("n")).desc(), F.col("key").asc()], ["n", "c"],
                      method=method)
     # (odds + cum_n) / cum_c > n / c, cross-multiplied (both denominators > 0
     # when c > 0; a zero count is never kept)

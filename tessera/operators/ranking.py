@@ -18,7 +18,7 @@ diversity metrics.
 Positions and running sums come from ``ordered_scan``, which stays balanced
 even when one list holds a large share of all rows; per-list totals are
 plain aggregates with map-side partial aggregation.  Nothing builds item
-pairs: OPA counts dominated items per label grade with scans instead.
+pairs: OPA counts dominated items over dyadic ranges of label ranks.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.scan import ordered_scan
+from tessera.functions.scan import hot_groups, ordered_scan
 from tessera.operators.topn import first_rows
 
 LN2 = 0.6931471805599453
@@ -60,10 +60,15 @@ def prepare_lists(df: DataFrame, list_col: str = "list_id", item_col: str = "ite
                     "weight", valid.alias("valid")))
 
 
-def rank_lists(prepared: DataFrame, sums=(), method: str = "range", n: int | None = None) -> DataFrame:
+def rank_lists(prepared: DataFrame, sums=(), method: str = "auto", n: int | None = None, **kw) -> DataFrame:
     """Adds ``pos`` (1-based by score desc, item asc) and running sums; with ``n`` only the first n rows are left."""
     return first_rows(prepared, ["list_id"], [F.col("score").desc(), F.col("item_id").asc()], n,
-                      sums, method=method)
+                      sums, method=method, **kw)
+
+
+def _hot_lists(rows: DataFrame, n: int | None, method: str) -> dict:
+    """Lists that scans must split, found once for all scans of a metric."""
+    return {"hot": hot_groups(rows, ["list_id"])} if n is None and method == "auto" else {}
 
 
 def list_weights(df: DataFrame, rel: Column) -> DataFrame:
@@ -91,14 +96,14 @@ def _binary_rel():
     return F.when(F.col("label") >= 1.0, 1.0).otherwise(0.0)
 
 
-def mrr(prepared: DataFrame, n: int | None = None, method: str = "range") -> DataFrame:
+def mrr(prepared: DataFrame, n: int | None = None, method: str = "auto") -> DataFrame:
     """Max over the top n of [label >= 1] / rank."""
     r = rank_lists(prepared, method=method, n=n)
     m = r.groupBy("list_id").agg(F.max(F.when(F.col("label") >= 1.0, 1.0 / F.col("pos")).otherwise(0.0)).alias("mrr"))
     return m.join(list_weights(prepared, _binary_rel()), "list_id")
 
 
-def arp(prepared: DataFrame, method: str = "range") -> DataFrame:
+def arp(prepared: DataFrame, method: str = "auto") -> DataFrame:
     """Average relevance position, position weighted by label * weight."""
     r = rank_lists(prepared, method=method)
     rel = F.col("label") * F.col("weight")
@@ -108,7 +113,7 @@ def arp(prepared: DataFrame, method: str = "range") -> DataFrame:
                     .otherwise(0.0).alias("arp"), "weight"))
 
 
-def precision_at(prepared: DataFrame, n: int | None = None, method: str = "range") -> DataFrame:
+def precision_at(prepared: DataFrame, n: int | None = None, method: str = "auto") -> DataFrame:
     """Relevant share of the top n (divisor = rows kept)."""
     r = rank_lists(prepared, method=method, n=n)
     p = r.groupBy("list_id").agg(F.avg(_binary_rel()).alias("precision"))
@@ -116,7 +121,7 @@ def precision_at(prepared: DataFrame, n: int | None = None, method: str = "range
 
 
 def mean_average_precision(prepared: DataFrame, n: int | None = None,
-                           method: str = "range") -> DataFrame:
+                           method: str = "auto") -> DataFrame:
     """Weighted precision at relevant ranks / weighted relevant count in n."""
     x = prepared.withColumn("rel", _binary_rel())
     r = rank_lists(x, sums=["rel"], method=method, n=n)
@@ -135,19 +140,20 @@ def dcg_terms(ranked: DataFrame, pos: str = "pos",
     return F.col("weight") * gain(F.col("label")) * discount(F.col(pos))
 
 
-def _dcg(prepared, n, gain, discount, method):
-    r = rank_lists(prepared, method=method, n=n)
+def _dcg(prepared, n, gain, discount, method, **kw):
+    r = rank_lists(prepared, method=method, n=n, **kw)
     return r.groupBy("list_id").agg(F.sum(dcg_terms(r, "pos", gain, discount)).alias("dcg"))
 
 
 def ndcg(prepared: DataFrame, n: int | None = None,
          gain: Callable[[Column], Column] = default_gain,
          discount: Callable[[Column], Column] = default_discount,
-         method: str = "range") -> DataFrame:
+         method: str = "auto") -> DataFrame:
     """DCG over the ideal DCG (ideal order by weight * label)."""
-    dcg = _dcg(prepared, n, gain, discount, method)
+    hot = _hot_lists(prepared, n, method)
+    dcg = _dcg(prepared, n, gain, discount, method, **hot)
     ideal = first_rows(prepared.withColumn("__ideal", F.col("weight") * F.col("label")),
-                       ["list_id"], [F.col("__ideal").desc(), F.col("item_id").asc()], n, method=method)
+                       ["list_id"], [F.col("__ideal").desc(), F.col("item_id").asc()], n, method=method, **hot)
     idcg = ideal.groupBy("list_id").agg(F.sum(dcg_terms(ideal, "pos", gain, discount)).alias("idcg"))
     m = dcg.join(idcg, "list_id").select(
         "list_id", F.when(F.col("idcg") != 0, F.col("dcg") / F.col("idcg")).otherwise(0.0).alias("ndcg"))
@@ -157,7 +163,7 @@ def ndcg(prepared: DataFrame, n: int | None = None,
 def dcg(prepared: DataFrame, n: int | None = None,
         gain: Callable[[Column], Column] = default_gain,
         discount: Callable[[Column], Column] = default_discount,
-        method: str = "range") -> DataFrame:
+        method: str = "auto") -> DataFrame:
     """DCG divided by the list weight."""
     d = _dcg(prepared, n, gain, discount, method).join(
         list_weights(prepared, gain(F.col("label"))), "list_id")
@@ -165,42 +171,42 @@ def dcg(prepared: DataFrame, n: int | None = None,
                     .otherwise(0.0).alias("dcg"), "weight")
 
 
-def opa(prepared: DataFrame, method: str = "range") -> DataFrame:
+def opa(prepared: DataFrame, method: str = "auto") -> DataFrame:
     """Ordered pair accuracy.
 
     Over valid pairs (i, j) of a list with label_i > label_j, the share with
     score_i > score_j, pairs weighted by the weight of i.  Per valid item
     ``P_i = #{j: l_j < l_i}`` and ``C_i = #{j: l_j < l_i, s_j < s_i}``.
-    ``P_i`` comes from per-grade counts.  ``C_i`` is summed over the label grades
-    ``g < l_i`` present in the list: for each grade a scan ordered by score
-    counts the grade-``g`` items strictly below ``s_i``.  Work grows with
-    items x grades, never with pairs.
+
+    Dominance counting over dyadic ranges of label ranks.  A list's labels get
+    dense ranks r from 0 (``P_i`` comes with them).  [0, r) is the disjoint union of the left halves
+    of the dyadic nodes in which r lies in the right half, one for every bit that is set in r.  So on
+    every level b each item belongs to one node ``r >> (b + 1)``: as a point when
+    bit b is 0, as a question when it is 1.  One ordered scan by score inside (list, level, node) counts the
+    points below every question.  An item has one row per bit of the list's
+    highest rank: n log2(grades) rows, never items x grades and never pairs.
     """
     v = prepared.filter("valid").select("list_id", "item_id", "label", "score", "weight")
-    # P_i: items with a strictly smaller label -- counts per (list, grade),
-    # accumulated over the grades of the list (at most #grades rows per list)
     per_grade = v.groupBy("list_id", "label").agg(F.count(F.lit(1)).alias("__cnt"))
-    wg = Window.partitionBy("list_id").orderBy("label").rowsBetween(Window.unboundedPreceding, -1)
-    below = per_grade.select("list_id", "label",
-                             F.coalesce(F.sum("__cnt").over(wg), F.lit(0)).cast("double").alias("P"))
-    p = v.join(below, ["list_id", "label"])
-    # C_i: per lower grade g, running count of grade-g items under score order
-    grades = per_grade.select("list_id", F.col("label").alias("g"))
-    queries = (p.join(grades, "list_id").filter(F.col("g") < F.col("label"))
-               .select("list_id", "g", "score", F.lit(0).alias("__kind"),
-                       F.lit(0.0).alias("__is_data"), "item_id"))
-    data = v.select("list_id", F.col("label").alias("g"), "score", F.lit(1).alias("__kind"),
-                    F.lit(1.0).alias("__is_data"), "item_id")
-    # at equal score a query row sorts before data rows: only strictly lower scores count
-    sc = ordered_scan(queries.unionByName(data), ["list_id", "g"],
-                      [F.col("score").asc(), F.col("__kind").asc(), F.col("item_id").asc()],
-                      ["__is_data"], method=method)
-    c = (sc.filter(F.col("__kind") == 0).groupBy("list_id", "item_id")
-         .agg(F.sum("cum___is_data").alias("C")))
-    x = p.join(c, ["list_id", "item_id"], "left").fillna(0.0, ["C"])
-    t = x.groupBy("list_id").agg(F.sum(F.col("weight") * F.col("C")).alias("__c"),
-                                 F.sum(F.col("weight") * F.col("P")).alias("weight"))
-    return t.select("list_id", F.when(F.col("weight") != 0, F.col("__c") / F.col("weight"))
+    hot = _hot_lists(v, None, method)
+    ranked = ordered_scan(per_grade, ["list_id"], ["label"], ["__cnt"], pos="__r", method=method, **hot)
+    grades = ranked.groupBy("list_id").agg(F.max("__r").alias("__grades"))
+    ranked = ranked.join(grades, "list_id").select(
+        "list_id", "label", (F.col("__r") - 1).cast("int").alias("__r"), F.ceil(F.log2(F.col("__grades").cast("double"))).cast("int").alias("__bits"),
+        (F.col("cum___cnt") - F.col("__cnt")).alias("__p"))
+    p = v.join(ranked, ["list_id", "label"])
+    # lists of one grade have no pairs and no bits
+    levels = p.filter("__bits > 0").select(
+        "list_id", "item_id", "score", "weight", "__r", F.explode(F.expr("sequence(0, __bits - 1)")).alias("__b"))
+    bit = F.expr("shiftright(__r, __b) & 1")
+    nodes = levels.select("list_id", "__b", F.expr("shiftright(__r, __b + 1)").alias("__node"), "score", "item_id", "weight",
+                          (1 - bit).cast("double").alias("__point"))
+    # at equal score questions come before points: only strictly lower scores count
+    sc = ordered_scan(nodes, ["list_id", "__b", "__node"], [F.col("score").asc(), F.col("__point").asc(), F.col("item_id").asc()],
+                      ["__point"], method=method, **hot)
+    c = sc.filter("__point = 0").groupBy("list_id").agg(F.sum(F.col("weight") * F.col("cum___point")).alias("__c"))
+    t = p.groupBy("list_id").agg(F.sum(F.col("weight") * F.col("__p")).alias("weight")).join(c, "list_id", "left")
+    return t.select("list_id", F.when(F.col("weight") != 0, F.coalesce("__c", F.lit(0.0)) / F.col("weight"))
                     .otherwise(0.0).alias("opa"), "weight")
 
 
@@ -236,7 +242,7 @@ def prepare_diversity(df: DataFrame, list_col: str = "list_id", item_col: str =
 
 
 def precision_ia(items: DataFrame, cells: DataFrame, n: int | None = None,
-                 method: str = "range") -> DataFrame:
+                 method: str = "auto") -> DataFrame:
     """Relevant (item, subtopic) cells in the top n / (subtopics x items kept)."""
     r = rank_lists(items, method=method, n=n)
     kept = r.groupBy("list_id").agg(F.count(F.lit(1)).alias("__kept"))
@@ -254,7 +260,7 @@ def precision_ia(items: DataFrame, cells: DataFrame, n: int | None = None,
 
 def alpha_dcg(items: DataFrame, cells: DataFrame, n: int | None = None, alpha: float = 0.5,
               discount: Callable[[Column], Column] = default_discount,
-              method: str = "range") -> DataFrame:
+              method: str = "auto") -> DataFrame:
     """Alpha-DCG; gain = sum_t label * (1 - alpha)^(earlier coverage of t)."""
     r = rank_lists(items, method=method, n=n).select("list_id", "item_id", "pos", "weight")
     c = cells.join(r, ["list_id", "item_id"])
@@ -273,7 +279,7 @@ def alpha_dcg(items: DataFrame, cells: DataFrame, n: int | None = None, alpha: f
 def ndcg_report(prepared: DataFrame, ns=(1, 4, 8, 20, None),
                 gain: Callable[[Column], Column] = default_gain,
                 discount: Callable[[Column], Column] = default_discount,
-                method: str = "range") -> DataFrame:
+                method: str = "auto") -> DataFrame:
     """G8 at several cut-offs at once (the evaluation set 1, 4, 8, 20, all):
     one row of weighted means ``ndcg_<n>`` / ``ndcg_all``.
 
@@ -286,13 +292,14 @@ def ndcg_report(prepared: DataFrame, ns=(1, 4, 8, 20, None),
     def cut(col, n):
         return F.lit(True) if n is None else (F.col(col) <= n)
 
-    r = rank_lists(prepared, method=method)
+    hot = _hot_lists(prepared, None, method)
+    r = rank_lists(prepared, method=method, **hot)
     t = dcg_terms(r, "pos", gain, discount)
     d = r.groupBy("list_id").agg(*[F.sum(F.when(cut("pos", n), t).otherwise(0.0)).alias(f"d_{i}")
                                    for i, n in enumerate(ns)])
     ideal = ordered_scan(prepared.withColumn("__ideal", F.col("weight") * F.col("label")),
                          ["list_id"], [F.col("__ideal").desc(), F.col("item_id").asc()],
-                         pos="ipos", method=method)
+                         pos="ipos", method=method, **hot)
     ti = dcg_terms(ideal, "ipos", gain, discount)
     i = ideal.groupBy("list_id").agg(*[F.sum(F.when(cut("ipos", n), ti).otherwise(0.0)).alias(f"i_{k}")
                                        for k, n in enumerate(ns)])

@@ -9,7 +9,7 @@ Two plans compute the same one-to-one rules and check each other:
   ``conf = n_ab / n_a`` and ``lift = conf / (n_b / N)``.
 
 Both keep the top ``n`` consequents per antecedent by lift (``rank``, ties
-kept).  Lifts are ranked on 10 decimals (``topn.tie_key``).
+kept).  Lifts are ranked on 34 significant bits (``topn.tie_key``).
 """
 
 from __future__ import annotations

@@ -53,14 +53,14 @@ def top_n(df: DataFrame, by, order: Sequence[Column] | Column, n: int,
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | None,
-               sums: Sequence[str] = (), pos: str = "pos", method: str = "range") -> DataFrame:
+               sums: Sequence[str] = (), pos: str = "pos", method: str = "auto", **kw) -> DataFrame:
     """``ordered_scan`` of the first ``n`` rows per group (all when None).
 
     With ``n`` the rows are cut by a row_number filter, which is pruned
     map-side; the running sums then see at most ``n`` rows per group.
     """
     if n is None:
-        return ordered_scan(df, keys, order, sums, pos=pos, method=method)
+        return ordered_scan(df, keys, order, sums, pos=pos, method=method, **kw)
     top = top_n(df, list(keys), order, n, ties="row_number", rank_col=pos)
     upto = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return top.select(*df.columns, F.col(pos).cast("long").alias(pos),

@@ -82,7 +82,7 @@ _LIST_SQL = """ls AS (
   SELECT l_orderkey AS list_id,
          cast(l_partkey AS varchar) || ':' || cast(l_linenumber AS varchar) || ':'
            || cast(l_suppkey AS varchar) AS item_id,
-         floor(l_quantity / 10) AS label, l_extendedprice / 10000.0 AS score FROM lineitem)"""
+         floor(l_quantity / 10) - 1 AS label, l_extendedprice / 10000.0 AS score FROM lineitem)"""
 
 
 def _lists(spark, sf_dir):

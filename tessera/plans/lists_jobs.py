@@ -106,7 +106,7 @@ def q_de_noise(spark, sf_dir):
     counts = dw.groupBy(F.col("doc_id").alias("list_id"), F.col("word").alias("key")).agg(
         F.count(F.lit(1)).alias("count"), F.first("lang").alias("lang"))
     per_lang = dw.groupBy("lang", F.col("word").alias("key")).agg(F.count(F.lit(1)).alias("nz"))
-    noise = counts.join(per_lang, ["lang", "key"]).select("list_id", "key", F.col("nz").alias("noise"))
-    out = L.de_noise(counts.select("list_id", "key", "count"), noise, ratio=0.9)
+    both = counts.join(per_lang, ["lang", "key"]).select("list_id", "key", "count", F.col("nz").alias("noise"))
+    out = L.de_noise(both, None, ratio=0.9)
     return out.select(F.col("list_id").alias("doc_id"), F.col("key").alias("word"),
                       F.round("value", 6).alias("value"))

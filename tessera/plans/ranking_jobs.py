@@ -135,7 +135,7 @@ def q_opa(spark, sf_dir):
 def _div(spark, sf_dir):
     li = S.ranking_lists(spark, sf_dir)
     d = li.select("list_id", "item_id", "subtopic",
-                  F.when(F.col("quantity") >= 25, 1.0).otherwise(0.0).alias("label"),
+                  F.when(F.col("quantity") >= 25, 1.0).when(F.col("quantity") < 5, -1.0).otherwise(0.0).alias("label"),
                   "score", "weight")
     return R.prepare_diversity(d)
 

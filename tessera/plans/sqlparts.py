@@ -75,7 +75,7 @@ LISTS = """base AS (
   SELECT l_orderkey AS list_id,
          cast(l_partkey AS varchar) || ':' || cast(l_linenumber AS varchar) || ':'
            || cast(l_suppkey AS varchar) AS item_id,
-         floor(l_quantity / 10) AS raw_label, l_extendedprice AS raw_score, 1.0 AS weight
+         floor(l_quantity / 10) - 1 AS raw_label, l_extendedprice AS raw_score, 1.0 + l_linenumber % 3 AS weight
   FROM lineitem),
 prep AS (
   SELECT list_id, item_id,
@@ -91,11 +91,11 @@ DIVERSITY = """dbase AS (
   SELECT l_orderkey AS list_id,
          cast(l_partkey AS varchar) || ':' || cast(l_linenumber AS varchar) || ':'
            || cast(l_suppkey AS varchar) AS item_id,
-         l_returnflag AS subtopic, CAST(CASE WHEN l_quantity >= 25 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label,
-         l_extendedprice AS score, 1.0 AS weight
+         l_returnflag AS subtopic, CAST(CASE WHEN l_quantity >= 25 THEN 1.0 WHEN l_quantity < 5 THEN -1.0 ELSE 0.0 END AS DOUBLE) AS label,
+         l_extendedprice AS score, 1.0 + l_linenumber % 3 AS weight
   FROM lineitem),
 ditems_raw AS (
-  SELECT list_id, item_id, first(score) AS raw_score, first(weight) AS weight,
+  SELECT list_id, item_id, max(score) AS raw_score, max(weight) AS weight,
          max(CASE WHEN label >= 0 THEN 1 ELSE 0 END) AS v,
          CAST(max(CASE WHEN label >= 1 THEN 1.0 ELSE 0.0 END) AS DOUBLE) AS any_rel
   FROM dbase GROUP BY 1, 2),

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.io import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,7 +76,7 @@ WORD_SPLIT = r"[^\p{L}\p{N}]+"
 
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, words array<string>): lower-cased word tokens of the whole text."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
     words = F.filter(F.split(F.lower(F.col("text")), WORD_SPLIT), lambda w: w != F.lit(""))
     return d.select("doc_id", "lang", words.alias("words"))
 
@@ -94,17 +96,18 @@ def feature_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ranking_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(list_id, item_id, label, score, weight, subtopic): one row per line item.
 
-    list = order, label = floor(quantity / 10), score = extended price, item
-    id = (partkey, linenumber, price) made into one string key.
+    list = order, label = floor(quantity / 10) - 1 (so small quantities are invalid
+    items), weight = 1 + linenumber % 3, score = extended price, item id = (partkey,
+    linenumber, suppkey) as one string; an order may hold an item twice.
     """
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").alias("list_id"),
         F.concat_ws(":", F.col("l_partkey").cast("string"), F.col("l_linenumber").cast("string"),
                     F.col("l_suppkey").cast("string")).alias("item_id"),
-        F.floor(F.col("l_quantity") / 10).cast("double").alias("label"),
+        (F.floor(F.col("l_quantity") / 10) - 1).cast("double").alias("label"),
         F.col("l_extendedprice").cast("double").alias("score"),
-        F.lit(1.0).alias("weight"),
+        (F.lit(1.0) + F.col("l_linenumber") % 3).alias("weight"),
         F.col("l_returnflag").alias("subtopic"),
         F.col("l_quantity").alias("quantity"))
 

@@ -28,6 +28,15 @@ def _df(spark: SparkSession | None, src) -> DataFrame:
     return spark.table(src)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` over all cores, by ``keys``, when its input has fewer splits than there are cores; otherwise as it is.
+
+    For work that is heavy per row: a file of one row group is one task, whatever its rows cost.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def read_ratings(spark, src, user: str = "user", item: str = "item",
                  rating: str = "rating") -> DataFrame:
     """A1: (user, item, rating double) from any table."""

@@ -335,3 +335,135 @@ def test_absent_list_features(spark):
 def test_lsh_of_an_empty_source(spark):
     empty = spark.createDataFrame([], "id long, vector array<double>")
     assert H.nearest_neighbors(empty, k=2, seed=1).count() == 0
+
+
+# --- pivot partitions, first common band, ids of any type ---------------------------------------------------------------
+
+def clustered(n, dim=6, centres=8, seed=3):
+    rng = np.random.default_rng(seed)
+    c = rng.normal(size=(centres, dim)) * 20
+    return [(f"k{i:04d}", (c[i % centres] + rng.normal(size=dim)).tolist()) for i in range(n)]
+
+
+def brute_nn(src, pool, k, dist):
+    out = set()
+    for a, x in src:
+        near = sorted((float(round(dist(x, y), 9)), b) for b, y in pool if a != b and dist(x, y) is not None)[:k]
+        out |= {(a, b, d) for d, b in near}
+    return out
+
+
+def l2(x, y):
+    return float(np.linalg.norm(np.array(x) - np.array(y)))
+
+
+def jaccard(x, y):
+    x, y = set(x or ()), set(y or ())
+    return 1 - len(x & y) / len(x | y) if x and y else None
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+@pytest.mark.parametrize("block", [16, 64, 500])
+def test_pivot_blocks_give_all_pairs_result(spark, metric, block):
+    data = clustered(300)
+    df = spark.createDataFrame(data, "id string, vector array<double>")
+
+    def cos(x, y):
+        x, y = np.array(x), np.array(y)
+        return 1 - abs(float(x @ y)) / float(np.linalg.norm(x) * np.linalg.norm(y))
+    dist = l2 if metric == "l2" else cos
+    got = {(a, b, round(d, 9)) for a, b, d in K.knn_self(df, 3, metric, block_size=block).collect()}
+    assert {g[:2] for g in got} == {g[:2] for g in brute_nn(data, data, 3, dist)}
+    src = df.where("id < 'k0100'")
+    got = {(a, b) for a, b, _ in K.knn_join(src, df, 4, metric, block_size=block).collect()}
+    assert got == {g[:2] for g in brute_nn(data[:100], data, 4, dist)}
+
+
+def test_far_block_pairs_are_skipped(spark, tmp_path):
+    """Eight far clusters: most of the block pairs have bounds beyond the radii, and none with a neighbour is left out."""
+    df = spark.createDataFrame(clustered(640), "id string, vector array<double>")
+    pivots = K.choose_pivots(df.select("id", F.col("vector").alias("v")), "l2", 8)
+    blocks = K.make_blocks(df.select("id", F.col("vector").alias("v")), "l2", pivots, 640, 20).cache()
+    n = blocks.count()
+    met = blocks.select("blk", "lo", "hi", F.col("blk").alias("seed"), F.lit(6.0).alias("radius"))
+    pairs = K.surviving_pairs(met, met, "l2", True).collect()
+    assert n >= 32 and 0 < len(pairs) < n * (n - 1) / 2 / 4
+    x = {r["blk"]: np.frombuffer(r["data"]).reshape(len(r["ids"]), -1) for r in blocks.collect()}
+    kept = {tuple(r) for r in pairs}
+    for a in x:
+        for b in x:
+            if a < b and (a, b) not in kept:
+                assert np.linalg.norm(x[a][:, None] - x[b][None], axis=2).min() > 6.0
+    blocks.unpersist()
+
+
+def test_set_sizes_bound_jaccard(spark):
+    rng = np.random.default_rng(4)
+    data = [(i, sorted(set(rng.integers(0, 60 if i % 2 else 3000, size=3 if i % 2 else 400).tolist()))) for i in range(120)] + [(500, []), (501, None)]
+    df = spark.createDataFrame(data, "id long, vector array<long>")
+    want = brute_nn(data, data, 3, jaccard)
+    for block in (10, 50, 1000):
+        got = {(a, b, round(d, 9)) for a, b, d in K.knn_self(df, 3, "jaccard", block_size=block).collect()}
+        assert got == want
+    lo = np.array([[np.log(2)], [np.log(300)]])
+    hi = np.array([[np.log(3)], [np.log(400)]])
+    assert K.bounds("jaccard", lo, hi, lo, hi)[0, 1] > 0.98
+
+
+def test_many_equal_vectors_and_ids(spark):
+    """A third of all rows are one vector: ties go by id, equal ids are never neighbours."""
+    data = [(i % 200, [1.0, 0.0] if i % 3 == 0 else [float(i), 1.0]) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, vector array<double>")
+    got = K.knn_self(df, 2, "l2", block_size=25).collect()
+    assert all(r["src"] != r["cand"] for r in got)
+    ties = sorted(r["cand"] for r in got if r["src"] == 150 and r["distance"] == 0.0)
+    assert ties == [0, 1]  # id 1 has the vector of row 201
+
+
+def test_no_items(spark):
+    df = spark.createDataFrame([("a", [1.0])], "id string, vector array<double>")
+    for metric in ("l2", "cosine"):
+        assert K.knn_self(df.limit(0), 2, metric).count() == 0
+        assert K.knn_join(df, df.limit(0), 2, metric).count() == 0
+        assert K.knn_self(df, 2, metric).count() == 0
+
+
+@pytest.mark.parametrize("family", ["signRP", "scalarRP", "minhash"])
+def test_lsh_pairs_are_found_once_and_ids_may_be_strings(spark, family):
+    rng = np.random.default_rng(5)
+    if family == "minhash":
+        data = [(f"k{i:03d}", sorted(set(rng.integers(0, 25, size=8).tolist()))) for i in range(80)]
+        df = spark.createDataFrame(data, "id string, vector array<long>")
+        dist, fam = jaccard, H.HashFamily(family, 0, 24, 2, seed=3)
+    else:
+        data = clustered(80, centres=10)
+        df = spark.createDataFrame(data, "id string, vector array<double>")
+        fam = H.HashFamily(family, 6, 24, 2, 30.0, seed=3)
+
+        def dist(x, y):
+            x, y = np.array(x), np.array(y)
+            return l2(x, y) if family == "scalarRP" else 1 - abs(float(x @ y)) / float(np.linalg.norm(x) * np.linalg.norm(y))
+    keys = fam.band_keys([v for _, v in data])
+    want = {}
+    for i, (a, x) in enumerate(data):
+        near = sorted((round(dist(x, y), 8), b) for j, (b, y) in enumerate(data) if a != b and (keys[i] == keys[j]).any())[:4]
+        want[a] = [b for _, b in near]
+    for limit in (7, 1000):
+        raw = H.lsh_self(df, 4, fam, bucket_limit=limit).collect()
+        assert len({(r["src"], r["cand"]) for r in raw}) == len(raw)
+        got = {}
+        for r in sorted(raw, key=lambda r: (r["src"], round(r["distance"], 8), r["cand"])):
+            got.setdefault(r["src"], []).append(r["cand"])
+        assert got == {a: b for a, b in want.items() if b}
+    other = {(r["src"], r["cand"]) for r in H.lsh_join(df.where("id < 'k030'"), df.where("id >= 'k030'"), 100, fam, bucket_limit=9).collect()}
+    assert other == {(a, b) for i, (a, _) in enumerate(data) for j, (b, _) in enumerate(data) if a < "k030" <= b and (keys[i] == keys[j]).any()}
+    q = H.lsh_query(data[0][1], df, 3, fam).collect()
+    assert q[0]["id"] == "k000" and isinstance(q[0]["id"], str)
+
+
+def test_lsh_join_has_no_dedupe_shuffle(spark, capsys):
+    df = spark.createDataFrame(clustered(40), "id string, vector array<double>")
+    H.lsh_self(df, 2, H.HashFamily("signRP", 6, 8, 2, seed=1)).explain()
+    plan = capsys.readouterr().out
+    after = plan[:plan.index("MapInPandas")]  # printed from the top: what comes after the kernel
+    assert after.count("Exchange") == 1 and "Aggregate" not in after
