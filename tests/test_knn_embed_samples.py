@@ -432,7 +432,7 @@ def test_no_items(spark):
 def test_lsh_pairs_are_found_once_and_ids_may_be_strings(spark, family):
     rng = np.random.default_rng(5)
     if family == "minhash":
-        data = [(f"k{i:03d}", sorted(set(rng.integers(0, 25, size=8).tolist()))) for i in range(80)]
+        data = [(f"k{i:04d}", sorted(set(rng.integers(0, 25, size=8).tolist()))) for i in range(80)]
         df = spark.createDataFrame(data, "id string, vector array<long>")
         dist, fam = jaccard, H.HashFamily(family, 0, 24, 2, seed=3)
     else:
@@ -455,10 +455,10 @@ def test_lsh_pairs_are_found_once_and_ids_may_be_strings(spark, family):
         for r in sorted(raw, key=lambda r: (r["src"], round(r["distance"], 8), r["cand"])):
             got.setdefault(r["src"], []).append(r["cand"])
         assert got == {a: b for a, b in want.items() if b}
-    other = {(r["src"], r["cand"]) for r in H.lsh_join(df.where("id < 'k030'"), df.where("id >= 'k030'"), 100, fam, bucket_limit=9).collect()}
-    assert other == {(a, b) for i, (a, _) in enumerate(data) for j, (b, _) in enumerate(data) if a < "k030" <= b and (keys[i] == keys[j]).any()}
+    other = {(r["src"], r["cand"]) for r in H.lsh_join(df.where("id < 'k0030'"), df.where("id >= 'k0030'"), 100, fam, bucket_limit=9).collect()}
+    assert other == {(a, b) for i, (a, _) in enumerate(data) for j, (b, _) in enumerate(data) if a < "k0030" <= b and (keys[i] == keys[j]).any()}
     q = H.lsh_query(data[0][1], df, 3, fam).collect()
-    assert q[0]["id"] == "k000" and isinstance(q[0]["id"], str)
+    assert q[0]["id"] == "k0000" and isinstance(q[0]["id"], str)
 
 
 def test_lsh_join_has_no_dedupe_shuffle(spark, capsys):
