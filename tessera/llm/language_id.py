@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
@@ -29,7 +30,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-WORD = re.compile(r"[^\W\d_]+")
+# \w has letters, decimal digits and the underscore, but also other numbers (superscripts, fractions, circled digits), which are no letters
+NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{re.escape(NUMBERS)}]+")
 CACHE = 400_000
 LONGEST = 40  # words beyond this many characters are scored as consecutive words of this length
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -77,8 +80,9 @@ class Lattice:
 
 
 def extended(prob: np.ndarray, floor: float) -> np.ndarray:
-    """``prob`` with the probabilities of "no edge" and of a character that is no piece."""
-    return np.vstack([prob, np.zeros((1, prob.shape[1])), np.full((1, prob.shape[1]), floor)])
+    """``prob``, nowhere below ``floor``, with the probabilities of "no edge" and of a character that is no piece.  So no word of
+    LONGEST characters has a probability below floor ** LONGEST, which a double still holds."""
+    return np.vstack([np.maximum(prob, floor), np.zeros((1, prob.shape[1])), np.full((1, prob.shape[1]), floor)])
 
 
 def forward(edges, size: int, n: int, prob: np.ndarray) -> np.ndarray:
@@ -140,8 +144,8 @@ class LanguageModel:
         self.langs, self.pieces, self.prob, self.floor = langs, pieces, prob, floor
 
     def predict(self, docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-        """Columns ``keep`` with lang_pred and score."""
-        keep = docs.columns if keep is None else keep
+        """Columns ``keep`` with lang_pred and score; columns of ``docs`` with these names are replaced."""
+        keep = [c for c in docs.columns if c not in ("lang_pred", "score")] if keep is None else keep
         model = docs.sparkSession.sparkContext.broadcast((self.langs, self.pieces, self.prob.astype("float32"), self.floor))
 
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -176,7 +180,9 @@ class LanguageModel:
                 yield pd.DataFrame({"lang_pred": pred, "score": best})
 
         udf = F.pandas_udf(score, "lang_pred string, score double")
-        return docs.select(*keep, udf(F.col(text_col)).alias("__p")).select(*keep, "__p.lang_pred", "__p.score")
+        names = [f"k{i}" for i in range(len(keep))]  # whatever the columns are called
+        out = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names)], udf(F.col(text_col)).alias("p"))
+        return out.select(*[F.col(n).alias(k) for n, k in zip(names, keep)], "p.lang_pred", "p.score")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", vocabulary: str = VOCABULARY,

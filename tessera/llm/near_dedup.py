@@ -6,7 +6,7 @@ linked when 100 |A and B| >= 85 |A or B|; the result is the connected component
 1. Equal sets (128 bits of set hash) form a class; from here on only class representatives count, so a hot group of copies is
    one row.  Copies collapse before the shuffle.
 2. Inverted lists of retained values.  Linked sets have at least ``share`` of the union sketch in common (a binomial tail below
-   1e-6 for k = 64 and 0.594 at similarity 0.85; exact for sets of at most k), so two linked sketches meet in the lists of
+   ``miss``, 39 of 64 values at similarity 0.85; exact for sets of at most k), so two linked sketches meet in the lists of
    their (1 - share) k + 1 rarest values: only those are indexed, and values that one representative has alone not at all.
 3. Every list compares all members with one pivot: as many pairs as entries.  Pairs pass the union-sketch estimate
    and are then verified on the full sets.
@@ -26,6 +26,7 @@ and kept; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from uuid import uuid4
 
 import numpy as np
@@ -114,7 +115,9 @@ class NearDuplicates:
     """The steps of the module's docstring; tables go to ``folder``."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, k: int, share: float, small: int, block: int):
-        self.docs, self.id_col, self.text_col, self.width, self.percent = docs, id_col, text_col, width, percent
+        # two columns under names of their own: the documents may have any others
+        self.docs = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+        self.name, self.id_col, self.text_col, self.width, self.percent = id_col, "__id", "__text", width, percent
         self.k, self.share, self.small, self.block = k, share, small, block
         self.spark = docs.sparkSession
         self.folder = f"{ensure_checkpoint_dir(self.spark)}/near-{uuid4().hex}"
@@ -201,15 +204,30 @@ class NearDuplicates:
               .select("k1", "k2", F.coalesce("label", "rep").alias("component")))
         lone = (F.col("n") == 0) | F.col("id").isNull()
         return (self.members.select("id", "n", "k1", "k2").join(of, ["k1", "k2"], "left")
-                .select(F.col("id").alias(self.id_col), F.col("n").cast("long").alias("n_shingles"),
+                .select(F.col("id").alias(self.name), F.col("n").cast("long").alias("n_shingles"),
                         F.when(lone, F.col("id")).otherwise(F.col("component")).alias("component_id"))
-                .withColumn("kept", F.col(self.id_col).eqNullSafe(F.col("component_id"))))
+                .withColumn("kept", F.col(self.name).eqNullSafe(F.col("component_id"))))
+
+
+def least_share(percent: int, k: int, miss: float) -> float:
+    """Share of the union sketch that linked sets have in common but for a probability of at most ``miss``: the largest count c of
+    k values with P(Binomial(k, percent / 100) < c) <= miss, as the share that rounds up to c.  0 for ``miss`` = 0."""
+    s, tail = percent / 100, 0.0
+    for c in range(k + 1):
+        tail += math.comb(k, c) * s ** c * (1 - s) ** (k - c)  # P(X <= c)
+        if tail > miss:
+            return max(0.0, (c - 1 + 1e-6) / k) if c else 0.0
+    return min(s, (k - 1 + 1e-6) / k)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 85, k: int = 64,
-               share: float = 0.594, small: int = 64, block: int = 512) -> DataFrame:
-    """One row per document: (id, n_shingles, component_id, kept)."""
-    return NearDuplicates(docs, id_col, text_col, width, percent, k, share, small, block).result()
+               miss: float = 1e-6, small: int = 64, block: int = 512) -> DataFrame:
+    """One row per document: (id, n_shingles, component_id, kept).
+
+    ``miss`` bounds the probability with which a link at the limit is lost in a sketch; the share of the sketch that is indexed and
+    compared follows from it, ``percent`` and ``k``.  With 0 every pair that meets in any sketch value is verified on the full sets.
+    """
+    return NearDuplicates(docs, id_col, text_col, width, percent, k, least_share(percent, k, miss), small, block).result()
 
 
 ORACLE = r"""WITH RECURSIVE w AS (

@@ -6,14 +6,15 @@ is linear in the text: e-mails are found from their ``@``, digits from the start
 The field labels tokens with a kind or none.  A token that holds neither a digit nor ``@`` is clamped to none, which cuts the chain
 there; so the variables of a document are its tokens with digits or ``@``, neighbours in the text share a transition
 potential, and tokens with the same digits, or the same letters when they hold ``@``, share a skip potential wherever they
-stand.  Groups of equal tokens are linked through their group's summed messages, so a token that occurs thousands of times
-costs no pairs.  Sum-product messages are passed on this loopy graph for a fixed number of rounds, and tokens whose marginal of a
+stand.  Each token gets the log messages of all its equals: a group's are summed once and each token takes the sum without its
+own, so a token that occurs thousands of times costs no pairs.  Sum-product messages are passed on this loopy graph for a fixed number of rounds, and tokens whose marginal of a
 kind exceeds ``threshold`` add spans of that kind, neighbours of one kind as one span.  Base spans are never changed: added
 spans that touch a base span are left out.
 
 Training: on at most ``sample`` documents (smallest hash of id first) the base spans are the labels.  The unary weights over token
 features and the transition and skip potentials are those of the pseudo-likelihood, by gradient descent with the labels
-of all other tokens given.  Labels, features and rounds are fixed, so the model is a few hundred numbers.
+of all other tokens given; the skip potential, one for every edge, is learned from the share of a token's mates that have its label, so
+that a few large groups do not decide it (in groups of two, the usual ones, that is the same).  Labels, features and rounds are fixed, so the model is a few hundred numbers.
 
 Scoring is one pass over the documents without a shuffle.
 
@@ -189,7 +190,11 @@ class Field:
         return self
 
     def marginals(self, g: Graph, rounds: int = 3) -> np.ndarray:
-        """Loopy sum-product: chain messages both ways, skip messages through the mean belief of the other members of a group."""
+        """Loopy sum-product: chain messages both ways, and one skip message from each other member of a token's group.
+
+        A member's skip message, 1 + (e^skip - 1) belief, is that of its beliefs without skip messages, so it is the same for all
+        its mates: the log messages of a group are summed once, and each token takes the sum without its own.
+        """
         unary = self.unary[g.x].sum(axis=1)
         forth, back = np.zeros_like(unary), np.zeros_like(unary)  # log messages that arrive from the left and from the right
         skip = np.zeros_like(unary)
@@ -201,10 +206,10 @@ class Field:
                 back_out = np.log(_softmax(unary + back + skip)[pairs + 1] @ push.T)
                 forth[pairs + 1], back[pairs] = out, back_out
             belief = _softmax(unary + forth + back)
+            message = np.log1p(np.expm1(self.skip) * belief)
             sums = np.zeros((len(g.group_sizes), NONE + 1))
-            np.add.at(sums, g.group, belief)
-            mean = (sums[g.group] - belief) / np.maximum(g.group_sizes[g.group] - 1, 1)[:, None]
-            skip = np.log1p(np.expm1(self.skip) * mean)
+            np.add.at(sums, g.group, message)
+            skip = sums[g.group] - message
         return _softmax(unary + forth + back + skip)
 
     def added(self, text: str, base, threshold: float) -> list[tuple[int, int, int]]:

@@ -19,8 +19,9 @@ from tessera.llm import near_dedup as op2
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: those with a letter, for which one learned language is likelier than all others."""
     model = op8.train(docs.where(~op8.held_out()))
-    known = model.predict(docs, keep=docs.columns).where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
-    return known.select(*docs.columns)
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # documents may have columns named like the result's
+    known = model.predict(docs.toDF(*names.values()), names["text"]).where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
+    return known.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
