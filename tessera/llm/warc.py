@@ -3,7 +3,8 @@
 Writing.  The payload digest of every page is grouped with its smallest page id: that page becomes a response record, later
 pages with the same payload become revisit records that refer to it.  Each writer task sorts its captures by (URL key,
 timestamp, page id) and writes them as one archive, so every archive is a locally sorted run.  Archives are
-written by Spark's text writer: a record is one value, and the line separator is the blank lines that end a WARC record.
+written by Spark's text writer: a record is one value, and the line separator is the blank lines that end a WARC record.  An
+archive is one gzip stream; offsets and lengths in the index are those of the records inside it.
 
 Reading.  Whole archives are read by Spark, records are cut by their Content-Length, response payloads are digested again and
 compared with the header.  The index entries of an archive come in run order.
@@ -22,6 +23,7 @@ empty table gives no archives and no rows.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import math
 from uuid import uuid4
@@ -59,12 +61,12 @@ def records(pages: DataFrame, min_bytes: int, parts: int) -> DataFrame:
     """(key, ts, page_id, value): every page as a WARC record, without the blank lines at its end, in ``parts`` sorted runs."""
     rows = pages.select("page_id", F.translate("url", "\r\n", "  ").alias("url"), "ts", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1("html")).withColumn("bytes", F.octet_length("html"))
+    # the page id as a key that is never null, so that the payloads' own exchange serves the join
+    rows = rows.withColumn("pk", F.coalesce(F.concat(F.lit("="), F.col("page_id").cast("string")), F.lit("")))
     firsts = rows.where(F.col("bytes") >= min_bytes).groupBy("sha").agg(F.min("page_id").alias("first"))
-    refers = (rows.select("page_id", "sha").distinct().join(firsts, "sha")
-              .where(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")))
-              .select(F.col("page_id").alias("__id"), F.col("sha").alias("__sha"), "first"))
-    r = (rows.repartition(parts, "page_id", "sha")
-         .join(refers, F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("sha") == F.col("__sha")), "left"))
+    refers = (rows.select("page_id", "pk", "sha").distinct().join(firsts, "sha")
+              .where(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))).select("pk", "sha", "first"))
+    r = rows.repartition(parts, "pk", "sha").join(refers.hint("shuffle_hash"), ["pk", "sha"], "left")
     again = F.col("first").isNotNull()
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
     block = F.concat(http, F.when(again, "").otherwise(F.col("html")))
@@ -83,7 +85,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, archive_byte
     """Writes ``pages`` (page_id, url, html, ts) as WARC archives into the folder ``path``."""
     size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     parts = max(1, math.ceil(size / archive_bytes))
-    records(pages, min_bytes, parts).select("value").write.option("lineSep", END).text(path)
+    records(pages, min_bytes, parts).select("value").write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def parse_archive(run: str, data: bytes):
@@ -110,7 +112,7 @@ def _parse(batches):
     names = [x.split()[0] for x in ENTRY.split(", ")]
     for pdf in batches:
         for run, data in zip(pdf["path"], pdf["content"]):
-            rows = pd.DataFrame(list(parse_archive(run, data)), columns=names)
+            rows = pd.DataFrame(list(parse_archive(run, gzip.decompress(data))), columns=names)
             yield rows.astype({c: "Int64" for c in ("page_id", "refers_to")}).assign(ts=pd.to_datetime(rows["ts"]))
 
 
