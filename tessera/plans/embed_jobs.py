@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions.stable import sql_stable_u01_parts
 from tessera.operators import corpus as C
 from tessera.operators import embed as E
+from tessera.operators import sgns
 from tessera.plans import sqlparts as Q
 from tessera.plans import standins as S
 from tessera.plans.catalog import query
@@ -139,6 +140,43 @@ def q_fit_sgns(spark, sf_dir):
         "vector", F.lit(0.0), lambda a, x: a + x * x)), 6).alias("norm"))
 
 
+_RATE, _PER_WORD, _DIM = 0.5, 20.0, 4
+
+
+def _sgns_step(i: int) -> str:
+    """SQL: scores of step ``i`` and both sides' vectors after it, one row a dimension."""
+    def side(name, own, by):
+        other = "o" if name == "i" else "i"
+        return f"""g{name}{i} AS (SELECT s.{own} AS idx, v.d, sum(s.g * v.x) / greatest(1.0, sum(s.n) / {_PER_WORD}) AS u
+       FROM s{i} s JOIN {other}{i - 1} v ON v.idx = s.{by} GROUP BY 1, 2),
+{name}{i} AS MATERIALIZED (SELECT v.idx, v.d, v.x + coalesce(g.u, 0.0) AS x FROM {name}{i - 1} v LEFT JOIN g{name}{i} g ON g.idx = v.idx AND g.d = v.d)"""
+    return f"""s{i} AS MATERIALIZED (SELECT e.centre, e.target, e.n, {_RATE}::DOUBLE * e.n * (e.label - 1.0 / (1.0 + exp(-sum(a.x * b.x)))) AS g
+       FROM ex e JOIN i{i - 1} a ON a.idx = e.centre JOIN o{i - 1} b ON b.idx = e.target AND b.d = a.d
+       GROUP BY e.centre, e.target, e.n, e.label),
+{side('i', 'centre', 'target')},
+{side('o', 'target', 'centre')}"""
+
+
+@query("fit_embeddings_partitioned", f"""WITH {_SEQ}, {_PAIRS}, {_NOISE},
+dr AS (SELECT pr.*, {sql_stable_u01_parts(['sid', 'pos', 'context', 'd'])} AS u FROM pr CROSS JOIN range(0, 5) t(d)),
+ng AS (SELECT dr.centre, coalesce((SELECT min(idx) FROM nz WHERE nz.cum > dr.u), (SELECT max(idx) FROM nz)) AS negative FROM dr),
+ex AS MATERIALIZED (SELECT centre, context AS target, 1 AS label, count(*) AS n FROM pr GROUP BY 1, 2
+       UNION ALL SELECT centre, negative, 0, count(*) FROM ng WHERE negative <> centre GROUP BY 1, 2),
+dd AS (SELECT idx, d FROM ev_vocab CROSS JOIN range(0, {_DIM}) t(d)),
+i0 AS MATERIALIZED (SELECT idx, d, ({sql_stable_u01_parts(['idx', 'd'])} - 0.5) / {_DIM} AS x FROM dd),
+o0 AS MATERIALIZED (SELECT idx, d, 0.0::DOUBLE AS x FROM dd),
+{_sgns_step(1)},
+{_sgns_step(2)},
+{_sgns_step(3)}
+SELECT w.word, cast(d AS int) AS d, round(x, 6) AS x FROM i3 JOIN ev_vocab w USING (idx)""")
+def q_fit_partitioned(spark, sf_dir):
+    """Three synchronous steps of skip-gram with 5 negatives on a partitioned model, every number exact."""
+    p, v = _pairs(spark, sf_dir)
+    ex = sgns.training_examples(p, C.noise_distribution(v), 5)
+    m = sgns.fit_partitioned(ex, v, _DIM, 3, _RATE, _PER_WORD)
+    return m.embedding_table().select("word", F.posexplode("vector").alias("d", "x")).select("word", "d", F.round("x", 6).alias("x"))
+
+
 @query("fit_embeddings_cbow_hs")
 def q_fit_cbow(spark, sf_dir):
     """CBOW with hierarchical softmax (own kernel), 2 iterations; rows-only."""

@@ -36,7 +36,8 @@ def fp_growth_job(spark: SparkSession, table, items_col: str = "items", min_supp
     """Association rules: whitespace-separated baskets -> (antecedent, consequent, lift)."""
     df = table if isinstance(table, DataFrame) else spark.table(table)
     t = IO.read_transactions(df.select(items_col), items_col).select(F.col("items"))
-    out = rules.fp_rules(t, "items", min_support_count, min_confidence, top_n, partitions)
+    # the same rules as by FP-growth, without its itemsets of other sizes and its frequent items on the driver
+    out = rules.pair_rules(t.repartition(partitions) if partitions else t, "items", min_support_count, min_confidence, top_n)
     if output_table:
         IO.save_table(out, output_table)
     return out

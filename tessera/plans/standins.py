@@ -42,6 +42,14 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.concat_ws(" ", F.collect_list(F.col("l_partkey").cast("string"))).alias("items")))
 
 
+def brand_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tid, items array<string>): the brands of each order's parts."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return (li.join(part, li.l_partkey == part.p_partkey).groupBy(F.col("l_orderkey").alias("tid"))
+            .agg(F.collect_list("p_brand").alias("items")))
+
+
 def event_item():
     return F.get_json_object(F.col("props"), "$.k").cast("long")
 

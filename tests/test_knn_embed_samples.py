@@ -13,6 +13,7 @@ from tessera.operators import embed as E
 from tessera.operators import knn as K
 from tessera.operators import lsh as H
 from tessera.operators import samples as I
+from tessera.operators import sgns as S
 from tessera import sources as IO
 
 
@@ -467,3 +468,64 @@ def test_lsh_join_has_no_dedupe_shuffle(spark, capsys):
     plan = capsys.readouterr().out
     after = plan[:plan.index("MapInPandas")]  # printed from the top: what comes after the kernel
     assert after.count("Exchange") == 1 and "Aggregate" not in after
+
+
+# --- skip-gram on a partitioned model --------------------------------------------------------------------------------------
+
+def numpy_sgns(examples, n_words, dim, steps, rate, per_word, first):
+    a, b = first.copy(), np.zeros((n_words, dim))
+    losses = []
+    for _ in range(steps):
+        ga, gb, na, nb = np.zeros_like(a), np.zeros_like(b), np.zeros(n_words), np.zeros(n_words)
+        loss = total = 0
+        for c, t, label, n in examples:
+            z = a[c] @ b[t]
+            g = rate * n * (label - 1 / (1 + math.exp(-z)))
+            ga[c] += g * b[t]
+            gb[t] += g * a[c]
+            na[c] += n
+            nb[t] += n
+            loss += n * math.log1p(math.exp(-z if label else z))
+            total += n
+        losses.append(loss / total)
+        a += ga / np.maximum(1, na / per_word)[:, None]
+        b += gb / np.maximum(1, nb / per_word)[:, None]
+    return a, losses
+
+
+def test_partitioned_steps_match_numpy(spark):
+    rng = random.Random(7)
+    ex = {(rng.randrange(8), rng.randrange(8), rng.randrange(2)): rng.choice([1, 2, 40]) for _ in range(60)}
+    ex = [(*k, n) for k, n in ex.items()]
+    vocab = spark.createDataFrame([(f"w{i}", i) for i in range(9)], "word string, idx long")  # one word has no examples
+    df = spark.createDataFrame(ex, "centre long, target long, label int, n long")
+    start = S.fit_partitioned(df.limit(0), vocab, 3, 4)
+    first = np.zeros((9, 3))
+    for r in start.centre.collect():
+        first[r["idx"]] = r["vec"]
+    assert start.losses == [] and len({tuple(v) for v in first}) == 9 and np.abs(first).max() <= 0.5 / 3
+    m = S.fit_partitioned(df, vocab, 3, 4, rate=0.7, per_word=5)
+    want, losses = numpy_sgns(ex, 9, 3, 4, 0.7, 5, first)
+    for r in m.embedding_table().collect():
+        assert np.allclose(r["vector"], want[int(r["word"][1:])], atol=1e-12)
+    assert np.allclose(m.losses, losses) and losses[-1] < losses[0]
+
+
+def test_partitioned_training_separates_topics(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.choice("abcd" if i % 2 else "wxyz") for _ in range(12)]) for i in range(150)]
+    df = spark.createDataFrame(rows, "sid long, tokens array<string>")
+    vocab = C.build_vocab(df, "tokens", 1)
+    pairs = C.context_pairs(C.encode_sentences(df, vocab, "tokens", "sid"), 3)
+    m = S.fit_partitioned(S.training_examples(pairs, C.noise_distribution(vocab), 3), vocab, 6, 10, rate=0.2, per_word=20)
+    assert all(x > y for x, y in zip(m.losses, m.losses[1:]))
+    v = {r["word"]: np.array(r["vector"]) / np.linalg.norm(r["vector"]) for r in m.embedding_table().collect()}
+    same = np.mean([v[a] @ v[b] for a in "abcd" for b in "abcd" if a != b])
+    other = np.mean([v[a] @ v[b] for a in "abcd" for b in "wxyz"])
+    assert same > other + 0.5
+
+
+def test_partitioned_model_is_not_collected():
+    import inspect
+    text = inspect.getsource(S)
+    assert not any(word in text for word in ("toPandas", "collect(", "broadcast("))

@@ -1,6 +1,7 @@
 """Scans, item CF, pairs and association rules on hand-made tables."""
 import itertools
 import math
+import random
 from collections import defaultdict
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tessera.functions.indexing import global_index
 from tessera.functions.scan import ordered_scan
-from tessera.operators import cf, rules
+from tessera.operators import cf, itemsets, rules
 from tessera.operators.pairs import group_pairs
 from tessera.operators.topn import tie_key, top_n
 
@@ -205,3 +206,50 @@ def test_item_cf_hot_user_split_into_blocks(spark):
     df = spark.createDataFrame(data, "user string, item string, rating double")
     got = {(a, b, round(s, 9)) for a, b, s in cf.item_cf(df, top=5, block_size=4).collect()}
     assert got == brute_item_cf(data, 5, 2, 3000)
+
+
+# --- itemsets level by level ---------------------------------------------------------------------------------------------
+
+def brute_itemsets(baskets, min_count, max_size):
+    out = {}
+    for size in range(1, max_size + 1):
+        counts = defaultdict(int)
+        for b in baskets:
+            for c in itertools.combinations(sorted({i for i in b if i is not None}), size):
+                counts[c] += 1
+        out.update({c: n for c, n in counts.items() if n >= min_count})
+    return out
+
+
+def some_baskets():
+    rng = random.Random(11)
+    rows = [(t, [rng.choice("abcdefghij") for _ in range(rng.randrange(0, 9))]) for t in range(120)]
+    # abx, abc, acx, bcx are frequent but no set of four; a hot basket; nulls and repeats
+    rows += [(200 + i, list(s)) for i, s in enumerate(["klm", "kln", "kmn", "lmn"] * 4)]
+    return rows + [(300, [f"h{i}" for i in range(60)] + ["a", "a", None]), (301, []), (302, None), (None, ["a", "b"])]
+
+
+@pytest.mark.parametrize("min_count, max_size, block", [(3, 4, 512), (10, 3, 4), (1, 2, 7), (1000, 3, 512)])
+def test_level_itemsets_match_brute_force(spark, min_count, max_size, block):
+    rows = some_baskets()
+    df = spark.createDataFrame(rows, "tid long, items array<string>")
+    got = {tuple(r["items"]): r["freq"] for r in itemsets.level_itemsets(df, "tid", "items", min_count, max_size, block).collect()}
+    assert got == brute_itemsets([b or [] for t, b in rows if t is not None], min_count, max_size)
+
+
+def test_candidates_without_a_subset_are_pruned(spark):
+    triples = ["abc", "abd", "acd", "bcd", "abe", "ace"]  # abcd has all its subsets, abce lacks bce, abde lacks ade and bde
+    df = spark.createDataFrame([(list(t[:2]), t[2], 5) for t in triples], "head array<string>, last string, freq long")
+    assert {("".join(r["head"]), r["last"]) for r in itemsets.candidates(df).collect()} == {("abc", "d")}
+
+
+def test_itemset_rules_match_fp_growth(spark):
+    rows = [(t, b) for t, b in some_baskets() if t is not None and b and None not in b]
+    df = spark.createDataFrame(rows, "tid long, items array<string>")
+    found = itemsets.level_itemsets(df, "tid", "items", 4, 4)
+    ours = {(tuple(r["antecedent"]), r["consequent"], round(r["confidence"], 9), round(r["lift"], 9), round(r["support"], 9))
+            for r in itemsets.itemset_rules(found, len(rows), 0.2).collect()}
+    theirs = {(tuple(sorted(r["antecedent"])), r["consequent"][0], round(r["confidence"], 9), round(r["lift"], 9), round(r["support"], 9))
+              for r in rules.association_rules(df, "items", 4, 0.2).collect() if len(r["antecedent"]) <= 3}
+    assert ours == theirs and any(len(r[0]) == 2 for r in ours)
+    assert itemsets.level_itemsets(df.limit(0), "tid").count() == 0
