@@ -517,7 +517,7 @@ def test_partitioned_training_separates_topics(spark):
     df = spark.createDataFrame(rows, "sid long, tokens array<string>")
     vocab = C.build_vocab(df, "tokens", 1)
     pairs = C.context_pairs(C.encode_sentences(df, vocab, "tokens", "sid"), 3)
-    m = S.fit_partitioned(S.training_examples(pairs, C.noise_distribution(vocab), 3), vocab, 6, 10, rate=0.2, per_word=20)
+    m = S.fit_partitioned(S.training_examples(pairs, C.noise_distribution(vocab), 3), vocab, 6, 8, rate=0.2, per_word=20)
     assert all(x > y for x, y in zip(m.losses, m.losses[1:]))
     v = {r["word"]: np.array(r["vector"]) / np.linalg.norm(r["vector"]) for r in m.embedding_table().collect()}
     same = np.mean([v[a] @ v[b] for a in "abcd" for b in "abcd" if a != b])
