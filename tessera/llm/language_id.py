@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
@@ -30,9 +29,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# \w has letters, decimal digits and the underscore, but also other numbers (superscripts, fractions, circled digits), which are no letters
-NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{re.escape(NUMBERS)}]+")
+# \w has letters, decimal digits and the underscore, but also other numbers (superscripts, fractions, circled digits), which are no
+# letters: the few words that hold one are cut there
+WORD = re.compile(r"[^\W\d_]+")
+
+
+def letters(word: str):
+    """Runs of letters in a word."""
+    return "".join(c if c.isalpha() else " " for c in word).split()
+
+
 CACHE = 400_000
 LONGEST = 40  # words beyond this many characters are scored as consecutive words of this length
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -40,10 +46,11 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 def words_of(text: str):
     for w in WORD.findall(text.lower()):
-        if len(w) <= LONGEST:
+        if len(w) <= LONGEST and w.isalpha():
             yield w
         else:
-            yield from (w[i:i + LONGEST] for i in range(0, len(w), LONGEST))
+            for run in letters(w):
+                yield from (run[i:i + LONGEST] for i in range(0, len(run), LONGEST))
 
 
 def load_pieces(path: str) -> list[str]:
@@ -52,7 +59,7 @@ def load_pieces(path: str) -> list[str]:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = dict.fromkeys(sp.id_to_piece(i).lower() for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_byte(i) or sp.is_unknown(i)))
-    return [p for p in pieces if WORD.fullmatch(p.removeprefix("▁"))]
+    return [p for p in pieces if p.removeprefix("▁").isalpha()]
 
 
 class Lattice:
