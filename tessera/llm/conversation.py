@@ -116,6 +116,11 @@ def _key(conv: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), conv.cast("string")), F.lit(""))
 
 
+def _conv(kind: str) -> Column:
+    """The conversation id of a key."""
+    return F.when(F.col("k") != "", F.expr("substring(k, 2)").cast(kind)).alias("conv_id")
+
+
 def damage(chats: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) after the damage that crc32 of ``conv_id:turn`` decides; nulls are one space."""
     spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -183,15 +188,15 @@ def _solve(piece: int):
 
 
 def _walk(batches):
-    """Repaired rows in order, (conv, place, turn, edit, role, text), and after each conversation (conv, its figures)."""
+    """Repaired rows in order, (key, place, turn, edit, role, text), and after each conversation (key, its figures)."""
     def legal(states):
         return min(states[s] for s in LEGAL_END if s in states)
 
     conv = None
 
     class State:
-        def __init__(self, k, cid):
-            self.k, self.cid, self.ways, self.next, self.at = k, cid, {START: (0, "")}, {}, None
+        def __init__(self, k):
+            self.k, self.ways, self.next, self.at = k, {START: (0, "")}, {}, None
             self.counts, self.audit, self.p, self.state, self.place = [0, 0, 0], None, 0, START, 0
             self.turns, self.low, self.high, self.last_turn, self.illegal, self.initial = 0, None, None, None, 0, None
 
@@ -224,7 +229,7 @@ def _walk(batches):
             if edit != "K":
                 role = "assistant" if after == ASSISTANT else "user"
             self.state, self.p, self.place = after, self.p + 1, self.place + 1
-            return self.cid, self.place, turn, edit, role, text
+            return self.k, self.place, turn, edit, role, text
 
         def row(self, turn, role, text):
             self.solved()
@@ -247,18 +252,16 @@ def _walk(batches):
             self.solved()
             yield from self.inserts()
             gaps = 0 if self.low is None else self.high - self.low + 1 - self.turns
-            yield self.cid, (gaps, *self.counts, self.illegal, self.cost, self.audit)
+            yield self.k, (gaps, *self.counts, self.illegal, self.cost, self.audit)
 
     for pdf in batches:
-        turns = pdf["turn"].astype("object").where(pdf["turn"].notna(), None)
-        cids = pdf["cid"].astype("object").where(pdf["cid"].notna(), None)
-        for k, cid, kind, part, no, entry, leave, cost, audit, nb, nd, nc, turn, role, text in zip(
-                pdf["k"], cids, pdf["kind"], pdf["part"], pdf["no"], pdf["entry"], pdf["leave"], pdf["cost"], pdf["audit"],
-                pdf["n_blank"], pdf["n_dup"], pdf["n_cut"], turns, pdf["role"], pdf["text"]):
+        for k, kind, part, no, entry, leave, cost, audit, nb, nd, nc, turn, role, text in zip(
+                pdf["k"], pdf["kind"], pdf["part"], pdf["no"], pdf["entry"], pdf["leave"], pdf["cost"], pdf["audit"],
+                pdf["n_blank"], pdf["n_dup"], pdf["n_cut"], pdf["turn"], pdf["role"], pdf["text"]):
             if conv is None or k != conv.k:
                 if conv is not None:
                     yield from conv.end()
-                conv = State(k, cid)
+                conv = State(k)
             if kind == 1:
                 conv.segment((part, no), entry, leave, int(cost), audit, (int(nb), int(nd), int(nc)))
             elif kind == 2:
@@ -268,17 +271,18 @@ def _walk(batches):
 
 
 def _ordered(rows: DataFrame, convs: DataFrame, piece: int, range_rows: int) -> DataFrame:
-    """Per conversation, in one partition: its id, its solved segments, then its rows in order."""
+    """Per conversation, in one partition: a mark, its solved segments, then its rows in order; turns as strings, which pandas
+    keeps exact beside nulls."""
     spark = rows.sparkSession
     parts = max(1, min(math.ceil(rows.count() / range_rows), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     order = ["k", "turn", "role", "h"]
     solved = (faults(rows).repartitionByRange(parts, *order).sortWithinPartitions(*order)
               .select("k", "role", "copies", "blank", "cut", "dup").mapInPandas(_solve(piece), SEGMENT))
-    ids = convs.select(F.col("conv_id").alias("cid")).distinct().select(_key(F.col("cid")).alias("k"), "cid", F.lit(0).alias("kind"))
+    ids = convs.select(_key(F.col("conv_id")).alias("k")).distinct().withColumn("kind", F.lit(0))
     texts = rows.select(_key(F.col("conv_id")).alias("k"), F.lit(2).alias("kind"), F.col("turn").cast("long").alias("turn"), "role", F.md5("text").alias("h"), "text")
     every = (ids.unionByName(solved.withColumn("kind", F.lit(1)), allowMissingColumns=True).unionByName(texts, allowMissingColumns=True)
              .fillna(0, ["part", "no", "entry", "leave", "cost", "n_blank", "n_dup", "n_cut"]))
-    return every.repartition("k").sortWithinPartitions("k", "kind", "part", "no", "turn", "role", "h").drop("h")
+    return every.repartition("k").sortWithinPartitions("k", "kind", "part", "no", "turn", "role", "h").drop("h").withColumn("turn", F.col("turn").cast("string"))
 
 
 REPORT = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
@@ -301,17 +305,18 @@ def repair_report(rows: DataFrame, convs: DataFrame | None = None, piece: int =
                 out.append((event[0], *event[1], sha.hexdigest()))
                 sha = hashlib.sha256()
                 if len(out) == 1_000:
-                    yield pd.DataFrame(out, columns=["conv_id", *REPORT, "audit", "repaired_sha256"])
+                    yield pd.DataFrame(out, columns=["k", *REPORT, "audit", "repaired_sha256"])
                     out = []
-        yield pd.DataFrame(out, columns=["conv_id", *REPORT, "audit", "repaired_sha256"])
+        yield pd.DataFrame(out, columns=["k", *REPORT, "audit", "repaired_sha256"])
 
-    schema = f"conv_id {dict(convs.dtypes)['conv_id']}, {', '.join(f'{c} long' for c in REPORT)}, audit string, repaired_sha256 string"
-    return _ordered(rows, convs, piece, range_rows).mapInPandas(run, schema)
+    schema = f"k string, {', '.join(f'{c} long' for c in REPORT)}, audit string, repaired_sha256 string"
+    out = _ordered(rows, convs, piece, range_rows).mapInPandas(run, schema)
+    return out.select(_conv(dict(convs.dtypes)["conv_id"]), *REPORT, "audit", "repaired_sha256")
 
 
 def repaired_rows(rows: DataFrame, piece: int = PIECE, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The repaired conversations: (conv_id, place, turn, edit, role, text); inserted rows have no turn."""
-    names = ["conv_id", "place", "turn", "edit", "role", "text"]
+    names = ["k", "place", "turn", "edit", "role", "text"]
 
     def frame(out):
         return pd.DataFrame(out, columns=names).astype({"turn": "Int64"})
@@ -327,7 +332,8 @@ def repaired_rows(rows: DataFrame, piece: int = PIECE, range_rows: int = RANGE_R
                     out, size = [], 0
         yield frame(out)
 
-    return _ordered(rows, rows, piece, range_rows).mapInPandas(run, f"conv_id {dict(rows.dtypes)['conv_id']}, place long, turn long, edit string, role string, text string")
+    out = _ordered(rows, rows, piece, range_rows).mapInPandas(run, "k string, place long, turn long, edit string, role string, text string")
+    return out.select(_conv(dict(rows.dtypes)["conv_id"]), *names[1:])
 
 
 def _step(way: str, cost: str, letter: str, line: str | None) -> str:

@@ -8,7 +8,7 @@ holds their line feeds and code points.  The place after k units is found by bin
 largest steps that stay below k line feeds lead to the block of the k-th one in log2(blocks) steps, and a search inside that block
 gives the boundary.  No list of lines is built, so memory is the text and two numbers a block.
 
-Every row is transformed by itself inside ``mapInPandas``: no shuffle, and a lost task is repeated with the same draws.
+Every row is transformed by itself in Arrow batches: no shuffle, and a lost task is repeated with the same draws.
 
 Defined cases: a null text is empty; an empty text, and one that contains a sentinel, is plain; a null id draws like the empty
 string; a text of one line may have an empty prefix, middle or suffix; rows that repeat an id get the same draws and, for
@@ -116,18 +116,14 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``rate`` and ``spm`` are percentages: documents that are transformed, and those of them with the suffix first.
     """
-    kind = dict(docs.dtypes)[id_col]
-
-    def run(batches):
-        for pdf in batches:
-            rows = [transform(key, text, rate, spm, block, seed) for key, text in zip(pdf["key"], pdf["text"])]
-            out = pd.DataFrame(rows, columns=["n", "form", "prefix_chars", "middle_chars", "output"])
-            out[["prefix_chars", "middle_chars"]] = out[["prefix_chars", "middle_chars"]].astype("Int64")
-            yield pd.concat([pdf[["id"]].reset_index(drop=True), out], axis=1)
-
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, f"id {kind}, {OUT}").withColumnRenamed("id", id_col)
+    def run(keys: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        rows = [transform(key, text, rate, spm, block, seed) for key, text in zip(keys, texts)]
+        out = pd.DataFrame(rows, columns=["n", "form", "prefix_chars", "middle_chars", "output"])
+        return out.astype({"prefix_chars": "Int64", "middle_chars": "Int64"})
+
+    udf = F.pandas_udf(run, OUT)
+    made = udf(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col), F.lit("")))
+    return docs.select(F.col(id_col), made.alias("r")).select(F.col(id_col), "r.*")
 
 
 def restored(forms: DataFrame, out: str = "restored") -> DataFrame:

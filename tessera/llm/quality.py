@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -145,7 +146,8 @@ class Network:
         return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(self.logits(x) / self.temperature).astype("float64")
+        """Probabilities to 9 decimals: a row's last bits depend on the batch in which its matrix product is made."""
+        return np.round(_sigmoid(self.logits(x) / self.temperature).astype("float64"), 9)
 
 
 def log_loss(logits: np.ndarray, y: np.ndarray) -> float:
@@ -238,15 +240,13 @@ class QualityModel:
         names = [f"k{i}" for i in range(len(keep))]  # whatever the columns are called
         vectors, size, net = self.vectors, self.buckets, self.net
 
-        def run(batches):
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             cut = Buckets(size)
-            for pdf in batches:
-                x = pooled([cut(t) for t in pdf["text"]], vectors.value)
-                yield pdf[names].assign(p=net.scores(x))
+            for texts in batches:
+                yield pd.Series(net.scores(pooled([cut(t) for t in texts], vectors.value)))
 
-        kinds = dict(docs.dtypes)
-        rows = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names)], F.col(self.text_col).alias("text"))
-        out = rows.mapInPandas(run, ", ".join(f"{n} {kinds[k]}" for k, n in zip(keep, names)) + ", p double")
+        udf = F.pandas_udf(run, "double")
+        out = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names)], udf(F.col(self.text_col)).alias("p"))
         return out.select(*[F.col(n).alias(k) for n, k in zip(names, keep)], F.col("p").alias("score"))
 
 

@@ -131,6 +131,7 @@ def test_search_stays_small_on_long_pieces():
 def test_report_matches_brute_force(spark, piece, range_rows):
     rng = random.Random(4)
     rows = [r for conv in range(60) for r in some_rows(rng, conv, rng.choice([1, 2, 3, 5, 8]))]
+    rows += [((1 << 62) + 1, (1 << 60) + 1 + 2 * t, r, "Big ids.") for t, r in enumerate(["user", "assistant"])]
     rows += some_rows(rng, None, 6) + some_rows(rng, 1000, 250) + [(2000, 5, "user", "Same.")] * 90 + [(3000, None, None, None)] * 3
     rows += [(c, t, "user", "x.") for c in range(5000, 5200) for t in (0,) if zlib.crc32(f"{c}:0".encode()) % 20 == 0]  # nothing is left
     chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")

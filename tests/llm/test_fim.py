@@ -65,7 +65,7 @@ def test_broken_output_is_an_error():
 
 
 def test_frame_nulls_repeats_clashing_columns_and_empty(spark):
-    rows = list(enumerate(texts())) + [(None, "a\nb\n"), (3, "a"), (900, None)]
+    rows = list(enumerate(texts())) + [((1 << 62) + 1, "a\nb"), (None, "a\nb\n"), (3, "a"), (900, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for name in ("id", "key", "n", "form", "output", "restored", "prefix_chars"):
         docs = docs.withColumn(name, F.lit(1))

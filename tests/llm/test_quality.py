@@ -98,7 +98,7 @@ def test_held_out_quality(spark):
 
 def test_edges(spark):
     rng = random.Random(6)
-    rows = [(None, "no id"), (1, None), (2, ""), (3, " \n"), (4, "x" * 70_000), (5, "y " * 30_000), (6, "same words"), (6, "same words"), (6, "other")]
+    rows = [(None, "no id"), ((1 << 62) + 1, "big id"), (1, None), (2, ""), (3, " \n"), (4, "x" * 70_000), (5, "y " * 30_000), (6, "same words"), (6, "same words"), (6, "other")]
     rows += [(i, some_text(rng, 20) if i % 2 else "@@ ## " * 10) for i in range(10, 90)]
     docs = spark.createDataFrame(rows, SCHEMA)
     labels = spark.createDataFrame([(i, i % 2) for i in range(10, 90)] + [(None, 1), (6, 1), (6, 0), (7, 1), (1, None)], "doc_id long, quality int")
@@ -110,6 +110,7 @@ def test_edges(spark):
     by = {}
     for r in out:
         by.setdefault(r["doc_id"], []).append(r["score"])
+    assert set(by) == {i for i, _ in rows}
     assert by[1] == by[2] == by[3] and len(by[6]) == 3 and len(set(by[6])) == 2
     assert np.mean([by[i][0] for i in range(11, 90, 2)]) > 0.8 > 0.2 > np.mean([by[i][0] for i in range(10, 90, 2)])
     assert [r["score"] for r in op13.QualityModel(docs, labels, buckets=64, dim=8, ones=2, sample=3).score(docs).collect()]
