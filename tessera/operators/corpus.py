@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.indexing import global_index
-from tessera.functions.scan import ordered_scan
+from tessera.functions.scan import ordered_scan, written
 from tessera.functions.stable import stable_u01
 
 
@@ -39,7 +39,7 @@ def encode_long(tokens: DataFrame, vocab: DataFrame, sid: str = "sid", order=("o
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     e = tokens.select(F.col(sid).alias("sid"), *order, F.col(word).cast("string").alias("word"))
     k = e.join(vocab.select("word", "idx"), "word")
-    r = ordered_scan(k, ["sid"], [o.asc() for o in order], pos="pos")
+    r = ordered_scan(written(k), ["sid"], [o.asc() for o in order], pos="pos")
     return r.select("sid", F.floor((F.col("pos") - 1) / max_len).cast("long").alias("chunk"),
                     "pos", "word", "idx")
 

@@ -27,7 +27,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.scan import ordered_scan
+from tessera.functions.scan import ordered_scan, written
 from tessera.operators.topn import tie_key
 
 
@@ -37,7 +37,7 @@ def rec_lists(i2i: DataFrame) -> DataFrame:
 
     A skew-safe scan: with rank ties an item's list is not bounded by N.
     """
-    r = ordered_scan(i2i.select("item1", "item2", "score"), ["item1"],
+    r = ordered_scan(written(i2i.select("item1", "item2", "score")), ["item1"],
                      [tie_key("score").desc(), F.col("item2").asc()], pos="pos")
     return r.select("item1", "item2", "pos")
 
@@ -45,12 +45,12 @@ def rec_lists(i2i: DataFrame) -> DataFrame:
 def next_item_truth(behaviour: DataFrame) -> DataFrame:
     """(user, item, timestamp, truth, truth_relevance) -- the next event's item.
 
-    Events get their position in the user's time order (ties by item) from a
-    range-partitioned scan, and event ``p`` is joined with event ``p + 1`` on
+    Events get their position in the user's time order (ties by item) from an
+    ordered scan, and event ``p`` is joined with event ``p + 1`` on
     (user, position): a user with a large share of all events is not one
     task's window.
     """
-    pos = ordered_scan(behaviour.select("user", "item", "relevance", "timestamp"),
+    pos = ordered_scan(written(behaviour.select("user", "item", "relevance", "timestamp")),
                        ["user"], [F.col("timestamp").asc(), F.col("item").asc()], pos="__pos")
     nxt = pos.select("user", (F.col("__pos") - 1).alias("__pos"), F.col("item").alias("truth"),
                      F.col("relevance").alias("truth_relevance"))
