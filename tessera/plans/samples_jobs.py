@@ -153,18 +153,15 @@ def q_expand(spark, sf_dir):
     return e.select("pv_id", F.col("c.ln").alias("l_linenumber"), F.col("c.item_id").alias("item_id"))
 
 
-@query("embedding_sizes", """
-SELECT 'l_partkey' AS "column", count(DISTINCT l_partkey) AS cardinality FROM lineitem
-UNION ALL SELECT 'l_suppkey', count(DISTINCT l_suppkey) FROM lineitem
-UNION ALL SELECT 'l_returnflag', count(DISTINCT l_returnflag) FROM lineitem
-UNION ALL SELECT 'l_orderkey', count(DISTINCT l_orderkey) FROM lineitem""".replace(
-    "SELECT 'l_partkey' AS \"column\", count(DISTINCT l_partkey) AS cardinality FROM lineitem",
-    "SELECT 'l_partkey' AS \"column\", count(DISTINCT l_partkey) AS cardinality FROM lineitem"))
+_SIZED = ("l_partkey", "l_suppkey", "l_returnflag", "l_orderkey")
+
+
+@query("embedding_sizes", """WITH c AS (
+""" + "\nUNION ALL ".join(f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS cardinality FROM lineitem""" for c in _SIZED) + """)
+SELECT "column", cardinality, cast(pow(2.0, ceil(log2(pow(cardinality, 0.25)))) AS bigint) AS embedding_size FROM c""")
 def q_embedding_sizes(spark, sf_dir):
-    """Cardinalities of categorical columns (sizes derived in a test)."""
-    e = I.embedding_sizes(S.table(spark, sf_dir, "lineitem"),
-                          ["l_partkey", "l_suppkey", "l_returnflag", "l_orderkey"])
-    return e.select("column", "cardinality")
+    """Cardinalities and embedding sizes of categorical columns."""
+    return I.embedding_sizes(S.table(spark, sf_dir, "lineitem"), list(_SIZED))
 
 
 _EMB_SQL = """ue AS (

@@ -11,7 +11,7 @@ from tessera.plans import standins as S
 from tessera.plans.catalog import query
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources import (NEIGHBOR_SCHEMA, feature_index, load_embeddings, read_ratings, read_samples, read_sequences,
-                             save_embeddings, vectorize_bag, write_neighbors, write_samples)
+                             save_embeddings, save_table, vectorize_bag, write_neighbors, write_samples)
 from tessera.sources.io import feature_key
 
 
@@ -79,6 +79,17 @@ def q_write_neighbors(spark, sf_dir):
     return spark.read.schema(NEIGHBOR_SCHEMA).parquet(path)
 
 
+@query("save_table", """SELECT l_orderkey AS "itemId", l_partkey AS "candidateId", l_extendedprice AS distance FROM lineitem""")
+def q_save_table(spark, sf_dir):
+    """A table saved twice (the second time over the first) under a scratch name and folder, and read by its name."""
+    name, path = f"tessera_saved_{uuid4().hex}", _folder(spark, "table")
+    rows = _lines(spark, sf_dir).select(F.col("l_orderkey").alias("itemId"), F.col("l_partkey").alias("candidateId"),
+                                        F.col("l_extendedprice").alias("distance"))
+    save_table(rows.limit(0), name, path)
+    save_table(rows, name, path)
+    return spark.table(name)
+
+
 @query("write_read_samples", """SELECT l_orderkey AS "itemId", l_partkey AS "candidateId", cast(l_quantity AS double) AS distance FROM lineitem""")
 def q_samples(spark, sf_dir):
     """Samples written under a schema (cast to it) and read back."""

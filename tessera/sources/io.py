@@ -123,9 +123,10 @@ def write_neighbors(df: DataFrame, path: str, n_files: int = 100, fmt: str = "pa
     out.repartition(n_files).write.mode("overwrite").format(fmt).save(path)
 
 
-def save_table(df: DataFrame, name: str) -> None:
-    """Overwrite a managed table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Overwrite a managed table, or with ``path`` an external one whose files are there."""
+    w = df.write.mode("overwrite")
+    (w.option("path", path) if path else w).saveAsTable(name)
 
 
 def write_samples(df: DataFrame, schema: T.StructType, path: str,
