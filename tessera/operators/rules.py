@@ -14,16 +14,19 @@ kept).  Lifts are ranked on 34 significant bits (``topn.tie_key``).
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.pairs import group_pairs
+from tessera.operators.pairs import placed_pairs
 from tessera.operators.topn import tie_key, top_n
 from tessera.session import ensure_checkpoint_dir
 
-
+TREE_ITEMS = 150_000  # items of prefixes in the trees of one task: some 2.5 KB each
+MAX_TREE_TASKS = 3000
 
 def min_support(count: int, n: int) -> float:
     """Support fraction for an absolute count.
@@ -39,12 +42,19 @@ def min_support(count: int, n: int) -> float:
 
 def _fpgrowth(df: DataFrame, items: str, min_count: int, min_confidence: float,
               partitions: int | None):
-    n = df.count()  # one scalar: the transaction count FP-growth needs anyway
+    size = F.coalesce(F.size(items), F.lit(0)).cast("double")
+    # two scalars: the transaction count FP-growth needs anyway, and the length of all prefixes its trees are built from
+    n, length = df.agg(F.count(F.lit(1)), F.sum(size * (size + 1) / 2)).first()
     fp = FPGrowth(minSupport=max(min_support(min_count, n), 0.0),
                   minConfidence=min_confidence, itemsCol=items)
+    transactions = df.select(F.array_distinct(F.col(items)).alias(items))
+    if not partitions:  # a task holds the trees of its transactions, then those of its share of the items
+        partitions = min(MAX_TREE_TASKS, math.ceil((length or 0) / TREE_ITEMS))
+        if partitions > 1:
+            transactions = transactions.repartition(partitions, F.xxhash64(items))
     if partitions:
         fp = fp.setNumPartitions(partitions)
-    return fp.fit(df.select(F.array_distinct(F.col(items)).alias(items)))
+    return fp.fit(transactions)
 
 
 def frequent_itemsets(df: DataFrame, items: str = "items", min_count: int = 3,
@@ -104,8 +114,8 @@ def pair_rules(df: DataFrame, items: str = "items", min_count: int = 3,
     ef = e.join(frequent.select("item"), "item", "left_semi")
     sizes = ef.groupBy("tid").agg(F.count(F.lit(1)).alias("n_in_tid"))
     ef = ef.join(sizes, "tid")
-    pairs = group_pairs(ef, ["tid"], "item", "n_in_tid", (), block_size)
-    support = (pairs.groupBy("item_lo", "item_hi").agg(F.count(F.lit(1)).alias("n_ab"))
+    pairs = placed_pairs(ef, ["tid"], "item", "n_in_tid", (), block_size)
+    support = (pairs.groupBy("item_lo", "part", "item_hi").agg(F.count(F.lit(1)).alias("n_ab")).drop("part")
                .filter(F.col("n_ab") >= min_count))
     both = support.select(F.explode(F.array(
         F.struct(F.col("item_lo").alias("antecedent"), F.col("item_hi").alias("consequent")),

@@ -95,3 +95,29 @@ def test_pairs_are_counted_where_they_are_made(spark):
     assert {(r.item_lo, r.item_hi): r.n_common for r in totals.collect()} == {(a, b): 5 for b in range(6) for a in range(b)}
     plan = totals._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     assert plan.index("Generate") < plan.index("Exchange")  # no shuffle of pairs
+
+
+def test_fp_growth_trees_are_split_by_their_size(spark, monkeypatch):
+    from tessera.operators import rules
+    df = spark.createDataFrame([(t, [str(i) for i in range(8) if (t >> i) & 1]) for t in range(64)], "tid long, items array<string>").coalesce(1)
+    monkeypatch.setattr(rules, "TREE_ITEMS", 20, raising=False)
+    sets = rules.frequent_itemsets(df, "items", min_count=3)
+    assert sets.rdd.getNumPartitions() > 10
+    got = {tuple(sorted(r["items"])): r["freq"] for r in sets.collect()}
+    want = {(): 0}
+    for s in range(1, 64):
+        n = sum(s & t == s for t in range(64))
+        if n >= 3:
+            want[tuple(str(i) for i in range(8) if (s >> i) & 1)] = n
+    want.pop(())
+    assert got == want
+
+
+def test_pair_rules_count_pairs_where_they_are_made(spark):
+    from tessera.operators import rules
+    df = spark.createDataFrame([(t, ["a", "b"] if t % 2 else ["b", "c", "d"]) for t in range(12)], "tid long, items array<string>")
+    out = rules.pair_rules(df, "items", 3, 0.1, 10, tid="tid")
+    assert {(r.antecedent, r.consequent): round(r.lift, 6) for r in out.collect()} == {
+        ("a", "b"): 1.0, ("b", "a"): 1.0, ("b", "c"): 1.0, ("c", "b"): 1.0, ("b", "d"): 1.0, ("d", "b"): 1.0, ("c", "d"): 2.0, ("d", "c"): 2.0}
+    plan = out._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "REPARTITION_BY_NUM" in plan  # as many tasks as the pairs ask for
