@@ -262,10 +262,12 @@ def alpha_dcg(items: DataFrame, cells: DataFrame, n: int | None = None, alpha: f
               discount: Callable[[Column], Column] = default_discount,
               method: str = "auto") -> DataFrame:
     """Alpha-DCG; gain = sum_t label * (1 - alpha)^(earlier coverage of t)."""
-    r = rank_lists(items, method=method, n=n).select("list_id", "item_id", "pos", "weight")
+    # no scan has more rows of a list than cells has: its lists are counted once, before any join
+    hot = _hot_lists(cells, None, method)
+    r = rank_lists(items, method=method, n=n, **(hot if n is None else {})).select("list_id", "item_id", "pos", "weight")
     c = cells.join(r, ["list_id", "item_id"])
     cov = ordered_scan(c, ["list_id", "subtopic"], [F.col("pos").asc()], ["label"],
-                       pos="__spos", method=method)
+                       pos="__spos", method=method, **hot)
     earlier = F.col("cum_label") - F.col("label")
     cell_gain = F.col("label") * F.pow(F.lit(1.0 - alpha), earlier)
     per_item = cov.groupBy("list_id", "item_id", "pos", "weight").agg(F.sum(cell_gain).alias("__g"))

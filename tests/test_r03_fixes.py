@@ -147,3 +147,22 @@ def test_lsh_self_join_moves_an_item_once_for_every_new_pair_of_blocks(spark, mo
         # 8 rows of seven ids: they meet in the first band, or with the other four in one more
         assert len(copies) <= 1 and all(r["sb"] == r["pb"] == 0 for r in got)
     assert all(len(r["items"]) <= 2 * 8 for r in got)
+
+
+@pytest.mark.parametrize("hot_rows", [200_000, 3])
+def test_alpha_dcg_counts_its_lists_once_from_the_cells(spark, monkeypatch, hot_rows):
+    from tessera.functions import scan
+    from tessera.operators import ranking as R
+    rows = [(q, i, t, float((q + i + t) % 3), float(i * 7 % 5)) for q in (0, 1, None) for i in range(6) for t in range(2) if i < 3 or q != 1]
+    df = spark.createDataFrame(rows, "list_id long, item_id long, subtopic long, label double, score double")
+    items, cells = R.prepare_diversity(df, weight=None)
+    values = lambda d: sorted((str(r["list_id"]), round(r["alpha_dcg"], 9), round(r["weight"], 9)) for r in d.collect())
+    want, counted, find = values(R.alpha_dcg(items, cells, method="window")), [], scan.hot_groups
+
+    def count(df, keys, *a):
+        counted.append(list(keys))
+        return find(df, keys, hot_rows)
+
+    monkeypatch.setattr(R, "hot_groups", count)
+    monkeypatch.setattr(scan, "hot_groups", count)
+    assert values(R.alpha_dcg(items, cells)) == want and counted == [["list_id"]]
