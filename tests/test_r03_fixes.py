@@ -166,3 +166,16 @@ def test_alpha_dcg_counts_its_lists_once_from_the_cells(spark, monkeypatch, hot_
     monkeypatch.setattr(R, "hot_groups", count)
     monkeypatch.setattr(scan, "hot_groups", count)
     assert values(R.alpha_dcg(items, cells)) == want and counted == [["list_id"]]
+
+
+def test_subsample_draws_once_for_every_word(spark, monkeypatch):
+    from tessera.operators import corpus as C
+    df = spark.createDataFrame([(s, [f"w{(s * i) % 7}" for i in range(40)]) for s in range(1, 9)], "sid long, tokens array<string>")
+    vocab = C.build_vocab(df, "tokens", 1)
+    encoded = C.encode_sentences(df, vocab)
+    want = sorted(map(tuple, C.subsample(encoded, vocab, 0.05).collect()))
+    tables, write = [], C.written
+    monkeypatch.setattr(C, "written", lambda d: tables.append(write(d)) or tables[-1])
+    got = C.subsample(encoded, vocab, 0.05)
+    assert sorted(map(tuple, got.collect())) == want and 0 < len(want) < 320
+    assert len(tables) == 1 and tables[0].count() == len(want)
