@@ -78,6 +78,11 @@ def _sig(x):
     return 1.0 / (1.0 + np.exp(-x))
 
 
+def _add_rows(m: np.ndarray, rows: np.ndarray, v: np.ndarray) -> None:
+    """``np.add.at(m, rows, v)`` of a contiguous matrix by flat positions: the same sums in the same order, on numpy's fast path."""
+    np.add.at(m.reshape(-1), (rows[:, None] * m.shape[1] + np.arange(m.shape[1])).ravel(), v.ravel())
+
+
 def _train_partition(params: dict, bc_model, bc_tables, iteration: int):
     dim, window, neg = params["dim"], params["window"], params["negative"]
     hs, cbow, sample = params["hs"], params["cbow"], params["sample"]
@@ -137,7 +142,7 @@ def _train_partition(params: dict, bc_model, bc_tables, iteration: int):
                         touched1[touched[0]] = True
                         touchedn[touched[1]] = True
                         rows = np.where(valid, cm, 0)[valid]
-                        np.add.at(syn0, rows, np.repeat(grad, valid.sum(1), axis=0))
+                        _add_rows(syn0, rows, np.repeat(grad, valid.sum(1), axis=0))
                         touched0[rows] = True
                 else:
                     cs, xs = [], []
@@ -158,7 +163,7 @@ def _train_partition(params: dict, bc_model, bc_tables, iteration: int):
                         npairs += len(ce)
                         touched1[touched[0]] = True
                         touchedn[touched[1]] = True
-                        np.add.at(syn0, cx, grad)
+                        _add_rows(syn0, cx, grad)
                         touched0[cx] = True
         out = []
         for mid, mat, t in ((0, syn0, touched0), (1, syn1, touched1), (2, syn1neg, touchedn)):
@@ -184,7 +189,7 @@ def _output_step(h, centre, syn1, syn1neg, code_m, point_m, hs, neg, cum, rng, a
         upd = valid & (f > -MAX_EXP) & (f < MAX_EXP)
         g = np.where(upd, (1 - code - _sig(f)) * alpha, 0.0)
         grad += np.einsum("bl,bld->bd", g, syn1[point])
-        np.add.at(syn1, point[upd], (g[..., None] * h[:, None, :])[upd])
+        _add_rows(syn1, point[upd], (g[..., None] * h[:, None, :])[upd])
         t1 = point[upd]
         p = np.clip(_sig(f), 1e-12, 1 - 1e-12)
         loss += -np.where(valid, np.where(code == 0, np.log(p), np.log(1 - p)), 0.0).sum()
@@ -200,7 +205,7 @@ def _output_step(h, centre, syn1, syn1neg, code_m, point_m, hs, neg, cum, rng, a
         s = np.where(f > MAX_EXP, 1.0, np.where(f < -MAX_EXP, 0.0, _sig(f)))
         g = np.where(keep, (label - s) * alpha, 0.0)
         grad += np.einsum("bk,bkd->bd", g, syn1neg[tgt])
-        np.add.at(syn1neg, tgt[keep], (g[..., None] * h[:, None, :])[keep])
+        _add_rows(syn1neg, tgt[keep], (g[..., None] * h[:, None, :])[keep])
         tn = tgt[keep]
         p = np.clip(_sig(f), 1e-12, 1 - 1e-12)
         loss += -np.where(keep, np.where(label == 1, np.log(p), np.log(1 - p)), 0.0).sum()

@@ -179,3 +179,14 @@ def test_subsample_draws_once_for_every_word(spark, monkeypatch):
     got = C.subsample(encoded, vocab, 0.05)
     assert sorted(map(tuple, got.collect())) == want and 0 < len(want) < 320
     assert len(tables) == 1 and tables[0].count() == len(want)
+
+
+def test_gradients_are_added_by_flat_positions_in_the_same_order():
+    from tessera.operators import embed as E
+    rng = np.random.default_rng(4)
+    for n, dim in ((0, 3), (500, 16), (7, 1)):
+        m = rng.normal(size=(9, dim))
+        rows, v, want = rng.integers(0, 9, n), rng.normal(size=(n, dim)), m.copy()
+        np.add.at(want, rows, v)
+        E._add_rows(m, rows, v)
+        assert (m == want).all()
