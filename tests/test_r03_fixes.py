@@ -153,7 +153,7 @@ def test_lsh_self_join_moves_an_item_once_for_every_new_pair_of_blocks(spark, mo
 def test_alpha_dcg_counts_its_lists_once_from_the_cells(spark, monkeypatch, hot_rows):
     from tessera.functions import scan
     from tessera.operators import ranking as R
-    rows = [(q, i, t, float((q + i + t) % 3), float(i * 7 % 5)) for q in (0, 1, None) for i in range(6) for t in range(2) if i < 3 or q != 1]
+    rows = [(q, i, t, float(((q or 0) + i + t) % 3), float(i * 7 % 5)) for q in (0, 1, None) for i in range(6) for t in range(2) if i < 3 or q != 1]
     df = spark.createDataFrame(rows, "list_id long, item_id long, subtopic long, label double, score double")
     items, cells = R.prepare_diversity(df, weight=None)
     values = lambda d: sorted((str(r["list_id"]), round(r["alpha_dcg"], 9), round(r["weight"], 9)) for r in d.collect())
