@@ -7,7 +7,7 @@ aggregate and a long list is spread over tasks by ``ordered_scan``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scan import ordered_scan, written
@@ -69,7 +69,7 @@ def pad_circular(df: DataFrame, size: int, valid: str = "valid",
 
 
 def de_noise(counts: DataFrame, noise: DataFrame | None, ratio: float = 0.9,
-             method: str = "auto") -> DataFrame:
+             method: str = "auto", hot: DataFrame | None | str = "find") -> DataFrame:
     """H5: exact ML estimate of the true distribution behind noisy counts.
 
     ``counts(list_id, key, count >= 0)`` and ``noise(list_id, key, noise > 0)``
@@ -82,6 +82,9 @@ def de_noise(counts: DataFrame, noise: DataFrame | None, ratio: float = 0.9,
     ``count / lambda - noise / odds`` on kept keys and 0 elsewhere; each list
     sums to 1.  Every (list, key) of ``counts`` is in the result: a list whose
     counts are all zero has value 0 everywhere, a key without noise is an error.
+
+    ``hot``: lists that the scan must split, as in ``ordered_scan``.  When the caller knows that there are none, totals, scan and
+    lambda are windows over the same lists: the rows move once, and none is written.
     """
     if not 0 < ratio < 1:
         raise ValueError(f"ratio should be in (0, 1), got {ratio}")
@@ -90,19 +93,25 @@ def de_noise(counts: DataFrame, noise: DataFrame | None, ratio: float = 0.9,
     # checked lazily inside the plan: a violating row fails the job
     ok = F.assert_true((F.col("count") >= 0) & F.coalesce(F.col("noise") > 0, F.lit(False)), "counts must be >= 0 and noise > 0")
     j = j.filter(F.coalesce(ok.cast("boolean"), F.lit(True)))
-    tot = j.groupBy("list_id").agg(F.sum("noise").alias("__ns"))
-    x = (j.join(tot, "list_id")
-         .select("list_id", "key", F.col("count").cast("double").alias("c"),
-                 (F.col("noise") / F.col("__ns")).alias("n")))
-    s = ordered_scan(written(x), ["list_id"], [(F.col("c") / F.col("n")).desc(), F.col("key").asc()], ["n", "c"],
-                     method=method)
+    order = [(F.col("c") / F.col("n")).desc(), F.col("key").asc()]
     # (odds + cum_n) / cum_c > n / c, cross-multiplied (both denominators > 0
     # when c > 0; a zero count is never kept)
     keep = (F.col("c") > 0) & ((F.lit(odds) + F.col("cum_n")) * F.col("c") > F.col("n") * F.col("cum_c"))
-    s = s.withColumn("is_pos", keep)
-    lam = s.groupBy("list_id").agg(
-        (F.sum(F.when(F.col("is_pos"), F.col("c")).otherwise(0.0))
-         / (1.0 + F.sum(F.when(F.col("is_pos"), F.col("n")).otherwise(0.0)) / odds)).alias("__lam"))
-    out = s.join(lam, "list_id")
+    lam = (F.sum(F.when(F.col("is_pos"), F.col("c")).otherwise(0.0)), F.sum(F.when(F.col("is_pos"), F.col("n")).otherwise(0.0)))
     val = F.when(F.col("is_pos"), F.col("c") / F.col("__lam") - F.col("n") / odds).otherwise(0.0)
+    if hot is None and method == "auto":
+        # a list's total joins nothing: rows without a list are dropped here, by a filter that stays above the aggregate of
+        # counts (they are >= 0), so that other readers of its input can share the exchange
+        whole = Window.partitionBy("list_id")
+        x = j.filter(F.col("list_id").isNotNull() | (F.col("count") < 0)).select(
+            "list_id", "key", F.col("count").cast("double").alias("c"), (F.col("noise") / F.sum("noise").over(whole)).alias("n"))
+        s = ordered_scan(x, ["list_id"], order, ["n", "c"], method="window").withColumn("is_pos", keep)
+        s = s.withColumn("__lam", lam[0].over(whole) / (1.0 + lam[1].over(whole) / odds))
+        return s.select("list_id", "key", val.alias("value"))
+    tot = j.groupBy("list_id").agg(F.sum("noise").alias("__ns"))
+    x = (j.join(tot, "list_id")
+         .select("list_id", "key", F.col("count").cast("double").alias("c"),
+                 (F.col("noise") / F.col("__ns")).alias("n")))
+    s = ordered_scan(written(x), ["list_id"], order, ["n", "c"], method=method, hot=hot).withColumn("is_pos", keep)
+    out = s.join(s.groupBy("list_id").agg((lam[0] / (1.0 + lam[1] / odds)).alias("__lam")), "list_id")
     return out.select("list_id", "key", val.alias("value"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.scan import hot_sums
 from tessera.functions.stable import sql_stable_u01
 from tessera.operators import lists as L
 from tessera.plans import sqlparts as Q
@@ -100,13 +101,19 @@ SELECT list_id AS doc_id, key AS word,
 FROM k JOIN lam USING (list_id)""")
 def q_de_noise(spark, sf_dir):
     """H5: de-noised word distribution per document against its language's counts."""
+    # a document has at most one word for every two characters: lists that may be too long for one task, without tokenising
+    chars = S.table(spark, sf_dir, "documents").select("doc_id", F.ceil((F.length(F.lower("text")) + 1) / 2).alias("n"))
+    hot = hot_sums(chars, ["doc_id"], "n")
     # tokenised once: both counts read the same exchange
     dw = (S.document_words(spark, sf_dir).repartition("doc_id")
           .select("doc_id", "lang", F.explode("words").alias("word")))
     counts = dw.groupBy(F.col("doc_id").alias("list_id"), F.col("word").alias("key")).agg(
         F.count(F.lit(1)).alias("count"), F.first("lang").alias("lang"))
     per_lang = dw.groupBy("lang", F.col("word").alias("key")).agg(F.count(F.lit(1)).alias("nz"))
-    both = counts.join(per_lang, ["lang", "key"]).select("list_id", "key", "count", F.col("nz").alias("noise"))
-    out = L.de_noise(both, None, ratio=0.9)
+    # null-safe, without null languages: an equality would filter one side before that exchange and make it another
+    same = counts["lang"].eqNullSafe(per_lang["lang"]) & (counts["key"] == per_lang["key"])
+    both = counts.filter(F.col("lang").isNotNull()).join(per_lang, same).select(
+        "list_id", counts["key"], "count", F.col("nz").alias("noise"))
+    out = L.de_noise(both, None, ratio=0.9, hot=None if hot is None else "find")
     return out.select(F.col("list_id").alias("doc_id"), F.col("key").alias("word"),
                       F.round("value", 6).alias("value"))

@@ -190,3 +190,28 @@ def test_gradients_are_added_by_flat_positions_in_the_same_order():
         np.add.at(want, rows, v)
         E._add_rows(m, rows, v)
         assert (m == want).all()
+
+
+def test_de_noise_of_lists_without_a_hot_one_writes_nothing(spark, tmp_path, monkeypatch):
+    from tessera.operators import lists as L
+    from tessera.plans import lists_jobs
+    texts = [(1, "a b a c", "en"), (2, "b b c", "en"), (3, "a d", "de"), (3, "d e e", "de"), (4, "a b", None), (None, "a a", "en"), (5, "", "en"), (6, None, "de")]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    written, write = [], L.written
+    monkeypatch.setattr(L, "written", lambda d: written.append(1) or write(d))
+    run = lambda: sorted(tuple(r) for r in lists_jobs.q_de_noise(spark, str(tmp_path)).collect())
+    got = run()
+    assert not written and {r[:2] for r in got} == {(1, "a"), (1, "b"), (1, "c"), (2, "b"), (2, "c"), (3, "a"), (3, "d"), (3, "e")}
+    assert all(sum(r[2] for r in got if r[0] == d) == pytest.approx(1.0, abs=1e-5) for d in (1, 2, 3))
+    monkeypatch.setattr(lists_jobs, "hot_sums", lambda *a: spark.createDataFrame([(1,)], "__h0 long"))
+    assert run() == [(d, w, pytest.approx(x, abs=2e-6)) for d, w, x in got] and written
+
+
+def test_de_noise_query_splits_words_once(spark, tmp_path):
+    from tessera.plans import lists_jobs
+    spark.createDataFrame([(i, "a b c d e" * (i % 3), "en") for i in range(20)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "ReusedExchange" in lists_jobs.q_de_noise(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
