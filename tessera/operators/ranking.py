@@ -171,6 +171,17 @@ def dcg(prepared: DataFrame, n: int | None = None,
                     .otherwise(0.0).alias("dcg"), "weight")
 
 
+def _opa_scan(p: DataFrame, method: str, hot: dict, keep=()) -> DataFrame:
+    """Items once per bit of their list's ranks, with the points below each in its dyadic node (``cum___point``)."""
+    levels = p.select("list_id", "item_id", "score", "weight", *keep, "__r", F.explode(F.expr("sequence(0, __bits - 1)")).alias("__b"))
+    bit = F.expr("shiftright(__r, __b) & 1")
+    nodes = levels.select("list_id", "__b", F.expr("shiftright(__r, __b + 1)").alias("__node"), "score", "item_id", "weight", *keep,
+                          (1 - bit).cast("double").alias("__point"))
+    # at equal score questions come before points: only strictly lower scores count
+    return ordered_scan(nodes, ["list_id", "__b", "__node"], [F.col("score").asc(), F.col("__point").asc(), F.col("item_id").asc()],
+                        ["__point"], method=method, **hot)
+
+
 def opa(prepared: DataFrame, method: str = "auto") -> DataFrame:
     """Ordered pair accuracy.
 
@@ -185,27 +196,34 @@ def opa(prepared: DataFrame, method: str = "auto") -> DataFrame:
     bit b is 0, as a question when it is 1.  One ordered scan by score inside (list, level, node) counts the
     points below every question.  An item has one row per bit of the list's
     highest rank: n log2(grades) rows, never items x grades and never pairs.
+
+    Without lists that scans must split, ranks of labels and the lists' totals are windows over the items, which are read once.
+    With them they come from the grades' counts, joined to the items, and from an aggregate of its own.
     """
     v = prepared.filter("valid").select("list_id", "item_id", "label", "score", "weight")
-    per_grade = v.groupBy("list_id", "label").agg(F.count(F.lit(1)).alias("__cnt"))
     hot = _hot_lists(v, None, method)
-    ranked = ordered_scan(per_grade, ["list_id"], ["label"], ["__cnt"], pos="__r", method=method, **hot)
-    grades = ranked.groupBy("list_id").agg(F.max("__r").alias("__grades"))
-    ranked = ranked.join(grades, "list_id").select(
-        "list_id", "label", (F.col("__r") - 1).cast("int").alias("__r"), F.ceil(F.log2(F.col("__grades").cast("double"))).cast("int").alias("__bits"),
-        (F.col("cum___cnt") - F.col("__cnt")).alias("__p"))
-    p = v.join(ranked, ["list_id", "label"])
-    # lists of one grade have no pairs and no bits
-    levels = p.filter("__bits > 0").select(
-        "list_id", "item_id", "score", "weight", "__r", F.explode(F.expr("sequence(0, __bits - 1)")).alias("__b"))
-    bit = F.expr("shiftright(__r, __b) & 1")
-    nodes = levels.select("list_id", "__b", F.expr("shiftright(__r, __b + 1)").alias("__node"), "score", "item_id", "weight",
-                          (1 - bit).cast("double").alias("__point"))
-    # at equal score questions come before points: only strictly lower scores count
-    sc = ordered_scan(nodes, ["list_id", "__b", "__node"], [F.col("score").asc(), F.col("__point").asc(), F.col("item_id").asc()],
-                      ["__point"], method=method, **hot)
-    c = sc.filter("__point = 0").groupBy("list_id").agg(F.sum(F.col("weight") * F.col("cum___point")).alias("__c"))
-    t = p.groupBy("list_id").agg(F.sum(F.col("weight") * F.col("__p")).alias("weight")).join(c, "list_id", "left")
+    bits = F.ceil(F.log2(F.col("__grades").cast("double"))).cast("int").alias("__bits")
+    if method == "window" or (hot and hot["hot"] is None):
+        w = Window.partitionBy("list_id")
+        ranked = v.filter(F.col("list_id").isNotNull()).select(
+            "*", F.dense_rank().over(w.orderBy("label")).alias("__r"), (F.rank().over(w.orderBy("label")) - 1).alias("__p"))
+        p = ranked.select("*", F.max("__r").over(w).alias("__grades"), F.sum(F.col("weight") * F.col("__p")).over(w).alias("__t")).select(
+            "list_id", "item_id", "score", "weight", (F.col("__r") - 1).cast("int").alias("__r"), bits, "__t")
+        # a list of one grade has points only, which keep its row
+        sc = _opa_scan(p.withColumn("__bits", F.greatest("__bits", F.lit(1))), method, hot, ["__t"])
+        t = sc.groupBy("list_id").agg(F.max("__t").alias("weight"), F.sum(
+            F.when(F.col("__point") == 0, F.col("weight") * F.col("cum___point"))).alias("__c"))
+    else:
+        per_grade = v.groupBy("list_id", "label").agg(F.count(F.lit(1)).alias("__cnt"))
+        ranked = ordered_scan(per_grade, ["list_id"], ["label"], ["__cnt"], pos="__r", method=method, **hot)
+        grades = ranked.groupBy("list_id").agg(F.max("__r").alias("__grades"))
+        ranked = ranked.join(grades, "list_id").select(
+            "list_id", "label", (F.col("__r") - 1).cast("int").alias("__r"), bits, (F.col("cum___cnt") - F.col("__cnt")).alias("__p"))
+        p = v.join(ranked, ["list_id", "label"])
+        # lists of one grade have no pairs and no bits
+        sc = _opa_scan(p.filter("__bits > 0"), method, hot)
+        c = sc.filter("__point = 0").groupBy("list_id").agg(F.sum(F.col("weight") * F.col("cum___point")).alias("__c"))
+        t = p.groupBy("list_id").agg(F.sum(F.col("weight") * F.col("__p")).alias("weight")).join(c, "list_id", "left")
     return t.select("list_id", F.when(F.col("weight") != 0, F.coalesce("__c", F.lit(0.0)) / F.col("weight"))
                     .otherwise(0.0).alias("opa"), "weight")
 

@@ -215,3 +215,22 @@ def test_de_noise_query_splits_words_once(spark, tmp_path):
         assert "ReusedExchange" in lists_jobs.q_de_noise(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("method", ["auto", "window"])
+def test_opa_without_hot_lists_reads_its_items_once(spark, method):
+    from tessera.operators import ranking as R
+    rng = np.random.default_rng(5)
+    items = [(int(k) if k else None, f"i{j}", float(lab), float(s), float(w), bool(lab >= 0)) for j, (k, lab, s, w) in enumerate(zip(
+        rng.integers(0, 12, 200), rng.integers(-1, 6, 200), rng.integers(0, 9, 200), rng.integers(1, 4, 200)))]
+    items += [(90, "a", 2.0, 1.0, 1.0, True), (91, "a", 2.0, 1.0, 1.0, True), (91, "b", 2.0, 3.0, 1.0, True), (92, "a", -1.0, 1.0, 1.0, False)]
+    df = spark.createDataFrame(items, "list_id long, item_id string, label double, score double, weight double, valid boolean")
+    out = R.opa(df, method)
+    want = {}
+    for k in {i[0] for i in items if i[0] and i[5]}:
+        own = [i for i in items if i[0] == k and i[5]]
+        den = sum(a[4] for a in own for b in own if a[2] > b[2])
+        num = sum(a[4] for a in own for b in own if a[2] > b[2] and a[3] > b[3])
+        want[k] = (num / den if den else 0.0, den)
+    assert {r["list_id"]: (r["opa"], r["weight"]) for r in out.collect()} == {k: pytest.approx(v) for k, v in want.items()}
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
