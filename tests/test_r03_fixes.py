@@ -192,6 +192,26 @@ def test_gradients_are_added_by_flat_positions_in_the_same_order():
         assert (m == want).all()
 
 
+def test_encoding_writes_tokens_only_for_a_sentence_that_the_scan_splits(spark, monkeypatch):
+    from tessera.operators import corpus as C
+    rows = [(1, list("abcxab")), (2, ["x"]), (3, []), (4, None), (None, list("ba")), (5, list("cabba"))]
+    df = spark.createDataFrame(rows, "sid long, tokens array<string>")
+    vocab = spark.createDataFrame([("a", 9, 0), ("b", 8, 1), ("c", 7, 2)], "word string, cn long, idx long")
+    tables, write = [], C.written
+    monkeypatch.setattr(C, "written", lambda d: tables.append(write(d)) or tables[-1])
+    want = []
+    for sid, tokens in rows:
+        known = [t for t in tokens or [] if t in "abc"]
+        want += [(sid or 0, i // 2, i + 1, t, "abc".index(t)) for i, t in enumerate(known)]
+    for hot_rows, writes in ((200_000, 0), (4, 1)):
+        monkeypatch.setattr(C, "HOT_ROWS", hot_rows)
+        got = [((r["sid"] or 0), r["chunk"], r["pos"], r["word"], r["idx"]) for r in C.encode_sentences(df, vocab, max_len=2).collect()]
+        assert sorted(got) == sorted(want) and len(tables) == writes
+    long = df.select("sid", F.posexplode("tokens").alias("opos", "word"))
+    assert sorted((r["sid"] or 0, r["chunk"], r["pos"], r["word"], r["idx"]) for r in C.encode_long(long, vocab, max_len=2).collect()) == sorted(want)
+    assert len(tables) == 1
+
+
 def test_de_noise_of_lists_without_a_hot_one_writes_nothing(spark, tmp_path, monkeypatch):
     from tessera.operators import lists as L
     from tessera.plans import lists_jobs
