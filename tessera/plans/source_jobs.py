@@ -6,6 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
+from tessera.functions.scan import written
 from tessera.plans import sqlparts as Q
 from tessera.plans import standins as S
 from tessera.plans.catalog import query
@@ -30,18 +31,17 @@ fidx AS (SELECT key, row_number() OVER (ORDER BY key) - 1 AS idx
          FROM (SELECT DISTINCT key FROM bag))"""
 
 
-def _index(spark, sf_dir):
-    bags = S.feature_bags(spark, sf_dir)
+def _index(bags):
     keys = bags.select(F.explode("attributes").alias("f")).select(
         feature_key(F.col("f.name"), F.col("f.term")).alias("key"))
-    return bags, feature_index(keys, "key")
+    return feature_index(keys, "key")
 
 
 @query("feature_index", f"""WITH {_KEYS_SQL}
 SELECT key, cast(idx AS bigint) AS idx FROM fidx""")
 def q_feature_index(spark, sf_dir):
     """A5: dense 0-based index of distinct feature keys (range-partitioned)."""
-    return _index(spark, sf_dir)[1]
+    return _index(S.feature_bags(spark, sf_dir))
 
 
 @query("vectorize_bag", f"""WITH {_KEYS_SQL},
@@ -52,8 +52,8 @@ SELECT doc_id, count(*) AS nnz, string_agg(cast(idx AS varchar), ',' ORDER BY id
 FROM v GROUP BY doc_id""")
 def q_vectorize_bag(spark, sf_dir):
     """Feature bags -> sparse vectors (indices ascending, repeats summed)."""
-    bags, idx = _index(spark, sf_dir)
-    v = vectorize_bag(bags, "doc_id", "attributes", idx)
+    bags = written(S.feature_bags(spark, sf_dir))  # for the index and for the vectors: words are split once
+    v = vectorize_bag(bags, "doc_id", "attributes", _index(bags))
     return v.select(
         F.col("id").alias("doc_id"), F.size("indices").cast("bigint").alias("nnz"),
         F.array_join(F.transform("indices", lambda x: x.cast("string")), ",").alias("indices"),

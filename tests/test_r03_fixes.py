@@ -212,6 +212,18 @@ def test_encoding_writes_tokens_only_for_a_sentence_that_the_scan_splits(spark,
     assert len(tables) == 1
 
 
+def test_features_are_neither_sorted_by_key_nor_moved_for_repeats(spark):
+    from tessera.sources import io as IO
+    bag = spark.createDataFrame([(1, [("w", "a", 1.0), ("w", "a", 2.0), ("w", "z", 1.0)]), (1, [("w", "b", 4.0), ("w", "a", None)]), (2, [("w", "z", 1.0)]),
+                                 (3, []), (4, None), (None, [("w", "b", 1.0)])], "id long, bag array<struct<name:string,term:string,value:double>>")
+    index = IO.feature_index(spark.createDataFrame([("w\ta",), ("w\tb",), ("w\ta",)], "key string"))
+    v = IO.vectorize_bag(bag, "id", "bag", index)
+    assert {r["id"]: (r["indices"], r["values"], r["n_features"]) for r in v.collect()} == {
+        1: ([0, 1], [3.0, 4.0], 2), 2: ([], [], 2), 3: ([], [], 2), 4: ([], [], 2), None: ([1], [1.0], 2)}
+    plan = v._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_de_noise_of_lists_without_a_hot_one_writes_nothing(spark, tmp_path, monkeypatch):
     from tessera.operators import lists as L
     from tessera.plans import lists_jobs
