@@ -19,3 +19,50 @@ def test_subsample_of_bounded_chunks_gives_the_same_rows_and_writes_none(spark,
     assert rows(C.subsample(encoded, vocab, 0.01, max_len=7)) == want and not wrote
     monkeypatch.setattr(C, "FREQUENT", 2)  # the other words are found by a shuffle
     assert rows(C.encode_sentences(df, vocab, max_len=7)) == rows(encoded)
+
+
+def test_packed_sets_take_two_bytes_for_a_frequent_element():
+    table = np.array([-5, 0, 3, 1 << 51], "int64")
+    sets = [[1 << 51, 7, 3], [-5], [(1 << 62) + 1, 65535, 0], [8, 9]]
+    data, sizes = K.pack("jaccard", sets, table)
+    assert len(data) == 2 * 5 - 2 + 8 * 5 and len(sizes) == 8 * len(sets)
+    for codes, packed in ((table, (data, sizes)), (K.NO_CODES, K.pack("jaccard", sets))):
+        p = K.Pack("jaccard", *packed, codes)
+        cut = np.split(p.elems, np.cumsum(p.sizes)[:-1])
+        assert [sorted(x.tolist()) for x in cut] == [sorted(s) for s in sets]
+
+
+def _sets(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, sorted({int(x) << 40 for x in rng.zipf(1.3, 12) % 5000})) for i in range(90)]
+    return dict(rows), spark.createDataFrame(rows + [(200, []), (201, None)], "id long, vector array<long>")
+
+
+@pytest.mark.parametrize("coded", [0, 3, 1 << 16])
+def test_neighbours_of_sets_do_not_depend_on_the_codes(spark, monkeypatch, coded):
+    monkeypatch.setattr(K, "CODED", coded)
+    sets, df = _sets(spark)
+
+    def best(src, ok):
+        far = lambda a, b: 1 - len(set(a) & set(b)) / len(set(a) | set(b))
+        return sorted((round(far(sets[src], v), 9), c) for c, v in sets.items() if c != src and ok(src, c))[:3]
+
+    got = {}
+    for r in K.knn_self(df, 3, "jaccard", block_size=16).collect():
+        got.setdefault(r["src"], []).append((round(r["distance"], 9), r["cand"]))
+    assert {s: sorted(x) for s, x in got.items()} == {s: best(s, lambda a, b: True) for s in sets}
+    fam = H.HashFamily("minhash", 0, num_hashes=8, signature_length=1, seed=3)
+    keys = dict(zip(sets, fam.band_keys(list(sets.values()))))
+    want = {s: x for s in sets if (x := best(s, lambda a, b: (keys[a] == keys[b]).any()))}
+    for all_pairs in (0, 1 << 40):
+        monkeypatch.setattr(H, "ALL_PAIRS", all_pairs)
+        got = {}
+        for r in H.lsh_self(df, 3, fam, bucket_limit=4).collect():
+            got.setdefault(r["src"], []).append((round(r["distance"], 9), r["cand"]))
+        assert {s: sorted(x) for s, x in got.items()} == want
+
+
+def test_pool_items_look_for_nothing(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(60)], "id long, vector array<double>")
+    got = K.knn_join(df.where("id < 20"), df, 3, "l2", block_size=8).collect()
+    assert {r["src"] for r in got} == set(range(20)) and len(got) == 60
