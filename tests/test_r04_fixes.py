@@ -66,3 +66,18 @@ def test_pool_items_look_for_nothing(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(60)], "id long, vector array<double>")
     got = K.knn_join(df.where("id < 20"), df, 3, "l2", block_size=8).collect()
     assert {r["src"] for r in got} == set(range(20)) and len(got) == 60
+
+
+@pytest.mark.parametrize("task_pairs,block", [(2_000_000, 512), (20, 4)])
+def test_item_cf_in_shares_gives_the_same_rows(spark, monkeypatch, task_pairs, block):
+    from tessera.operators import cf, pairs
+    monkeypatch.setattr(pairs, "TASK_PAIRS", task_pairs)
+    monkeypatch.setattr(pairs, "MAX_HOT", 5)
+    data = [(u, i, float((u * i) % 5)) for u in range(12) for i in range(14) if (u + i) % 3 or i == 0]
+    df = spark.createDataFrame(data + [(1, None, 2.0), (None, 3, 1.0)], "user long, item long, rating double")
+    rows = lambda d: sorted((r["item1"], r["item2"], round(r["sim"], 9)) for r in d.collect())
+    want = rows(cf.item_cf(df, top=3, block_size=block))
+    shares, split = [], cf.pair_shares
+    monkeypatch.setattr(pairs, "SHARE_PAIRS", 200)
+    monkeypatch.setattr(cf, "pair_shares", lambda *a, **k: shares.extend(split(*a, **k)) or shares)
+    assert rows(cf.item_cf(df, top=3, block_size=block)) == want and len(shares) > 3 and want
