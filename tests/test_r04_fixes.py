@@ -81,3 +81,23 @@ def test_item_cf_in_shares_gives_the_same_rows(spark, monkeypatch, task_pairs, b
     monkeypatch.setattr(pairs, "SHARE_PAIRS", 200)
     monkeypatch.setattr(cf, "pair_shares", lambda *a, **k: shares.extend(split(*a, **k)) or shares)
     assert rows(cf.item_cf(df, top=3, block_size=block)) == want and len(shares) > 3 and want
+
+
+@pytest.mark.parametrize("parts", [None, 1, 4])
+def test_itemsets_and_rules_come_without_a_list_on_the_driver(spark, parts):
+    from itertools import combinations
+
+    from tessera.operators import rules
+    data = [[f"i{(t * j) % 7}" for j in range(1, 2 + t % 5)] for t in range(40)] + [[], None]
+    df = spark.createDataFrame([(x,) for x in data], "items array<string>")
+    held = [set(x) for x in data if x is not None]
+    count = lambda s: sum(set(s) <= x for x in held)
+    names = sorted(set().union(*held))
+    want = {c: count(c) for k in range(1, 6) for c in combinations(names, k) if count(c) >= 4}
+    sets = rules.frequent_itemsets(df, "items", 4, parts)
+    got = [(tuple(sorted(r["items"])), r["freq"]) for r in sets.collect()]
+    assert dict(got) == want and len(got) == len(want)
+    found = {(tuple(sorted(r["antecedent"])), *r["consequent"]): (round(r["confidence"], 9), round(r["lift"], 9))
+             for r in rules.association_rules(df, "items", 4, 0.3, parts).collect()}
+    conf = {(tuple(x for x in s if x != c), c): n / want[tuple(x for x in s if x != c)] for s, n in want.items() if len(s) > 1 for c in s}
+    assert found == {k: (round(v, 9), round(v / (want[k[1],] / len(held)), 9)) for k, v in conf.items() if v >= 0.3}
